@@ -15,21 +15,16 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..config import DEFAULT_AS_OF, LOB_PREMIUM, REGION_MULTIPLIER
 from ..schemas import FIRMWIDE_EXPOSURE
 
-_LOB_SCHEMA = T.StructType([
-    T.StructField("lob", T.StringType(), False),
-    T.StructField("base_premium", T.IntegerType(), False),
-    T.StructField("target_lr", T.DecimalType(3, 2), False),
-])
-
-
 def lob_book(spark: SparkSession) -> DataFrame:
-    rows = [(lob, premium, Decimal(target)) for lob, premium, target in LOB_PREMIUM]
-    return spark.createDataFrame(rows, _LOB_SCHEMA)
+    """Inline relation (lob, base_premium, target_lr), built JVM-side."""
+    rows = [F.struct(F.lit(lob).alias("lob"), F.lit(premium).cast("int").alias("base_premium"),
+                     F.lit(Decimal(target)).cast("decimal(3,2)").alias("target_lr"))
+            for lob, premium, target in LOB_PREMIUM]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def region_multipliers() -> F.Column:

@@ -16,7 +16,7 @@ from ..session import configure, scratch_dir
 from ..sinks.tables import TableStore
 from ..sources.fixtures import claim_transactions, fixture_bronze
 from ..sources.testdata import read_table
-from . import pipeline
+from . import jobs as pipeline
 
 BATCH_TWIN = {
     "stream_bronze": "bronze_increment",
