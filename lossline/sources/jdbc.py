@@ -34,7 +34,7 @@ def register_catalog(spark: SparkSession, name: str, url: str, driver: str | Non
 
 def federated_table(spark: SparkSession, qualified_name: str) -> DataFrame:
     """Live scan of a federated table (S1)."""
-    return spark.table(qualified_name)
+    return lower_columns(spark.table(qualified_name))
 
 
 def federated_count(spark: SparkSession, qualified_name: str) -> DataFrame:
@@ -42,6 +42,11 @@ def federated_count(spark: SparkSession, qualified_name: str) -> DataFrame:
     return spark.table(qualified_name).agg(F.count(F.lit(1)).alias("rows_in_source"))
 
 
+def lower_columns(df: DataFrame) -> DataFrame:
+    """Lower-case column names (many databases report identifiers upper-case)."""
+    return df.toDF(*[c.lower() for c in df.columns])
+
+
 def _reader(spark: SparkSession, url: str, options: dict):
     reader = spark.read.format("jdbc").option("url", url)
     for key, value in options.items():
@@ -57,7 +62,7 @@ def read_table(spark: SparkSession, url: str, table: str, partition_column: str
     if partition_column and num_partitions and num_partitions > 1:
         opts.update(partitionColumn=partition_column, lowerBound=lower_bound,
                     upperBound=upper_bound, numPartitions=num_partitions)
-    return _reader(spark, url, opts).load()
+    return lower_columns(_reader(spark, url, opts).load())
 
 
 def read_query(spark: SparkSession, url: str, query: str, **kwargs) -> DataFrame:

@@ -1,0 +1,87 @@
+"""Quality-rule null semantics: drop on FALSE or NULL, warn only on TRUE NOT."""
+
+import datetime as dt
+from decimal import Decimal
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from conftest import claim_row, source_df
+from lossline.functions.rules import DROP_RULES, WARN_RULES
+from lossline.operators import quality
+from lossline.operators.silver import silver_claims, silver_typed
+from lossline.sources.fixtures import with_audit
+
+
+def _bronze(spark, rows):
+    return with_audit(source_df(spark, rows), "test", dt.datetime(2001, 8, 2))
+
+
+def test_null_inputs(spark):
+    rows = [
+        claim_row(1),                                   # clean
+        claim_row(2, claim_id=None),                    # drop: valid_claim_id
+        claim_row(3, amount=None),                      # drop: NULL amount fails amount > 0
+        claim_row(4, currency=None),                    # drop: NULL not IN list
+        claim_row(5, lob=" cyber "),                    # drop: valid_lob
+        claim_row(6, incident=None),                    # kept, NULL date is not a warn violation
+        claim_row(7, reported=dt.date(2001, 6, 1)),     # kept, warn dates_consistent
+    ]
+    typed = silver_typed(_bronze(spark, rows))
+    report = quality.dq_report(typed).first().asDict()
+    assert report["bronze_rows"] == 7
+    assert report["silver_rows"] == 3
+    assert report["dropped_rows"] == 4
+    assert report["drop_valid_claim_id"] == 1
+    assert report["drop_positive_amount"] == 1
+    assert report["drop_valid_currency"] == 1
+    assert report["drop_valid_lob"] == 1
+    assert report["warn_dates_consistent"] == 1
+    assert report["warn_amount_not_extreme"] == 0
+    kept = sorted(r.claim_txn_id for r in silver_claims(_bronze(spark, rows)).collect())
+    assert kept == [1, 6, 7]
+    q = {r.claim_txn_id: r.failed_rules for r in quality.quarantine(typed).collect()}
+    assert q == {2: "valid_claim_id", 3: "positive_amount", 4: "valid_currency", 5: "valid_lob"}
+
+
+def test_cleansing_and_derived_columns(spark):
+    rows = [claim_row(1, claim_id=" CLM-9 ", lob=" MOTOR ", region="uk", currency=" gbp",
+                      amount="250000.00", incident=dt.date(2001, 7, 1), reported=dt.date(2001, 7, 11),
+                      event_ts=dt.datetime(2001, 7, 15, 23, 59, 59))]
+    r = silver_typed(_bronze(spark, rows)).first()
+    assert (r.claim_id, r.lob, r.region, r.currency) == ("CLM-9", "Motor", "Uk", "GBP")
+    assert r.is_large_loss is True
+    assert r.report_lag_days == 10
+    assert r.claim_month == dt.datetime(2001, 7, 1)
+
+
+_amounts = st.one_of(st.none(), st.decimals(min_value=-10, max_value=6_000_000, places=2, allow_nan=False))
+_dates = st.one_of(st.none(), st.dates(min_value=dt.date(2001, 1, 1), max_value=dt.date(2001, 12, 31)))
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.one_of(st.none(), st.just("CLM-1")), _amounts,
+                          st.sampled_from(["EUR", "gbp", "JPY", None]), _dates, _dates),
+                min_size=1, max_size=12))
+def test_rule_semantics_property(spark, cases):
+    rows = [claim_row(i + 1, claim_id=c, amount=None if a is None else str(a), currency=ccy,
+                      incident=inc, reported=rep)
+            for i, (c, a, ccy, inc, rep) in enumerate(cases)]
+    report = quality.dq_report(silver_typed(_bronze(spark, rows))).first().asDict()
+
+    def keep(c, a, ccy):
+        return c is not None and a is not None and a > 0 and ccy is not None and ccy.upper() in (
+            "EUR", "GBP", "CHF", "USD")
+
+    kept = [(c, a, ccy, inc, rep) for c, a, ccy, inc, rep in cases if keep(c, a, ccy)]
+    assert report["silver_rows"] == len(kept)
+    assert report["dropped_rows"] == len(cases) - len(kept)
+    assert report["warn_dates_consistent"] == sum(
+        1 for *_, inc, rep in kept if inc is not None and rep is not None and not rep >= inc)
+    assert report["warn_amount_not_extreme"] == sum(1 for _, a, *_ in kept if not a < Decimal(5_000_000))
+
+
+def test_rule_catalogue():
+    assert [r.name for r in DROP_RULES] == [
+        "valid_claim_id", "valid_policy_id", "positive_amount", "valid_lob", "valid_currency"]
+    assert [r.name for r in WARN_RULES] == ["dates_consistent", "amount_not_extreme"]
