@@ -23,16 +23,18 @@ re-aggregates the small by-lob-region gold instead of rescanning silver.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import DEFAULT_AS_OF, TABLES
 from ..operators import gold, quality
 from ..operators.silver import silver_typed
-from ..sinks.tables import TableStore
+from ..sinks.tables import TableStore, union_schema
 from ..sources.fixtures import with_audit
 from ..sources.reference import firmwide_exposure
 
@@ -63,42 +65,76 @@ def watermark(store: TableStore, source: str) -> int:
 
 def ingest(spark: SparkSession, store: TableStore, source: DataFrame, source_name: str,
            ingested_at: _dt.datetime | None = None, overlap: int = 0,
-           key: str = "claim_txn_id") -> IngestResult:
+           key: str = "claim_txn_id", fix_upper_bound: bool = True) -> IngestResult:
+    """Append the rows above this source's watermark to bronze.
+
+    ``fix_upper_bound=False`` is for immutable sources (files): the slice is
+    ``key > lo`` and its count and max are observed on the write itself, so
+    the source is read once. Live sources keep the default and fix ``hi``
+    first.
+    """
     w = watermark(store, source_name)
     lo = w - overlap
-    hi = source.where(F.col(key) > F.lit(lo)).agg(F.max(key).alias("hi")).first()["hi"]
-    if hi is None:
-        return IngestResult(source_name, lo, None, 0)          # nothing new: no append
+    batch = source.where(F.col(key) > F.lit(lo))
+    hi = None
+    if fix_upper_bound:
+        hi = batch.agg(F.max(key).alias("hi")).first()["hi"]
+        if hi is None:
+            return IngestResult(source_name, lo, None, 0)      # nothing new: no append
+        batch = batch.where(F.col(key) <= F.lit(hi))
 
-    batch = source.where((F.col(key) > F.lit(lo)) & (F.col(key) <= F.lit(hi)))
     if overlap > 0 and store.exists(TABLES.bronze):
         # ids in the overlap window that earlier batches already hold
-        seen = (store.read(TABLES.bronze, merge_schema=True)
+        seen = (read_bronze(store)
                 .where((F.col("_source") == F.lit(source_name)) & (F.col("_batch") < F.lit(w))
-                       & (F.col(key) > F.lit(lo)) & (F.col(key) <= F.lit(hi)))
+                       & (F.col(key) > F.lit(lo)))
                 .select(key))
         batch = batch.join(seen, key, "left_anti")
 
     obs = Observation(f"ingest_{uuid.uuid4().hex[:8]}")
     rows = (with_audit(batch, source_name, ingested_at)
             .withColumn("_batch", F.lit(w).cast("bigint"))
-            .observe(obs, F.count(F.lit(1)).alias("rows")))
+            .observe(obs, F.count(F.lit(1)).alias("rows"), F.max(key).alias("hi")))
     store.append_batch(TABLES.bronze, rows)                 # replaces partition (_source, w)
     n = int(obs.get["rows"])
-    if n == 0 and hi <= w:
+    if hi is None:
+        hi = obs.get["hi"]
+    if n == 0 and (hi is None or hi <= w):
         return IngestResult(source_name, lo, hi, 0)
     log = spark.range(1).select(
         F.lit(source_name).alias("_source"), F.lit(w).cast("bigint").alias("_batch"),
         F.lit(lo).cast("bigint").alias("lo"), F.lit(max(hi, w)).cast("bigint").alias("hi"),
-        F.lit(n).cast("bigint").alias("rows"), F.current_timestamp().alias("committed_at"))
+        F.lit(n).cast("bigint").alias("rows"), F.current_timestamp().alias("committed_at"),
+        F.lit(rows.drop("_batch").schema.json()).alias("schema_json"))
     store.append_batch(TABLES.ingest_log, log)
     return IngestResult(source_name, lo, hi, n)
 
 
+def bronze_schema(store: TableStore) -> T.StructType | None:
+    """Union of the batch schemas recorded in the ingest log (one small row
+    per batch), so bronze reads never open every file footer."""
+    if not store.exists(TABLES.ingest_log):
+        return None
+    log = store.read(TABLES.ingest_log)
+    if "schema_json" not in log.columns:
+        return None
+    # distinct schema versions: a handful, however many batches there are
+    versions = [r.schema_json for r in log.select("schema_json").distinct().collect() if r.schema_json]
+    if not versions:
+        return None
+    ordered = sorted(versions, key=lambda j: len(T.StructType.fromJson(json.loads(j)).fields))
+    merged = union_schema([T.StructType.fromJson(json.loads(j)) for j in ordered])
+    data = [f for f in merged.fields if f.name not in ("_source", "_batch")]
+    return T.StructType(data + [T.StructField("_source", T.StringType()), T.StructField("_batch", T.LongType())])
+
+
 def read_bronze(store: TableStore) -> DataFrame:
     if not store.exists(TABLES.bronze):
         raise ValueError("bronze does not exist yet — run an ingest first")
-    return store.read(TABLES.bronze, merge_schema=True)
+    schema = bronze_schema(store)
+    if schema is None:
+        return store.read(TABLES.bronze, merge_schema=True)
+    return store.read(TABLES.bronze, schema=schema)
 
 
 # --- medallion rebuild ---------------------------------------------------------------

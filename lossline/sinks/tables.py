@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_dir
 
@@ -32,6 +33,11 @@ def _fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
+def _visible(name: str) -> bool:
+    """Spark's rule: hidden when starting with '.', or '_' without '='."""
+    return not (name.startswith(".") or (name.startswith("_") and "=" not in name))
+
+
 @dataclass
 class TableStore:
     spark: SparkSession
@@ -69,7 +75,7 @@ class TableStore:
             p = f"{base}/{_VERSION_PREFIX}{v:010d}"
             if self._committed(p):
                 return p
-        if self._committed(f"{base}/data") or self._children(f"{base}/data"):
+        if any(_visible(c) for c in self._children(f"{base}/data")):
             return f"{base}/data"
         return None
 
@@ -77,12 +83,17 @@ class TableStore:
     def exists(self, name: str) -> bool:
         return self.current_path(name) is not None
 
-    def read(self, name: str, merge_schema: bool = False) -> DataFrame:
+    def read(self, name: str, merge_schema: bool = False, schema: T.StructType | None = None) -> DataFrame:
+        """Current version of a table. ``schema`` (e.g. a union of logged batch
+        schemas) reads evolved files without opening every footer, which
+        ``merge_schema`` does."""
         p = self.current_path(name)
         if p is None:
             raise FileNotFoundError(f"table {name!r} does not exist under {self.root}")
         reader = self.spark.read
-        if merge_schema:
+        if schema is not None:
+            reader = reader.schema(schema)
+        elif merge_schema:
             reader = reader.option("mergeSchema", "true")
         return reader.parquet(p)
 
@@ -115,6 +126,20 @@ class TableStore:
         return target
 
 
+def union_schema(schemas: list[T.StructType]) -> T.StructType:
+    """Additive schema evolution: fields by name in order of first
+    appearance; a type change is an error (NULL fills absent columns)."""
+    fields: dict[str, T.StructField] = {}
+    for schema in schemas:
+        for f in schema.fields:
+            seen = fields.get(f.name)
+            if seen is None:
+                fields[f.name] = T.StructField(f.name, f.dataType, True)
+            elif seen.dataType != f.dataType:
+                raise TypeError(f"column {f.name!r} changed type: {seen.dataType} -> {f.dataType}")
+    return T.StructType(list(fields.values()))
+
+
 def health_report(spark: SparkSession, tables: dict[str, DataFrame | None]) -> DataFrame:
     """(table, status, rows) for each named table; MISSING when absent.
 
