@@ -10,8 +10,9 @@ from ..functions.cleansing import title, trimmed, upper_code
 from ..functions.rules import keep_predicate
 
 
-def silver_typed(bronze: DataFrame) -> DataFrame:
-    """The 17 silver columns before the drop rules.
+def silver_typed(bronze: DataFrame, passthrough: tuple[str, ...] = ()) -> DataFrame:
+    """The 17 silver columns before the drop rules (plus ``passthrough``
+    columns such as the bronze batch key).
 
     ``lob``/``region`` keep the reference's ``initcap(trim(x))`` spelling, so
     ``UK`` reads ``Uk`` here; the loss-ratio join decides how to match it.
@@ -31,6 +32,7 @@ def silver_typed(bronze: DataFrame) -> DataFrame:
         F.col("reported_date").cast("date").alias("reported_date"),
         F.col("event_ts").cast("timestamp").alias("event_ts"),
         F.col("_ingested_at").cast("timestamp").alias("_ingested_at"),
+        *passthrough,
     ).select(
         "*",
         F.date_trunc("month", F.col("event_ts")).alias("claim_month"),

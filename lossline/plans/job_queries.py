@@ -17,7 +17,7 @@ from ..sinks.tables import TableStore
 from ..sources.fixtures import fixture_source
 from ..sources.synth import synthetic_claims
 from ..sources.testdata import read_table
-from . import jobs
+from . import incremental, jobs
 from .catalog import BRONZE_COLUMNS
 
 BATCH_TWIN = {
@@ -26,6 +26,8 @@ BATCH_TWIN = {
     "rebuild_dq_report": "dq_report",
     "rebuild_gold_loss_ratio": "gold_loss_ratio",
     "rebuild_gold_claims_daily": "gold_claims_daily",
+    "refresh_gold_claims_by_lob_region": "gold_claims_by_lob_region",
+    "refresh_gold_loss_ratio": "gold_loss_ratio",
 }
 
 
@@ -73,6 +75,21 @@ def rebuild_gold_claims_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read(TABLES.gold_claims_daily)
 
 
+def _refreshed(spark: SparkSession, sf_dir: str) -> TableStore:
+    store = _ingested(spark, sf_dir)
+    incremental.refresh(spark, store)
+    return store
+
+
+def refresh_gold_claims_by_lob_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incremental mode: measures and state-store distinct counts, assembled."""
+    return _refreshed(spark, sf_dir).read(TABLES.gold_by_lob_region)
+
+
+def refresh_gold_loss_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _refreshed(spark, sf_dir).read(TABLES.gold_loss_ratio)
+
+
 def synth_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seeded synthetic claims, one per order (size follows ``orders``)."""
     keys = read_table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1).alias("claim_txn_id"))
@@ -86,6 +103,8 @@ JOB_QUERIES = {
     "rebuild_dq_report": rebuild_dq_report,
     "rebuild_gold_loss_ratio": rebuild_gold_loss_ratio,
     "rebuild_gold_claims_daily": rebuild_gold_claims_daily,
+    "refresh_gold_claims_by_lob_region": refresh_gold_claims_by_lob_region,
+    "refresh_gold_loss_ratio": refresh_gold_loss_ratio,
 }
 
 

@@ -8,12 +8,13 @@ Ingest (one call per source and run):
    source answers by aggregate push-down), so every pass sees one slice
    ``lo < id <= hi`` even while the source keeps growing;
 3. with ``overlap > 0`` the slice starts ``overlap`` ids below ``w`` and an
-   anti-join against earlier batches of the source keeps only rows not yet
+   anti-join against the logged batches of the source keeps only rows not yet
    in bronze — a late commit with a lower id is ingested exactly once;
-4. rows land in partition ``(_source, _batch=w)`` with dynamic overwrite, so
-   a retry replaces its own batch; the row count comes from an Observation on
-   that write (no second read of the source);
-5. the log row ``(source, lo, hi, rows)`` is written last.
+4. rows land in partition ``(_source, _batch=n+1)`` with dynamic overwrite,
+   so a retry replaces its own unlogged batch and logged batches stay
+   immutable; the row count comes from an Observation on that write (no
+   second read of the source);
+5. the log row ``(source, batch, lo, hi, rows, schema)`` is written last.
 
 Rebuild: silver is written once with the quality report observed on the same
 job, read back (a table boundary), then three gold tables; the loss ratio
@@ -54,26 +55,35 @@ class IngestResult:
     rows: int
 
 
-def watermark(store: TableStore, source: str) -> int:
-    """Last committed upper bound for ``source`` (0 when none)."""
+def log_state(store: TableStore, source: str) -> tuple[int, int]:
+    """(watermark, last batch number) of ``source`` from the ingest log."""
     if not store.exists(TABLES.ingest_log):
-        return 0
+        return 0, 0
     row = (store.read(TABLES.ingest_log).where(F.col("_source") == F.lit(source))
-           .agg(F.max("hi").alias("hi")).first())
-    return int(row["hi"]) if row and row["hi"] is not None else 0
+           .agg(F.max("hi").alias("hi"), F.max("_batch").alias("batch")).first())
+    return (int(row["hi"] or 0), int(row["batch"] or 0)) if row else (0, 0)
+
+
+def watermark(store: TableStore, source: str) -> int:
+    """Last committed upper bound for ``source`` (0 when none)."""
+    return log_state(store, source)[0]
 
 
 def ingest(spark: SparkSession, store: TableStore, source: DataFrame, source_name: str,
            ingested_at: _dt.datetime | None = None, overlap: int = 0,
            key: str = "claim_txn_id", fix_upper_bound: bool = True) -> IngestResult:
-    """Append the rows above this source's watermark to bronze.
+    """Append the rows above this source's watermark to bronze as batch
+    ``n + 1`` of the source.
 
+    A logged batch partition is never rewritten; an unlogged one (a crashed
+    attempt) is replaced by the retry, which gets the same batch number.
     ``fix_upper_bound=False`` is for immutable sources (files): the slice is
     ``key > lo`` and its count and max are observed on the write itself, so
     the source is read once. Live sources keep the default and fix ``hi``
     first.
     """
-    w = watermark(store, source_name)
+    w, last_batch = log_state(store, source_name)
+    batch_no = last_batch + 1
     lo = w - overlap
     batch = source.where(F.col(key) > F.lit(lo))
     hi = None
@@ -83,26 +93,26 @@ def ingest(spark: SparkSession, store: TableStore, source: DataFrame, source_nam
             return IngestResult(source_name, lo, None, 0)      # nothing new: no append
         batch = batch.where(F.col(key) <= F.lit(hi))
 
-    if overlap > 0 and store.exists(TABLES.bronze):
-        # ids in the overlap window that earlier batches already hold
+    if overlap > 0 and last_batch > 0:
+        # ids in the overlap window that logged batches already hold
         seen = (read_bronze(store)
-                .where((F.col("_source") == F.lit(source_name)) & (F.col("_batch") < F.lit(w))
+                .where((F.col("_source") == F.lit(source_name)) & (F.col("_batch") <= F.lit(last_batch))
                        & (F.col(key) > F.lit(lo)))
                 .select(key))
         batch = batch.join(seen, key, "left_anti")
 
     obs = Observation(f"ingest_{uuid.uuid4().hex[:8]}")
     rows = (with_audit(batch, source_name, ingested_at)
-            .withColumn("_batch", F.lit(w).cast("bigint"))
+            .withColumn("_batch", F.lit(batch_no).cast("bigint"))
             .observe(obs, F.count(F.lit(1)).alias("rows"), F.max(key).alias("hi")))
-    store.append_batch(TABLES.bronze, rows)                 # replaces partition (_source, w)
+    store.append_batch(TABLES.bronze, rows)                 # (re)writes partition (_source, batch_no)
     n = int(obs.get["rows"])
     if hi is None:
         hi = obs.get["hi"]
-    if n == 0 and (hi is None or hi <= w):
-        return IngestResult(source_name, lo, hi, 0)
+    if n == 0:
+        return IngestResult(source_name, lo, hi, 0)           # nothing new: nothing logged
     log = spark.range(1).select(
-        F.lit(source_name).alias("_source"), F.lit(w).cast("bigint").alias("_batch"),
+        F.lit(source_name).alias("_source"), F.lit(batch_no).cast("bigint").alias("_batch"),
         F.lit(lo).cast("bigint").alias("lo"), F.lit(max(hi, w)).cast("bigint").alias("hi"),
         F.lit(n).cast("bigint").alias("rows"), F.current_timestamp().alias("committed_at"),
         F.lit(rows.drop("_batch").schema.json()).alias("schema_json"))
