@@ -165,13 +165,15 @@ def write_silver(store: TableStore, bronze: DataFrame, with_quarantine: bool = F
     value stay few and no task receives a third of the data.
     """
     typed = silver_typed(bronze)
-    silver, obs = quality.observe_quality(typed)
-    out = RebuildResult()
     if partition_by:
-        out.tables["silver"] = store.overwrite(
-            TABLES.silver, silver.hint("rebalance", partition_by), partition_by=[partition_by])
+        # observe after the shuffle: metrics are applied once only in the
+        # result stage; a re-run map stage (lost executor) would count twice
+        silver, obs = quality.observe_quality(typed.hint("rebalance", partition_by))
     else:
-        out.tables["silver"] = store.overwrite(TABLES.silver, silver)
+        silver, obs = quality.observe_quality(typed)       # narrow: one result stage
+    out = RebuildResult()
+    out.tables["silver"] = store.overwrite(TABLES.silver, silver,
+                                           partition_by=[partition_by] if partition_by else None)
     out.quality = dict(obs.get)
     if with_quarantine:
         out.tables["quarantine"] = store.overwrite(TABLES.quarantine, quality.quarantine(typed))

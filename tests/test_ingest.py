@@ -104,3 +104,15 @@ def test_rebuild_twice_same_result(spark, store):
     assert a == b and first.quality == second.quality
     assert first.quality["silver_rows"] == 20
     assert store.read(TABLES.quarantine).count() == 0
+
+
+def test_partitioned_silver_same_rows_and_report(spark, store):
+    rows = [claim_row(i, claim_id=f"C{i % 4}", amount=f"{i}00.00",
+                      event_ts=dt.datetime(2001, 1 + i % 6, 3)) for i in range(1, 31)]
+    jobs.ingest(spark, store, source_df(spark, rows + [claim_row(31, claim_id=None)]), "src")
+    flat = jobs.rebuild(spark, store)
+    flat_rows = sorted(map(tuple, store.read(TABLES.silver).select("claim_txn_id", "claim_month").collect()))
+    part = jobs.rebuild(spark, store, partition_by="claim_month")
+    part_rows = sorted(map(tuple, store.read(TABLES.silver).select("claim_txn_id", "claim_month").collect()))
+    assert flat.quality == part.quality and flat.quality["dropped_rows"] == 1
+    assert flat_rows == part_rows
