@@ -35,15 +35,18 @@ from pyspark.sql import types as T
 from ..config import DEFAULT_AS_OF, TABLES
 from ..operators import gold, quality
 from ..operators.silver import silver_typed
-from ..sinks.tables import TableStore, union_schema
+from ..schemas import FIRMWIDE_EXPOSURE
+from ..sinks.tables import TableStore, conform, union_schema
 from ..sources.fixtures import with_audit
 from ..sources.reference import firmwide_exposure
 
 
 # --- reference -----------------------------------------------------------------
 def build_reference(spark: SparkSession, store: TableStore, as_of: _dt.date = DEFAULT_AS_OF) -> str:
-    """CREATE OR REPLACE + INSERT OVERWRITE of the firmwide table (48 rows)."""
-    return store.overwrite(TABLES.firmwide, firmwide_exposure(spark, as_of))
+    """CREATE OR REPLACE + INSERT OVERWRITE of the firmwide table (48 rows),
+    typed and NOT NULL-checked against its contract."""
+    return store.overwrite(TABLES.firmwide,
+                           conform(firmwide_exposure(spark, as_of), FIRMWIDE_EXPOSURE, TABLES.firmwide))
 
 
 # --- ingest --------------------------------------------------------------------

@@ -126,6 +126,25 @@ class TableStore:
         return target
 
 
+def conform(df: DataFrame, schema: T.StructType, table: str) -> DataFrame:
+    """Cast to a table contract and enforce its NOT NULL columns inside the
+    job: a violating row fails the write before commit, so no version with it
+    ever becomes current."""
+    cols = []
+    present = set(df.columns)
+    for f in schema.fields:
+        if f.name not in present:
+            if not f.nullable:
+                raise ValueError(f"{table}: NOT NULL column {f.name!r} is missing")
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))    # additive: absent is NULL
+            continue
+        c = F.col(f.name).cast(f.dataType)
+        if not f.nullable:
+            c = F.when(c.isNull(), F.raise_error(F.lit(f"{table}.{f.name} is NOT NULL"))).otherwise(c)
+        cols.append(c.alias(f.name))
+    return df.select(*cols)
+
+
 def union_schema(schemas: list[T.StructType]) -> T.StructType:
     """Additive schema evolution: fields by name in order of first
     appearance; a type change is an error (NULL fills absent columns)."""
