@@ -6,7 +6,6 @@ cluster names there). Only when it is unset — local tests — do we pick one.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -62,12 +61,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/lossline/{purpose}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str | None:
-    """Filesystem path for a ``file:`` URI (None for remote filesystems)."""
-    if path.startswith("file:"):
-        return path[len("file:"):].replace("///", "/", 1) if path.startswith("file:///") else path[len("file:"):]
-    if "://" in path:
-        return None
-    return os.path.abspath(path)

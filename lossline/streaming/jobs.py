@@ -19,7 +19,6 @@ The same DataFrame functions as the batch path run on streaming inputs:
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.gold import claims_daily
@@ -109,7 +108,3 @@ def await_all(*queries: StreamingQuery, timeout_s: int = 1800) -> None:
             raise TimeoutError(f"streaming query {q.name or q.id} did not finish in {timeout_s}s")
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
-
-
-def event_date_partitioned(df: DataFrame) -> DataFrame:
-    return df.withColumn("event_date", F.to_date("event_ts"))
