@@ -36,16 +36,36 @@ def claims_by_lob_region(silver: DataFrame) -> DataFrame:
     )
 
 
-def claims_by_lob_region_agg(silver_or_gold: DataFrame) -> DataFrame:
+def _to_eur(amount, fx_to_eur: dict | None):
+    """``amount`` converted with a fixed rate per currency (a map literal, no
+    join); a currency without a rate fails the job instead of vanishing."""
+    if not fx_to_eur:
+        return amount
+    pairs = []
+    for ccy, rate in fx_to_eur.items():
+        pairs += [F.lit(ccy), F.lit(str(rate)).cast("decimal(18,8)")]
+    rate = F.create_map(*pairs)[F.col("currency")]
+    checked = F.when(rate.isNull(), F.raise_error(F.concat(F.lit("no FX rate for "), F.col("currency")))) \
+               .otherwise(rate)
+    return (amount * checked).cast(INCURRED_TYPE)
+
+
+def claims_by_lob_region_agg(silver_or_gold: DataFrame, fx_to_eur: dict | None = None) -> DataFrame:
     """(lob, region) incurred and count, from silver or — additively — from
-    ``gold_claims_by_lob_region`` (48-ish rows instead of a silver rescan)."""
+    ``gold_claims_by_lob_region`` (48-ish rows instead of a silver rescan).
+
+    The reference adds EUR, GBP and CHF amounts as they are; ``fx_to_eur``
+    (currency -> rate) converts them first. On the gold table the conversion
+    applies per currency group, so it never touches silver (per-row and
+    per-group conversion agree up to cent rounding).
+    """
     if "claim_txn_count" in silver_or_gold.columns:
         agg = silver_or_gold.groupBy("lob", "region").agg(
-            F.sum("incurred_amount").cast(INCURRED_TYPE).alias("incurred_amount"),
+            F.sum(_to_eur(F.col("incurred_amount"), fx_to_eur)).cast(INCURRED_TYPE).alias("incurred_amount"),
             F.sum("claim_txn_count").alias("claim_txn_count"))
     else:
         agg = silver_or_gold.groupBy("lob", "region").agg(
-            F.sum("claim_amount").cast(INCURRED_TYPE).alias("incurred_amount"),
+            F.sum(_to_eur(F.col("claim_amount"), fx_to_eur)).cast(INCURRED_TYPE).alias("incurred_amount"),
             F.count(F.lit(1)).alias("claim_txn_count"))
     return agg
 

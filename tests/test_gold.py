@@ -3,6 +3,8 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
+
 from conftest import claim_row, source_df
 from lossline.operators import gold, marts
 from lossline.operators.silver import silver_claims
@@ -78,3 +80,16 @@ def test_daily_avg_lag_ignores_nulls(spark):
     rows = [claim_row(1, incident=None), claim_row(2, incident=dt.date(2001, 7, 1), reported=dt.date(2001, 7, 5))]
     d = gold.claims_daily(_silver(spark, rows)).first()
     assert (d.claim_txn_count, d.avg_report_lag_days) == (2, 4.0)
+
+
+def test_optional_fx_conversion(spark):
+    rows = [claim_row(1, currency="EUR", amount="100.00"), claim_row(2, currency="GBP", amount="100.00")]
+    silver = _silver(spark, rows)
+    fx = {"EUR": "1", "GBP": "1.17", "CHF": "1.05", "USD": "0.92"}
+    plain = gold.claims_by_lob_region_agg(silver).first().incurred_amount
+    from_silver = gold.claims_by_lob_region_agg(silver, fx).first().incurred_amount
+    from_gold = gold.claims_by_lob_region_agg(gold.claims_by_lob_region(silver), fx).first().incurred_amount
+    assert plain == Decimal("200.00")
+    assert from_silver == from_gold == Decimal("217.00")
+    with pytest.raises(Exception):
+        gold.claims_by_lob_region_agg(silver, {"EUR": "1"}).collect()

@@ -70,3 +70,23 @@ def test_federated_catalog_pushdown_and_incremental_ingest(spark, oltp, store):
     jobs.rebuild(spark, store)
     assert store.read(TABLES.silver).count() == 30                # generated rows pass every rule
     assert store.read(TABLES.gold_loss_ratio).count() == 48
+
+
+def test_cli_cycle_over_jdbc(spark, oltp):
+    from lossline.__main__ import _parser, run
+    from lossline.session import scratch_dir
+
+    root = scratch_dir(spark, "cli")
+    _generate(spark, oltp, 1, 30)
+    ingest = ["ingest", "--root", root, "--jdbc-url", oltp, "--table", "APP.CLAIM_TRANSACTIONS",
+              "--driver", DRIVER, "--partitions", "3", "--overlap", "5"]
+    assert run(_parser().parse_args(ingest), spark)["rows"] == 30
+    _generate(spark, oltp, 31, 4)
+    out = run(_parser().parse_args(ingest), spark)
+    assert (out["hi"], out["rows"]) == (34, 4)
+    refreshed = run(_parser().parse_args(["refresh", "--root", root]), spark)
+    assert len(refreshed["batches"]) == 2 and refreshed["quality"]["silver_rows"] == 34
+    health = {t["table_name"]: t for t in run(_parser().parse_args(["health", "--root", root]), spark)["tables"]}
+    assert health["gold.gold_loss_ratio"]["rows"] == 48 and health["silver.claims"]["status"] == "MISSING"
+    views = run(_parser().parse_args(["views", "--root", root, "--schema", "cli_views"]), spark)["views"]
+    assert "cli_views.gold_loss_ratio" in views
