@@ -46,6 +46,7 @@ GROUP = ("lob", "region", "currency")
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 IN_MEMORY = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+SMALL_STATE_PARTITIONS = 2
 BY_LOB_REGION_COLUMNS = ("lob", "region", "currency", "claim_txn_count", "distinct_claims", "incurred_amount",
                          "avg_claim_amount", "max_claim_amount", "large_loss_count", "last_event_ts")
 
@@ -113,9 +114,14 @@ def _distincts(silver: DataFrame) -> DataFrame:
             .groupBy(*GROUP).agg(F.count("claim_id").alias("distinct_claims")))
 
 
-def _start_upsert(agg: DataFrame, store: TableStore, table: str, keys, checkpoint: str, provider: str):
-    # the provider is fixed per query at its first start (kept in the checkpoint)
-    agg.sparkSession.conf.set(_PROVIDER, provider)
+def _start_upsert(agg: DataFrame, store: TableStore, table: str, keys, checkpoint: str, provider: str,
+                  state_partitions: int | None = None):
+    # provider and state partition count are fixed per query at its first
+    # start (Spark keeps both in the checkpoint)
+    conf = agg.sparkSession.conf
+    conf.set(_PROVIDER, provider)
+    if state_partitions:
+        conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     return (agg.writeStream.outputMode("update")
             .option("checkpointLocation", checkpoint)
             .foreachBatch(streams.upsert_batch(store, table, keys))
@@ -128,19 +134,24 @@ def refresh_gold(spark: SparkSession, store: TableStore) -> None:
         return
     ckpt = store.path(TABLES.checkpoints)
     previous = spark.conf.get(_PROVIDER, IN_MEMORY)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         queries = [
-            # group measures and daily rows: a few thousand keys, in memory
+            # group measures and daily rows: a few thousand keys, in memory,
+            # few state partitions (rows are combined map-side before them)
             _start_upsert(_measures(_silver_stream(spark, store)), store, TABLES.gold_base, GROUP,
-                          f"{ckpt}/gold_base", IN_MEMORY),
+                          f"{ckpt}/gold_base", IN_MEMORY, SMALL_STATE_PARTITIONS),
             _start_upsert(gold.claims_daily(with_event_date(_silver_stream(spark, store))), store,
-                          TABLES.gold_claims_daily, streams.DAILY_KEYS, f"{ckpt}/gold_daily", IN_MEMORY),
-            # one key per (group, claim): grows with the data, kept on disk
+                          TABLES.gold_claims_daily, streams.DAILY_KEYS, f"{ckpt}/gold_daily", IN_MEMORY,
+                          SMALL_STATE_PARTITIONS),
+            # one key per (group, claim): grows with the data, on disk, spread
+            # over the session's shuffle partitions
             _start_upsert(_distincts(_silver_stream(spark, store)), store, TABLES.gold_distinct, GROUP,
-                          f"{ckpt}/gold_distinct", ROCKSDB),
+                          f"{ckpt}/gold_distinct", ROCKSDB, int(partitions)),
         ]
     finally:
         spark.conf.set(_PROVIDER, previous)
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
     streams.await_all(*queries)
     by_lob_region = (store.read(TABLES.gold_base)
                      .join(store.read(TABLES.gold_distinct), list(GROUP), "inner")
