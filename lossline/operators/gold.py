@@ -115,6 +115,25 @@ def unmatched_claims(claims_agg: DataFrame, firmwide: DataFrame, compat: bool =
             .select("lob", "region", "incurred_amount", "claim_txn_count"))
 
 
+SKETCH_LG_K = 12          # HLL precision: 2^12 registers, ~1.6% standard error
+GROUP = ("lob", "region", "currency")
+
+
+def claim_sketches(silver: DataFrame, lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """Mergeable distinct-claim sketches per (lob, region, currency)."""
+    return silver.groupBy(*GROUP).agg(F.hll_sketch_agg("claim_id", lg_k).alias("claim_sketch"))
+
+
+def merge_sketches(current: DataFrame, new: DataFrame) -> DataFrame:
+    """Union of two sketch tables (both small: one row per group). HLL union
+    is idempotent, so re-applying a batch does not change the result."""
+    a, b = current.alias("a"), new.alias("b")
+    merged = F.when(F.col("a.claim_sketch").isNull(), F.col("b.claim_sketch")) \
+              .when(F.col("b.claim_sketch").isNull(), F.col("a.claim_sketch")) \
+              .otherwise(F.hll_union("a.claim_sketch", "b.claim_sketch", True))
+    return a.join(b, list(GROUP), "full_outer").select(*GROUP, merged.alias("claim_sketch"))
+
+
 def claims_daily(silver: DataFrame) -> DataFrame:
     src = silver if "event_date" in silver.columns else with_event_date(silver)
     return src.groupBy("event_date", "lob").agg(

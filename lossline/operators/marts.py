@@ -27,6 +27,14 @@ def distinct_claims(silver: DataFrame) -> DataFrame:
     return silver.agg(F.count_distinct("claim_id").alias("distinct_claims"))
 
 
+def distinct_claims_estimate(sketches: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Approximate distinct claims from the gold sketches, without a silver
+    scan — globally, or by any of lob/region/currency (not additive, so the
+    sketches are unioned, not summed)."""
+    est = F.hll_sketch_estimate(F.hll_union_agg("claim_sketch", True)).alias("distinct_claims_estimate")
+    return sketches.groupBy(*by).agg(est) if by else sketches.agg(est)
+
+
 def incurred_by_lob(by_lob_region: DataFrame) -> DataFrame:
     return (by_lob_region.groupBy("lob")
             .agg(F.sum("incurred_amount").alias("incurred_amount"),

@@ -19,6 +19,9 @@ which cannot hold at 100 TB. ``refresh``:
      small aggregates keep their few thousand keys in memory);
    - daily gold, as in the streaming R4;
    each micro-batch upserts its touched keys into a small gold table;
+   - (optional, default on) HLL claim sketches per group, unioned into a
+     small table in ``foreachBatch`` — mergeable approximate distincts for
+     any roll-up (a global KPI without rescanning silver);
 4. assembles ``gold_claims_by_lob_region`` (measures joined with distinct
    counts, 48-ish rows) and the loss ratio from it.
 
@@ -129,7 +132,18 @@ def _start_upsert(agg: DataFrame, store: TableStore, table: str, keys, checkpoin
             .start())
 
 
-def refresh_gold(spark: SparkSession, store: TableStore) -> None:
+def _sketch_batch(store: TableStore):
+    """foreachBatch: union the micro-batch's claim sketches into the table
+    (no streaming state; HLL union makes a replayed batch harmless)."""
+    def handle(batch: DataFrame, epoch_id: int) -> None:
+        new = gold.claim_sketches(batch)
+        merged = gold.merge_sketches(store.read(TABLES.gold_sketches), new) \
+            if store.exists(TABLES.gold_sketches) else new
+        store.overwrite(TABLES.gold_sketches, merged.repartition(1))
+    return handle
+
+
+def refresh_gold(spark: SparkSession, store: TableStore, with_sketches: bool = True) -> None:
     if not store.exists(TABLES.silver_batches):
         return
     ckpt = store.path(TABLES.checkpoints)
@@ -149,6 +163,10 @@ def refresh_gold(spark: SparkSession, store: TableStore) -> None:
             _start_upsert(_distincts(_silver_stream(spark, store)), store, TABLES.gold_distinct, GROUP,
                           f"{ckpt}/gold_distinct", ROCKSDB, int(partitions)),
         ]
+        if with_sketches:
+            queries.append(_silver_stream(spark, store).writeStream
+                           .option("checkpointLocation", f"{ckpt}/gold_sketches")
+                           .foreachBatch(_sketch_batch(store)).trigger(availableNow=True).start())
     finally:
         spark.conf.set(_PROVIDER, previous)
         spark.conf.set("spark.sql.shuffle.partitions", partitions)

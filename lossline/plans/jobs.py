@@ -183,7 +183,7 @@ def write_silver(store: TableStore, bronze: DataFrame, with_quarantine: bool = F
     return out
 
 
-def write_gold(spark: SparkSession, store: TableStore) -> dict:
+def write_gold(spark: SparkSession, store: TableStore, with_sketches: bool = False) -> dict:
     silver = store.read(TABLES.silver)              # read back: a table boundary
     if not store.exists(TABLES.firmwide):
         build_reference(spark, store)
@@ -198,12 +198,14 @@ def write_gold(spark: SparkSession, store: TableStore) -> dict:
         TABLES.gold_loss_ratio,
         gold.loss_ratio(gold.claims_by_lob_region_agg(by_lob_region), firmwide).repartition(1))
     paths["daily"] = store.overwrite(TABLES.gold_claims_daily, gold.claims_daily(silver))
+    if with_sketches:
+        paths["sketches"] = store.overwrite(TABLES.gold_sketches, gold.claim_sketches(silver).repartition(1))
     return paths
 
 
 def rebuild(spark: SparkSession, store: TableStore, with_quarantine: bool = False,
-            partition_by: str | None = None) -> RebuildResult:
+            partition_by: str | None = None, with_sketches: bool = False) -> RebuildResult:
     """Full rebuild of silver and gold from the current bronze (idempotent)."""
     result = write_silver(store, read_bronze(store).drop("_batch"), with_quarantine, partition_by)
-    result.tables.update(write_gold(spark, store))
+    result.tables.update(write_gold(spark, store, with_sketches))
     return result

@@ -47,3 +47,18 @@ def test_daily_gold_upsert_over_many_batches(spark):
     jobs.await_all(q)
     got = store.read("daily").select("event_date", "lob", "claim_txn_count", "incurred_amount", "avg_report_lag_days")
     assert _same(got, catalog.run("gold_claims_daily", spark, SF001))
+
+
+def test_dedup_across_micro_batches(spark):
+    root = scratch_dir(spark, "dedup")
+    bronze = fixture_bronze(spark, SF001)
+    bronze.coalesce(1).write.parquet(f"{root}/landing/a")          # first delivery
+    bronze.coalesce(1).write.parquet(f"{root}/landing/b")          # redelivery, later file
+    schema = spark.read.parquet(f"{root}/landing/a").schema
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(f"{root}/landing"))
+    q = jobs.start_dedup(stream, f"{root}/out", f"{root}/chk", delay="36500 days")
+    jobs.await_all(q)
+    out = spark.read.parquet(f"{root}/out")
+    assert q.recentProgress and len([p for p in q.recentProgress if p["numInputRows"]]) == 2
+    assert out.count() == bronze.count() == out.select("claim_txn_id").distinct().count()
