@@ -33,7 +33,6 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,17 +70,15 @@ def pending_batches(store: TableStore) -> list[tuple[str, int]]:
     return sorted((r._source, int(r._batch)) for r in ingested.distinct().collect())
 
 
-def _batch_filter(batches: list[tuple[str, int]]):
-    return reduce(lambda a, b: a | b, [(F.col("_source") == F.lit(s)) & (F.col("_batch") == F.lit(b))
-                                       for s, b in batches])
-
-
 def refresh_silver(spark: SparkSession, store: TableStore) -> RefreshResult:
     batches = pending_batches(store)
     result = RefreshResult(batches=batches)
     if not batches:
         return result
-    bronze_new = jobs.read_bronze(store).where(_batch_filter(batches))
+    # only the pending batch folders are listed and read
+    bronze_new = store.read_partitions(TABLES.bronze, batches, schema=jobs.bronze_schema(store))
+    if bronze_new is None:
+        raise FileNotFoundError(f"logged bronze batches are missing: {batches}")
     silver, obs = quality.observe_quality(silver_typed(bronze_new, passthrough=("_source", "_batch")))
     store.append_batch(TABLES.silver_batches, silver)           # idempotent per batch partition
     result.quality = dict(obs.get)
@@ -91,7 +88,7 @@ def refresh_silver(spark: SparkSession, store: TableStore) -> RefreshResult:
     ])).alias("b")).select(
         "b._source", "b._batch", F.lit(run_id).alias("refresh_id"),
         F.current_timestamp().alias("refreshed_at"), F.lit(json.dumps(result.quality)).alias("quality_json"))
-    store.append_batch(TABLES.refresh_log, log)
+    store.append_rows(TABLES.refresh_log, log)
     return result
 
 

@@ -14,7 +14,9 @@ Ingest (one call per source and run):
    so a retry replaces its own unlogged batch and logged batches stay
    immutable; the row count comes from an Observation on that write (no
    second read of the source);
-5. the log row ``(source, batch, lo, hi, rows, schema)`` is written last.
+5. the log row ``(source, batch, lo, hi, rows, schema)`` is written last;
+   the log is one small file rewritten as a new version, so watermark
+   lookups never list the history of batches.
 
 Rebuild: silver is written once with the quality report observed on the same
 job, read back (a table boundary), then three gold tables; the loss ratio
@@ -97,12 +99,12 @@ def ingest(spark: SparkSession, store: TableStore, source: DataFrame, source_nam
         batch = batch.where(F.col(key) <= F.lit(hi))
 
     if overlap > 0 and last_batch > 0:
-        # ids in the overlap window that logged batches already hold
-        seen = (read_bronze(store)
-                .where((F.col("_source") == F.lit(source_name)) & (F.col("_batch") <= F.lit(last_batch))
-                       & (F.col(key) > F.lit(lo)))
-                .select(key))
-        batch = batch.join(seen, key, "left_anti")
+        # ids in the overlap window that logged batches already hold; only
+        # batches whose logged range reaches into the window are read
+        recent = [(source_name, b) for b in _batches_above(store, source_name, lo)]
+        seen = store.read_partitions(TABLES.bronze, recent, schema=bronze_schema(store)) if recent else None
+        if seen is not None:
+            batch = batch.join(seen.where(F.col(key) > F.lit(lo)).select(key), key, "left_anti")
 
     obs = Observation(f"ingest_{uuid.uuid4().hex[:8]}")
     rows = (with_audit(batch, source_name, ingested_at)
@@ -119,13 +121,20 @@ def ingest(spark: SparkSession, store: TableStore, source: DataFrame, source_nam
         F.lit(lo).cast("bigint").alias("lo"), F.lit(max(hi, w)).cast("bigint").alias("hi"),
         F.lit(n).cast("bigint").alias("rows"), F.current_timestamp().alias("committed_at"),
         F.lit(rows.drop("_batch").schema.json()).alias("schema_json"))
-    store.append_batch(TABLES.ingest_log, log)
+    store.append_rows(TABLES.ingest_log, log)               # the log stays one small file
     return IngestResult(source_name, lo, hi, n)
 
 
+def _batches_above(store: TableStore, source: str, lo: int) -> list[int]:
+    """Logged batches of ``source`` holding ids above ``lo`` (a few rows)."""
+    log = store.read(TABLES.ingest_log)
+    return [int(r._batch) for r in log.where((F.col("_source") == F.lit(source)) & (F.col("hi") > F.lit(lo)))
+            .select("_batch").collect()]
+
+
 def bronze_schema(store: TableStore) -> T.StructType | None:
-    """Union of the batch schemas recorded in the ingest log (one small row
-    per batch), so bronze reads never open every file footer."""
+    """Union of the batch schemas recorded in the ingest log (one small file,
+    one row per batch), so bronze reads never open every file footer."""
     if not store.exists(TABLES.ingest_log):
         return None
     log = store.read(TABLES.ingest_log)

@@ -33,6 +33,14 @@ def _fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
+# Characters Spark escapes in partition folder names (as %XX).
+_ESCAPED = set('"#%\'*/:=?\\\x7f{}[]^') | {chr(c) for c in range(1, 32)}
+
+
+def _escape(value: str) -> str:
+    return "".join(f"%{ord(ch):02X}" if ch in _ESCAPED else ch for ch in value)
+
+
 def _visible(name: str) -> bool:
     """Spark's rule: hidden when starting with '.', or '_' without '='."""
     return not (name.startswith(".") or (name.startswith("_") and "=" not in name))
@@ -116,6 +124,33 @@ class TableStore:
             fs, jpath = _fs(self.spark, f"{self.path(name)}/{_VERSION_PREFIX}{v:010d}")
             fs.delete(jpath, True)
 
+    def append_rows(self, name: str, rows: DataFrame) -> str:
+        """Small log tables: current rows plus ``rows`` as a new single-file
+        version, so a log stays one file however many batches it records."""
+        if self.exists(name):
+            rows = self.read(name).unionByName(rows, allowMissingColumns=True)
+        return self.overwrite(name, rows.repartition(1))
+
+    def read_partitions(self, name: str, values: list[tuple], columns: tuple[str, ...] = ("_source", "_batch"),
+                        schema: T.StructType | None = None) -> DataFrame | None:
+        """Only the listed partition folders of a ``append_batch`` table (the
+        root is the base path, so partition columns are kept). Listing cost
+        follows the partitions read, not the table's history; None when none
+        of them exists."""
+        base = f"{self.path(name)}/data"
+        paths = []
+        for vals in values:
+            p = base + "".join(f"/{c}={_escape(str(v))}" for c, v in zip(columns, vals))
+            fs, jpath = _fs(self.spark, p)
+            if fs.exists(jpath):
+                paths.append(p)
+        if not paths:
+            return None
+        reader = self.spark.read.option("basePath", base)
+        if schema is not None:
+            reader = reader.schema(schema)
+        return reader.parquet(*paths)
+
     def append_batch(self, name: str, df: DataFrame, partition_by=("_source", "_batch")) -> str:
         """Idempotent append: the written partitions are replaced on retry."""
         target = f"{self.path(name)}/data"
