@@ -53,7 +53,11 @@ class Medallion:
                           ("daily", TABLES.gold_claims_daily)):
             if store.exists(name):
                 gold_tables[key] = store.read(name)
-        silver = store.read(TABLES.silver) if store.exists(TABLES.silver) else None
+        silver = None
+        if store.exists(TABLES.silver):                       # full-rebuild mode
+            silver = store.read(TABLES.silver)
+        elif store.exists(TABLES.silver_batches):             # incremental mode
+            silver = store.read(TABLES.silver_batches).drop("_source", "_batch")
         fw = store.read(TABLES.firmwide) if store.exists(TABLES.firmwide) else None
         return cls(spark, store.read(TABLES.bronze), params or Params(),
                    _silver=silver, _firmwide=fw, _gold=gold_tables)

@@ -55,3 +55,16 @@ def test_sketches_incremental_equal_rebuild_and_estimate(spark):
     assert abs(est_inc - exact) / exact < 0.05 and abs(est_full - exact) / exact < 0.05
     by_lob = marts.distinct_claims_estimate(full.read(TABLES.gold_sketches), ("lob",)).count()
     assert by_lob == 6
+
+
+def test_medallion_over_incremental_store(spark):
+    from lossline.plans.catalog import QUERIES
+    from lossline.plans.medallion import Medallion
+
+    store = TableStore.scratch(spark, "inc-m")
+    jobs.ingest(spark, store, fixture_source(spark, SF001), "src", ingested_at=DEFAULT_INGESTED_AT)
+    incremental.refresh(spark, store)
+    m = Medallion.from_store(spark, store)
+    lazy = Medallion.from_testdata(spark, SF001)
+    for name in ("qa_avg_lag_by_region", "kpi_distinct_claims", "dash_kpis", "qa_worst_region"):
+        assert _rows(QUERIES[name](m)) == _rows(QUERIES[name](lazy)), name
