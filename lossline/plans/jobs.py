@@ -201,7 +201,7 @@ def write_gold(spark: SparkSession, store: TableStore, with_sketches: bool = Fal
     # repartition(1), not coalesce(1): only the ~48 result rows move to one
     # task; the final aggregate keeps its full parallelism
     paths["by_lob_region"] = store.overwrite(
-        TABLES.gold_by_lob_region, gold.claims_by_lob_region(silver).repartition(1))
+        TABLES.gold_by_lob_region, gold.claims_by_lob_region(silver, split=True).repartition(1))
     by_lob_region = store.read(TABLES.gold_by_lob_region)
     paths["loss_ratio"] = store.overwrite(
         TABLES.gold_loss_ratio,

@@ -82,7 +82,9 @@ class Medallion:
 
     @cached_property
     def by_lob_region(self) -> DataFrame:
-        return self._stored("by_lob_region", lambda: gold.claims_by_lob_region(self.silver))
+        # split aggregates only when silver is a persisted table (cheap to scan twice)
+        return self._stored("by_lob_region",
+                            lambda: gold.claims_by_lob_region(self.silver, split=self._silver is not None))
 
     @cached_property
     def claims_agg(self) -> DataFrame:

@@ -93,3 +93,12 @@ def test_optional_fx_conversion(spark):
     assert from_silver == from_gold == Decimal("217.00")
     with pytest.raises(Exception):
         gold.claims_by_lob_region_agg(silver, {"EUR": "1"}).collect()
+
+
+def test_split_aggregate_equals_combined_with_null_region(spark):
+    rows = [claim_row(1, claim_id="C1", region=None), claim_row(2, claim_id="C2", region=None),
+            claim_row(3, claim_id="C1"), claim_row(4, claim_id="C1", amount="250000.00")]
+    silver = _silver(spark, rows)
+    a = sorted(map(tuple, gold.claims_by_lob_region(silver).collect()), key=str)
+    b = sorted(map(tuple, gold.claims_by_lob_region(silver, split=True).collect()), key=str)
+    assert a == b and len(a) == 2
