@@ -6,7 +6,9 @@ For each k, bronze holds k copies of the fixture source (an ``explode`` of
 ``sequence(0, k-1)`` per row — a generator, not a join), each copy with its
 own transaction ids and claim ids. Then:
 
-- ``rebuild``: full silver + gold rebuild over all of bronze;
+- ``pipeline``: ingest of all k copies, then the full silver + gold rebuild;
+- ``naive``: the reference's job shape on the same source (``bench.py``);
+- ``rebuild``: the rebuild alone;
 - ``refresh``: state built over all k copies, then one new batch of a fixed
   size (10% of one copy) ingested and refreshed.
 
@@ -44,6 +46,8 @@ def main(argv) -> None:
     from lossline.sinks.tables import TableStore
     from lossline.sources.fixtures import fixture_source
 
+    import bench
+
     spark = build_session("local[8]", app="lossline-scaling", shuffle_partitions=16)
     base = fixture_source(spark, sf_dir)
     span = int(base.agg(F.max("claim_txn_id")).first()[0]) + 1
@@ -54,10 +58,13 @@ def main(argv) -> None:
         # full rebuild over k copies
         store = TableStore.scratch(spark, f"scale-{k}")
         jobs.build_reference(spark, store)
+        t0 = time.perf_counter()
         jobs.ingest(spark, store, full, "src", ingested_at=DEFAULT_INGESTED_AT, fix_upper_bound=False)
+        ingest = time.perf_counter() - t0
         t0 = time.perf_counter()
         jobs.rebuild(spark, store)
         rebuild = time.perf_counter() - t0
+        naive = bench.naive_reference_shape(spark, sf_dir, store, source=full)
         # incremental: state over k copies, then one fixed-size batch
         inc = TableStore.scratch(spark, f"scale-inc-{k}")
         jobs.build_reference(spark, inc)
@@ -69,6 +76,7 @@ def main(argv) -> None:
         incremental.refresh(spark, inc)
         refresh = time.perf_counter() - t0
         print(json.dumps({"k": k, "bronze_rows": k * span, "batch_rows": span // 10,
+                          "pipeline_sec": round(ingest + rebuild, 2), "naive_sec": round(naive, 2),
                           "rebuild_sec": round(rebuild, 2), "refresh_batch_sec": round(refresh, 2)}),
               flush=True)
     spark.stop()
