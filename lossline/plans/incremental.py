@@ -140,7 +140,10 @@ def _sketch_batch(store: TableStore):
     return handle
 
 
-def refresh_gold(spark: SparkSession, store: TableStore, with_sketches: bool = True) -> None:
+def refresh_gold(spark: SparkSession, store: TableStore, with_sketches: bool = True,
+                 state_partitions: int | None = None) -> None:
+    """``state_partitions`` sizes the distinct-claims state at its first start
+    (default: the session's shuffle partitions); it is fixed afterwards."""
     if not store.exists(TABLES.silver_batches):
         return
     ckpt = store.path(TABLES.checkpoints)
@@ -158,7 +161,7 @@ def refresh_gold(spark: SparkSession, store: TableStore, with_sketches: bool = T
             # one key per (group, claim): grows with the data, on disk, spread
             # over the session's shuffle partitions
             _start_upsert(_distincts(_silver_stream(spark, store)), store, TABLES.gold_distinct, GROUP,
-                          f"{ckpt}/gold_distinct", ROCKSDB, int(partitions)),
+                          f"{ckpt}/gold_distinct", ROCKSDB, state_partitions or int(partitions)),
         ]
         if with_sketches:
             queries.append(_silver_stream(spark, store).writeStream
@@ -179,8 +182,8 @@ def refresh_gold(spark: SparkSession, store: TableStore, with_sketches: bool = T
         store.read(TABLES.firmwide)).repartition(1))
 
 
-def refresh(spark: SparkSession, store: TableStore) -> RefreshResult:
+def refresh(spark: SparkSession, store: TableStore, state_partitions: int | None = None) -> RefreshResult:
     """One 2-minute cycle after ingest: new batches into silver, then gold."""
     result = refresh_silver(spark, store)
-    refresh_gold(spark, store)
+    refresh_gold(spark, store, state_partitions=state_partitions)
     return result

@@ -20,6 +20,9 @@ from ..sources.testdata import read_table
 from . import incremental, jobs
 from .catalog import BRONZE_COLUMNS
 
+# state partitions for the test-scale refresh keys (production: sized to the state)
+TEST_STATE_PARTITIONS = 8
+
 BATCH_TWIN = {
     "bronze_append": "bronze_increment",
     "rebuild_silver": "silver_claims",
@@ -77,7 +80,7 @@ def rebuild_gold_claims_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _refreshed(spark: SparkSession, sf_dir: str) -> TableStore:
     store = _ingested(spark, sf_dir)
-    incremental.refresh(spark, store)
+    incremental.refresh(spark, store, state_partitions=TEST_STATE_PARTITIONS)
     return store
 
 

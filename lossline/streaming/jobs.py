@@ -18,6 +18,8 @@ The same DataFrame functions as the batch path run on streaming inputs:
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -27,6 +29,21 @@ from ..sinks.tables import TableStore
 from ..sources.fixtures import with_audit
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None):
+    """Stateful queries fix their state partition count at first start (it
+    is kept in the checkpoint); start them inside this block to choose it."""
+    if not n:
+        yield
+        return
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
+
+
 def read_parquet_stream(spark: SparkSession, folder: str, schema, max_files: int | None = None,
                         file_glob: str | None = None) -> DataFrame:
     """File stream over a folder, optionally only files matching a glob."""

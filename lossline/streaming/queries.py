@@ -18,6 +18,10 @@ from ..sources.fixtures import claim_transactions, fixture_bronze
 from ..sources.testdata import read_table
 from . import jobs as pipeline
 
+# state partitions for the registered test-scale keys (a few thousand keys);
+# production queries size this to their expected state
+TEST_STATE_PARTITIONS = 8
+
 BATCH_TWIN = {
     "stream_bronze": "bronze_increment",
     "stream_silver": "silver_claims",
@@ -66,8 +70,9 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch.write.mode("append").parquet(landing)
     batch.write.mode("append").parquet(landing)     # redelivery of every row
     schema = spark.read.parquet(landing).schema
-    q = pipeline.start_dedup(pipeline.read_parquet_stream(spark, landing, schema),
-                             f"{root}/dedup", f"{root}/_chk/dedup")
+    with pipeline.state_partitions(spark, TEST_STATE_PARTITIONS):
+        q = pipeline.start_dedup(pipeline.read_parquet_stream(spark, landing, schema),
+                                 f"{root}/dedup", f"{root}/_chk/dedup")
     pipeline.await_all(q)
     return spark.read.parquet(f"{root}/dedup").select(*BRONZE_COLUMNS)
 
@@ -77,8 +82,9 @@ def stream_gold_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver_path = _silver_stream_to(spark, sf_dir, root)
     schema = spark.read.parquet(silver_path).schema
     store = TableStore(spark, f"{root}/tables")
-    q = pipeline.start_gold_daily(pipeline.read_parquet_stream(spark, silver_path, schema),
-                                  store, "gold_claims_daily", f"{root}/_chk/gold_daily")
+    with pipeline.state_partitions(spark, TEST_STATE_PARTITIONS):
+        q = pipeline.start_gold_daily(pipeline.read_parquet_stream(spark, silver_path, schema),
+                                      store, "gold_claims_daily", f"{root}/_chk/gold_daily")
     pipeline.await_all(q)
     return store.read("gold_claims_daily").select(
         "event_date", "lob", "claim_txn_count", "incurred_amount", "avg_report_lag_days")
