@@ -209,6 +209,9 @@ def health_report(spark: SparkSession, tables: dict[str, DataFrame | None]) -> D
             parts.append(df.agg(F.count(F.lit(1)).alias("rows"))
                          .select(F.lit(name).alias("table_name"), F.lit("OK").alias("status"),
                                  F.col("rows").cast("bigint").alias("rows")))
+    if not parts:
+        return spark.range(0).select(F.lit("").alias("table_name"), F.lit("").alias("status"),
+                                     F.lit(None).cast("bigint").alias("rows"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

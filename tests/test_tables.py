@@ -49,3 +49,9 @@ def test_health_reports_missing(spark):
     rows = {r.table_name: (r.status, r.rows) for r in
             store_health(store, {"silver.claims": "silver/claims", "gold.x": "gold/x"}).collect()}
     assert rows == {"silver.claims": ("OK", 3), "gold.x": ("MISSING", None)}
+
+
+def test_health_of_nothing_is_empty(spark):
+    from lossline.sinks.tables import health_report
+
+    assert health_report(spark, {}).count() == 0
