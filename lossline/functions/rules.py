@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..config import EXTREME_AMOUNT_THRESHOLD, LOBS, VALID_CURRENCIES
+from ..config import DROP_RULE_SQL, WARN_RULE_SQL
 
 
 @dataclass(frozen=True)
@@ -35,22 +35,8 @@ class Rule:
         return F.coalesce(~self.predicate, F.lit(False))
 
 
-def _in_list(col: str, values) -> str:
-    return f"{col} IN ({', '.join(repr(v) for v in values)})"
-
-
-DROP_RULES = (
-    Rule("valid_claim_id", "drop", "claim_id IS NOT NULL"),
-    Rule("valid_policy_id", "drop", "policy_id IS NOT NULL"),
-    Rule("positive_amount", "drop", "claim_amount > 0"),
-    Rule("valid_lob", "drop", _in_list("lob", LOBS)),
-    Rule("valid_currency", "drop", _in_list("currency", VALID_CURRENCIES)),
-)
-
-WARN_RULES = (
-    Rule("dates_consistent", "warn", "reported_date >= incident_date"),
-    Rule("amount_not_extreme", "warn", f"claim_amount < {EXTREME_AMOUNT_THRESHOLD}"),
-)
+DROP_RULES = tuple(Rule(name, "drop", sql) for name, sql in DROP_RULE_SQL)
+WARN_RULES = tuple(Rule(name, "warn", sql) for name, sql in WARN_RULE_SQL)
 
 RULES = DROP_RULES + WARN_RULES
 
