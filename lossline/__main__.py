@@ -7,6 +7,7 @@ every two minutes; here each step is one command).
     python -m lossline refresh --root <path>          # incremental silver + gold
     python -m lossline rebuild --root <path>          # full rebuild, as the reference
     python -m lossline health --root <path>
+    python -m lossline quality --root <path>          # quality counts of recent refreshes
     python -m lossline views --root <path> [--schema claims_lakehouse]
 
 Each command prints one JSON line describing what it did.
@@ -19,6 +20,7 @@ import json
 import sys
 
 from .config import TABLES
+from .operators.quality import quality_history
 from .plans import incremental, jobs
 from .plans.sql import register_views
 from .session import build_session
@@ -37,7 +39,7 @@ HEALTH = {
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="lossline")
-    p.add_argument("command", choices=["reference", "ingest", "refresh", "rebuild", "health", "views"])
+    p.add_argument("command", choices=["reference", "ingest", "refresh", "rebuild", "health", "quality", "views"])
     p.add_argument("--root", required=True, help="table store root (a shared filesystem URI)")
     p.add_argument("--master", default=None)
     p.add_argument("--jdbc-url")
@@ -48,6 +50,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--source", help="source name recorded in _source (default: the URL or folder)")
     p.add_argument("--overlap", type=int, default=0, help="ids re-read below the watermark for late commits")
     p.add_argument("--schema", default="claims_lakehouse")
+    p.add_argument("--last", type=int, default=20, help="refresh runs shown by 'quality'")
     return p
 
 
@@ -88,6 +91,10 @@ def run(args: argparse.Namespace, spark) -> dict:
         out.update(quality=res.quality, tables=res.tables)
     elif args.command == "health":
         out["tables"] = [r.asDict() for r in store_health(store, HEALTH).collect()]
+    elif args.command == "quality":
+        runs = (quality_history(store.read(TABLES.refresh_log)).limit(args.last).collect()
+                if store.exists(TABLES.refresh_log) else [])
+        out["runs"] = [r.asDict() for r in runs]
     elif args.command == "views":
         out["views"] = register_views(spark, store, args.schema)
     return out

@@ -8,6 +8,8 @@ the silver write itself (``observe_quality``), so quality costs no extra scan.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -32,14 +34,31 @@ def dq_report(typed: DataFrame) -> DataFrame:
     return typed.agg(*_quality_measures())
 
 
-def observe_quality(typed: DataFrame, name: str = "dq") -> tuple[DataFrame, Observation]:
+def observe_quality(typed: DataFrame, name: str | None = None) -> tuple[DataFrame, Observation]:
     """Silver rows plus an Observation that fills in the quality report
     during whatever action writes them (no extra pass over bronze)."""
-    obs = Observation(name)
+    obs = Observation(name or f"dq_{uuid.uuid4().hex[:12]}")
     observed = typed.observe(obs, *_quality_measures())
     return observed.where(passes_all()), obs
 
 
+QUALITY_COLUMNS = ("bronze_rows", "silver_rows", "dropped_rows",
+                   *[f"drop_{r.name}" for r in DROP_RULES], *[f"warn_{r.name}" for r in WARN_RULES])
+
+
+def quality_history(refresh_log: DataFrame) -> DataFrame:
+    """One row per refresh run: when, how many batches, and its quality
+    counts (kept as JSON in the refresh log), newest first."""
+    schema = ", ".join(f"{c} BIGINT" for c in QUALITY_COLUMNS)
+    runs = (refresh_log.groupBy("refresh_id")
+            .agg(F.min("refreshed_at").alias("refreshed_at"), F.count(F.lit(1)).alias("batches"),
+                 F.max("quality_json").alias("quality_json")))
+    return (runs.select("refresh_id", "refreshed_at", "batches",
+                        F.from_json("quality_json", schema).alias("q"))
+            .select("refresh_id", "refreshed_at", "batches", "q.*")
+            .orderBy(F.desc("refreshed_at")))
+
+
 def quarantine(typed: DataFrame) -> DataFrame:
     """Rows the drop rules remove, with the names of the rules they fail."""
     return (typed.where(~passes_all())

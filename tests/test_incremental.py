@@ -68,3 +68,17 @@ def test_medallion_over_incremental_store(spark):
     lazy = Medallion.from_testdata(spark, SF001)
     for name in ("qa_avg_lag_by_region", "kpi_distinct_claims", "dash_kpis", "qa_worst_region"):
         assert _rows(QUERIES[name](m)) == _rows(QUERIES[name](lazy)), name
+
+
+def test_quality_history_per_refresh(spark):
+    from lossline.operators.quality import quality_history
+
+    store = TableStore.scratch(spark, "qh")
+    source = fixture_source(spark, SF001)
+    for bound in (600, None):
+        arrived = source if bound is None else source.where(F.col("claim_txn_id") <= bound)
+        jobs.ingest(spark, store, arrived, "src", ingested_at=DEFAULT_INGESTED_AT)
+        incremental.refresh_silver(spark, store)
+    hist = quality_history(store.read(TABLES.refresh_log)).collect()
+    assert len(hist) == 2 and all(r.batches == 1 for r in hist)
+    assert sum(r.bronze_rows for r in hist) == 1500 and sum(r.silver_rows for r in hist) == 1391

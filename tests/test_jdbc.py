@@ -88,5 +88,7 @@ def test_cli_cycle_over_jdbc(spark, oltp):
     assert len(refreshed["batches"]) == 2 and refreshed["quality"]["silver_rows"] == 34
     health = {t["table_name"]: t for t in run(_parser().parse_args(["health", "--root", root]), spark)["tables"]}
     assert health["gold.gold_loss_ratio"]["rows"] == 48 and health["silver.claims"]["status"] == "MISSING"
+    runs = run(_parser().parse_args(["quality", "--root", root]), spark)["runs"]
+    assert len(runs) == 1 and runs[0]["silver_rows"] == 34
     views = run(_parser().parse_args(["views", "--root", root, "--schema", "cli_views"]), spark)["views"]
     assert "cli_views.gold_loss_ratio" in views
