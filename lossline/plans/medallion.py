@@ -3,7 +3,7 @@
 ``Medallion`` is the shared plan for batch queries: the same object can sit
 on the fixture projection of the test tables (everything lazy, Catalyst sees
 the whole lineage and prunes columns down to the parquet scan) or on the
-persisted tables a pipeline run wrote (``from_store``), where each layer is
+persisted tables a job run wrote (``from_store``), where each layer is
 a table boundary and gold never repeats silver's lineage.
 """
 
@@ -46,7 +46,7 @@ class Medallion:
 
     @classmethod
     def from_store(cls, spark: SparkSession, store, params: Params | None = None) -> "Medallion":
-        """Layers read back from persisted tables (after a pipeline run)."""
+        """Layers read back from persisted tables (after a job run)."""
         gold_tables = {}
         for key, name in (("by_lob_region", TABLES.gold_by_lob_region),
                           ("loss_ratio", TABLES.gold_loss_ratio),

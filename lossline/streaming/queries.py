@@ -16,7 +16,7 @@ from ..session import configure, scratch_dir
 from ..sinks.tables import TableStore
 from ..sources.fixtures import claim_transactions, fixture_bronze
 from ..sources.testdata import read_table
-from . import jobs as pipeline
+from . import jobs as sjobs
 
 # state partitions for the registered test-scale keys (a few thousand keys);
 # production queries size this to their expected state
@@ -34,20 +34,20 @@ def _bronze_stream_to(spark: SparkSession, sf_dir: str, root: str) -> str:
     """R1 over the test tables: orders as a file stream joined with the
     static customer table, landed in a bronze file sink."""
     orders_schema = read_table(spark, sf_dir, "orders").schema
-    orders_stream = pipeline.read_parquet_stream(spark, sf_dir, orders_schema, file_glob="orders.parquet")
+    orders_stream = sjobs.read_parquet_stream(spark, sf_dir, orders_schema, file_glob="orders.parquet")
     source = claim_transactions(orders_stream, read_table(spark, sf_dir, "customer"))
-    q = pipeline.start_bronze(source, f"{root}/bronze", f"{root}/_chk/bronze", FIXTURE_SOURCE,
+    q = sjobs.start_bronze(source, f"{root}/bronze", f"{root}/_chk/bronze", FIXTURE_SOURCE,
                               ingested_at=DEFAULT_INGESTED_AT)
-    pipeline.await_all(q)
+    sjobs.await_all(q)
     return f"{root}/bronze"
 
 
 def _silver_stream_to(spark: SparkSession, sf_dir: str, root: str) -> str:
     bronze_path = _bronze_stream_to(spark, sf_dir, root)
     schema = spark.read.parquet(bronze_path).schema
-    q = pipeline.start_silver(pipeline.read_parquet_stream(spark, bronze_path, schema),
+    q = sjobs.start_silver(sjobs.read_parquet_stream(spark, bronze_path, schema),
                               f"{root}/silver", f"{root}/_chk/silver")
-    pipeline.await_all(q)
+    sjobs.await_all(q)
     return f"{root}/silver"
 
 
@@ -70,10 +70,10 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch.write.mode("append").parquet(landing)
     batch.write.mode("append").parquet(landing)     # redelivery of every row
     schema = spark.read.parquet(landing).schema
-    with pipeline.state_partitions(spark, TEST_STATE_PARTITIONS):
-        q = pipeline.start_dedup(pipeline.read_parquet_stream(spark, landing, schema),
+    with sjobs.state_partitions(spark, TEST_STATE_PARTITIONS):
+        q = sjobs.start_dedup(sjobs.read_parquet_stream(spark, landing, schema),
                                  f"{root}/dedup", f"{root}/_chk/dedup")
-    pipeline.await_all(q)
+    sjobs.await_all(q)
     return spark.read.parquet(f"{root}/dedup").select(*BRONZE_COLUMNS)
 
 
@@ -82,10 +82,10 @@ def stream_gold_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver_path = _silver_stream_to(spark, sf_dir, root)
     schema = spark.read.parquet(silver_path).schema
     store = TableStore(spark, f"{root}/tables")
-    with pipeline.state_partitions(spark, TEST_STATE_PARTITIONS):
-        q = pipeline.start_gold_daily(pipeline.read_parquet_stream(spark, silver_path, schema),
+    with sjobs.state_partitions(spark, TEST_STATE_PARTITIONS):
+        q = sjobs.start_gold_daily(sjobs.read_parquet_stream(spark, silver_path, schema),
                                       store, "gold_claims_daily", f"{root}/_chk/gold_daily")
-    pipeline.await_all(q)
+    sjobs.await_all(q)
     return store.read("gold_claims_daily").select(
         "event_date", "lob", "claim_txn_count", "incurred_amount", "avg_report_lag_days")
 

@@ -6,7 +6,7 @@ For each k, bronze holds k copies of the fixture source (an ``explode`` of
 ``sequence(0, k-1)`` per row — a generator, not a join), each copy with its
 own transaction ids and claim ids. Then:
 
-- ``pipeline``: ingest of all k copies, then the full silver + gold rebuild;
+- ``ingest_rebuild``: ingest of all k copies, then the full silver + gold rebuild;
 - ``naive``: the reference's job shape on the same source (``bench.py``);
 - ``rebuild``: the rebuild alone;
 - ``refresh``: state built over all k copies, then one new batch of a fixed
@@ -76,7 +76,7 @@ def main(argv) -> None:
         incremental.refresh(spark, inc)
         refresh = time.perf_counter() - t0
         print(json.dumps({"k": k, "bronze_rows": k * span, "batch_rows": span // 10,
-                          "pipeline_sec": round(ingest + rebuild, 2), "naive_sec": round(naive, 2),
+                          "ingest_rebuild_sec": round(ingest + rebuild, 2), "naive_sec": round(naive, 2),
                           "rebuild_sec": round(rebuild, 2), "refresh_batch_sec": round(refresh, 2)}),
               flush=True)
     spark.stop()
