@@ -30,6 +30,7 @@ The result equals a full rebuild over the same bronze (tested).
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from dataclasses import dataclass, field
@@ -37,7 +38,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import TABLES
+from ..config import DROP_RULE_SQL, LARGE_LOSS_THRESHOLD, TABLES, WARN_RULE_SQL
 from ..operators import gold, quality
 from ..operators.silver import silver_typed, with_event_date
 from ..sinks.tables import TableStore
@@ -57,6 +58,36 @@ BY_LOB_REGION_COLUMNS = ("lob", "region", "currency", "claim_txn_count", "distin
 class RefreshResult:
     batches: list = field(default_factory=list)
     quality: dict = field(default_factory=dict)
+    reset: bool = False
+
+
+def rules_fingerprint() -> str:
+    """Identifies the silver transform: the rule set and the large-loss bar.
+    Batches refreshed under other rules are stale."""
+    text = json.dumps([DROP_RULE_SQL, WARN_RULE_SQL, LARGE_LOSS_THRESHOLD])
+    return hashlib.sha256(text.encode()).hexdigest()[:16]
+
+
+def logged_fingerprints(store: TableStore) -> set[str]:
+    if not store.exists(TABLES.refresh_log):
+        return set()
+    log = store.read(TABLES.refresh_log)
+    if "rules" not in log.columns:
+        return set()
+    return {r.rules for r in log.select("rules").distinct().collect()}
+
+
+# everything refresh derives by merging (the daily table is upserted by key,
+# so rows of keys that vanish under new rules would linger)
+INCREMENTAL_STATE = (TABLES.refresh_log, TABLES.silver_batches, TABLES.gold_base, TABLES.gold_distinct,
+                     TABLES.gold_sketches, TABLES.gold_claims_daily, TABLES.checkpoints)
+
+
+def reset_state(store: TableStore) -> None:
+    """Forget refreshed silver and gold state; the next refresh re-derives
+    every ingested batch from bronze (which is never touched)."""
+    for name in INCREMENTAL_STATE:
+        store.drop(name)
 
 
 def pending_batches(store: TableStore) -> list[tuple[str, int]]:
@@ -87,7 +118,8 @@ def refresh_silver(spark: SparkSession, store: TableStore) -> RefreshResult:
         F.struct(F.lit(s).alias("_source"), F.lit(b).cast("bigint").alias("_batch")) for s, b in batches
     ])).alias("b")).select(
         "b._source", "b._batch", F.lit(run_id).alias("refresh_id"),
-        F.current_timestamp().alias("refreshed_at"), F.lit(json.dumps(result.quality)).alias("quality_json"))
+        F.current_timestamp().alias("refreshed_at"), F.lit(json.dumps(result.quality)).alias("quality_json"),
+        F.lit(rules_fingerprint()).alias("rules"))
     store.append_rows(TABLES.refresh_log, log)
     return result
 
@@ -182,8 +214,23 @@ def refresh_gold(spark: SparkSession, store: TableStore, with_sketches: bool = T
         store.read(TABLES.firmwide)).repartition(1))
 
 
-def refresh(spark: SparkSession, store: TableStore, state_partitions: int | None = None) -> RefreshResult:
-    """One 2-minute cycle after ingest: new batches into silver, then gold."""
+def refresh(spark: SparkSession, store: TableStore, state_partitions: int | None = None,
+            on_rules_change: str = "error") -> RefreshResult:
+    """One 2-minute cycle after ingest: new batches into silver, then gold.
+
+    If the rules changed since earlier batches were refreshed, silver and
+    gold mix two rule sets: ``on_rules_change="error"`` stops, ``"reset"``
+    drops the incremental state and re-derives all batches under the new
+    rules.
+    """
+    seen = logged_fingerprints(store)
+    reset = bool(seen) and seen != {rules_fingerprint()}
+    if reset:
+        if on_rules_change != "reset":
+            raise RuntimeError("quality rules changed since the last refresh; "
+                               "refresh(on_rules_change='reset') re-derives silver and gold")
+        reset_state(store)
     result = refresh_silver(spark, store)
+    result.reset = reset
     refresh_gold(spark, store, state_partitions=state_partitions)
     return result

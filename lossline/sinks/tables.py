@@ -124,6 +124,12 @@ class TableStore:
             fs, jpath = _fs(self.spark, f"{self.path(name)}/{_VERSION_PREFIX}{v:010d}")
             fs.delete(jpath, True)
 
+    def drop(self, name: str) -> None:
+        """Remove a table (all versions and batch partitions)."""
+        fs, jpath = _fs(self.spark, self.path(name))
+        if fs.exists(jpath):
+            fs.delete(jpath, True)
+
     def append_rows(self, name: str, rows: DataFrame) -> str:
         """Small log tables: current rows plus ``rows`` as a new single-file
         version, so a log stays one file however many batches it records."""
