@@ -9,8 +9,8 @@ which cannot hold at 100 TB. ``refresh``:
    write, and appends them as silver batch partitions;
 2. logs the batches as refreshed *before* any gold work, so a crash between
    the two re-runs only the exactly-once streams below;
-3. runs three ``availableNow`` streams over the silver batch files, each with
-   its own checkpoint under the store (shared folder):
+3. runs ``availableNow`` streams over the silver batch files, each with its
+   own checkpoint under the store (shared folder), concurrently:
    - by-lob-region measures (count, sum, avg, max, large losses, latest
      event) as running aggregates, update mode;
    - distinct claims: ``dropDuplicates`` on (lob, region, currency, claim_id)
@@ -18,14 +18,16 @@ which cannot hold at 100 TB. ``refresh``:
      looked up by key, so no table of all claims is scanned per run (the two
      small aggregates keep their few thousand keys in memory);
    - daily gold, as in the streaming R4;
-   each micro-batch upserts its touched keys into a small gold table;
    - (optional, default on) HLL claim sketches per group, unioned into a
      small table in ``foreachBatch`` — mergeable approximate distincts for
      any roll-up (a global KPI without rescanning silver);
+   each micro-batch upserts its touched keys into a small gold table;
 4. assembles ``gold_claims_by_lob_region`` (measures joined with distinct
    counts, 48-ish rows) and the loss ratio from it.
 
-The result equals a full rebuild over the same bronze (tested).
+The result equals a full rebuild over the same bronze (tested). The refresh
+log also keeps each run's quality counts and a fingerprint of the rules; a
+rule change stops the refresh or, on request, resets the incremental state.
 """
 
 from __future__ import annotations
