@@ -7,6 +7,8 @@ from layout:
   job commit leaves ``_SUCCESS`` there, and readers pick the newest version
   that has it. A failed or half-written job is never read, and readers in
   flight keep their version. This also cuts lineage (a written table).
+  One writer per table at a time (as the reference schedules one run per
+  job); readers are unrestricted.
 - ``append_batch``: rows land in partition ``(_source, _batch)`` with
   dynamic partition overwrite, so a retried batch replaces its own
   partition instead of duplicating rows. New columns in later batches are
@@ -118,9 +120,15 @@ class TableStore:
         return target
 
     def _prune_versions(self, name: str) -> None:
-        committed = [v for v in self._versions(name)
-                     if self._committed(f"{self.path(name)}/{_VERSION_PREFIX}{v:010d}")]
-        for v in committed[:-_KEEP_VERSIONS]:
+        """Keep the newest committed versions; drop older committed ones and
+        any crashed (uncommitted) write older than the newest commit."""
+        versions = self._versions(name)
+        committed = [v for v in versions if self._committed(f"{self.path(name)}/{_VERSION_PREFIX}{v:010d}")]
+        if not committed:
+            return
+        stale = set(committed[:-_KEEP_VERSIONS])
+        stale |= {v for v in versions if v not in committed and v < committed[-1]}
+        for v in sorted(stale):
             fs, jpath = _fs(self.spark, f"{self.path(name)}/{_VERSION_PREFIX}{v:010d}")
             fs.delete(jpath, True)
 

@@ -55,3 +55,13 @@ def test_health_of_nothing_is_empty(spark):
     from lossline.sinks.tables import health_report
 
     assert health_report(spark, {}).count() == 0
+
+
+def test_crashed_write_is_cleaned_after_next_commit(spark, store):
+    store.overwrite("c", spark.range(1))
+    crashed = store.path("c") + "/v0000000002"
+    spark.range(5).write.parquet(crashed)
+    os.remove(os.path.join(crashed.replace("file:", ""), "_SUCCESS"))
+    store.overwrite("c", spark.range(3))                   # becomes v3 and commits
+    assert store.read("c").count() == 3
+    assert 2 not in store._versions("c")
