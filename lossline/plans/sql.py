@@ -66,6 +66,42 @@ def dashboard_sql(schema: str = "claims_lakehouse") -> dict[str, str]:
     }
 
 
+def question_sql(schema: str = "claims_lakehouse") -> dict[str, str]:
+    """The six business questions as parameterised SQL over the views
+    (``:as_of`` date, ``:start`` date, ``:lob`` string)."""
+    lr = f"{schema}.gold_loss_ratio"
+    daily = f"{schema}.gold_claims_daily"
+    return {
+        "qa_incurred_by_lob_day": f"""SELECT lob, sum(incurred_amount) AS incurred_amount,
+            sum(claim_txn_count) AS claim_txn_count FROM {daily}
+            WHERE event_date = :as_of GROUP BY lob ORDER BY incurred_amount DESC""",
+        "qa_worst_region": f"""SELECT region, sum(incurred_amount) AS incurred_amount,
+            sum(gross_written_premium) AS gross_written_premium,
+            round(try_divide(sum(incurred_amount), sum(gross_written_premium)), 4) AS observed_loss_ratio,
+            round(try_divide(sum(target_loss_ratio * gross_written_premium), sum(gross_written_premium)), 4)
+              AS target_loss_ratio,
+            round(try_divide(sum(incurred_amount), sum(gross_written_premium)), 4)
+              - round(try_divide(sum(target_loss_ratio * gross_written_premium), sum(gross_written_premium)), 4)
+              AS gap
+            FROM {lr} GROUP BY region ORDER BY gap DESC NULLS LAST, region LIMIT 1""",
+        "qa_lob_trend_7d": f"""SELECT event_date, lob, claim_txn_count, incurred_amount FROM {daily}
+            WHERE lob = :lob AND event_date BETWEEN :start AND :as_of ORDER BY event_date""",
+        "qa_large_losses_by_lob": f"""SELECT lob, sum(large_loss_count) AS large_losses
+            FROM {schema}.gold_claims_by_lob_region GROUP BY lob ORDER BY large_losses DESC, lob""",
+        "qa_lobs_over_target": f"""SELECT * FROM ({dashboard_sql(schema)["dash_loss_ratio_by_lob"]}) t
+            WHERE observed_loss_ratio > target_loss_ratio""",
+        "qa_avg_lag_by_region": f"""SELECT region, avg(report_lag_days) AS avg_report_lag_days,
+            count(report_lag_days) AS claims_with_lag FROM {schema}.claims GROUP BY region ORDER BY region""",
+    }
+
+
+def run_question(spark: SparkSession, name: str, schema: str = "claims_lakehouse", **params) -> DataFrame:
+    """One business question; pass only the parameters its SQL names."""
+    text = question_sql(schema)[name]
+    used = {k: v for k, v in params.items() if f":{k}" in text}
+    return spark.sql(text, args=used or None)
+
+
 def run_dashboard(spark: SparkSession, name: str, schema: str = "claims_lakehouse", **params) -> DataFrame:
     """One dashboard statement; ``as_of`` replaces now() for freshness."""
     return spark.sql(dashboard_sql(schema)[name], args=params or None)

@@ -42,6 +42,28 @@ def test_dashboard_sql_equals_marts(spark):
         assert _rows(sql.run_dashboard(spark, name, "lakehouse_test", **params)) == _rows(df), name
 
 
+def test_question_sql_equals_dataframes(spark):
+    from lossline.operators import questions
+
+    store = TableStore.scratch(spark, "sqlq")
+    jobs.ingest(spark, store, fixture_source(spark, SF001), FIXTURE_SOURCE, ingested_at=DEFAULT_INGESTED_AT)
+    jobs.rebuild(spark, store)
+    sql.register_views(spark, store, "lakehouse_q")
+    m = Medallion.from_store(spark, store)
+    as_of = dt.date(2001, 8, 1)
+    params = {"as_of": as_of, "start": as_of - dt.timedelta(days=6), "lob": "Motor"}
+    expected = {
+        "qa_incurred_by_lob_day": questions.incurred_by_lob_on(m.daily, as_of),
+        "qa_worst_region": questions.worst_region(m.loss_ratio),
+        "qa_lob_trend_7d": questions.lob_trend(m.daily, "Motor", as_of),
+        "qa_large_losses_by_lob": questions.large_losses_by_lob(m.by_lob_region),
+        "qa_lobs_over_target": questions.lobs_over_target(m.loss_ratio),
+        "qa_avg_lag_by_region": questions.avg_lag_by_region(m.silver),
+    }
+    for name, df in expected.items():
+        assert _rows(sql.run_question(spark, name, "lakehouse_q", **params)) == _rows(df), name
+
+
 def test_contract_rejects_null_key(spark):
     store = TableStore.scratch(spark, "contract")
     good = spark.range(1).select(F.lit("Motor").alias("lob"), F.lit("UK").alias("region"))
