@@ -26,7 +26,8 @@ VIEWS = {
 
 
 def _quote(text: str) -> str:
-    return text.replace("\\\\", "\\\\\\\\").replace("'", "\\\\'")
+    """A Spark SQL string literal body: backslash and quote escaped."""
+    return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
 def register_views(spark: SparkSession, store: TableStore, schema: str = "claims_lakehouse") -> list[str]:

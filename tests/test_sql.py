@@ -72,3 +72,10 @@ def test_contract_rejects_null_key(spark):
     with pytest.raises((PySparkException, Exception)):
         store.overwrite("fw", conform(bad, FIRMWIDE_EXPOSURE, "fw"))
     assert store.read("fw").first().lob == "Motor"                # failed write never became current
+
+
+def test_sql_literal_quoting_round_trips(spark):
+    from lossline.plans.sql import _quote
+
+    text = "claims' \\ comment"
+    assert spark.sql(f"SELECT '{_quote(text)}' AS c").first().c == text
