@@ -4,8 +4,8 @@ every two minutes; here each step is one command).
     python -m lossline reference --root <path>
     python -m lossline ingest --root <path> --jdbc-url <url> --table <t> [--driver <cls>] [--overlap N]
     python -m lossline ingest --root <path> --parquet <folder> --source <name>
-    python -m lossline refresh --root <path>          # incremental silver + gold
-    python -m lossline rebuild --root <path>          # full rebuild, as the reference
+    python -m lossline refresh --root <path> [--state-partitions N] [--reset-on-rule-change]
+    python -m lossline rebuild --root <path> [--partition-by claim_month] [--quarantine] [--sketches]
     python -m lossline health --root <path>
     python -m lossline quality --root <path>          # quality counts of recent refreshes
     python -m lossline views --root <path> [--schema claims_lakehouse]
@@ -51,6 +51,12 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--overlap", type=int, default=0, help="ids re-read below the watermark for late commits")
     p.add_argument("--schema", default="claims_lakehouse")
     p.add_argument("--last", type=int, default=20, help="refresh runs shown by 'quality'")
+    p.add_argument("--partition-by", help="rebuild: partition silver by this column (e.g. claim_month)")
+    p.add_argument("--quarantine", action="store_true", help="rebuild: also write failing rows with rule names")
+    p.add_argument("--sketches", action="store_true", help="rebuild: also write HLL claim sketches")
+    p.add_argument("--state-partitions", type=int, help="refresh: distinct-claims state partitions at first start")
+    p.add_argument("--reset-on-rule-change", action="store_true",
+                   help="refresh: re-derive silver and gold when the quality rules changed")
     return p
 
 
@@ -84,10 +90,12 @@ def run(args: argparse.Namespace, spark) -> dict:
             res = jobs.ingest(spark, store, src, name, overlap=args.overlap, fix_upper_bound=False)
             out.update(source=name, lo=res.lo, hi=res.hi, rows=res.rows)
     elif args.command == "refresh":
-        res = incremental.refresh(spark, store)
-        out.update(batches=res.batches, quality=res.quality)
+        res = incremental.refresh(spark, store, state_partitions=args.state_partitions,
+                                  on_rules_change="reset" if args.reset_on_rule_change else "error")
+        out.update(batches=res.batches, quality=res.quality, reset=res.reset)
     elif args.command == "rebuild":
-        res = jobs.rebuild(spark, store)
+        res = jobs.rebuild(spark, store, with_quarantine=args.quarantine, partition_by=args.partition_by,
+                           with_sketches=args.sketches)
         out.update(quality=res.quality, tables=res.tables)
     elif args.command == "health":
         out["tables"] = [r.asDict() for r in store_health(store, HEALTH).collect()]

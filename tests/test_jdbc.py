@@ -92,3 +92,21 @@ def test_cli_cycle_over_jdbc(spark, oltp):
     assert len(runs) == 1 and runs[0]["silver_rows"] == 34
     views = run(_parser().parse_args(["views", "--root", root, "--schema", "cli_views"]), spark)["views"]
     assert "cli_views.gold_loss_ratio" in views
+
+
+def test_cli_rebuild_options(spark):
+    from lossline.__main__ import _parser, run
+    from lossline.config import TABLES
+    from lossline.session import scratch_dir
+    from lossline.sinks.tables import TableStore
+
+    root = scratch_dir(spark, "cli-rebuild")
+    source = scratch_dir(spark, "cli-src")
+    spark.range(1, 21).select(F.col("id").alias("claim_txn_id")).transform(synthetic_claims) \
+        .write.parquet(source)
+    run(_parser().parse_args(["ingest", "--root", root, "--parquet", source, "--source", "files"]), spark)
+    out = run(_parser().parse_args(["rebuild", "--root", root, "--partition-by", "claim_month",
+                                    "--quarantine", "--sketches"]), spark)
+    assert out["quality"]["silver_rows"] == 20 and {"quarantine", "sketches"} <= set(out["tables"])
+    store = TableStore(spark, root)
+    assert "claim_month" in store.read(TABLES.silver).columns
