@@ -102,3 +102,22 @@ def test_split_aggregate_equals_combined_with_null_region(spark):
     a = sorted(map(tuple, gold.claims_by_lob_region(silver).collect()), key=str)
     b = sorted(map(tuple, gold.claims_by_lob_region(silver, split=True).collect()), key=str)
     assert a == b and len(a) == 2
+
+
+def test_reference_queries_match_oracle(spark):
+    """The unregistered firmwide queries still equal their SQL twins."""
+    import duckdb
+    from oracle_check import _digest
+
+    import __spark_entry__ as entry
+    from conftest import SF001
+    from lossline.plans import catalog
+    from lossline.plans.oracle import reference_oracle_sql
+
+    con = duckdb.connect()
+    for t in ("orders", "customer"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
+    for name, sql in reference_oracle_sql().items():
+        got = entry._portable(catalog.run(name, spark, SF001)).toPandas()
+        assert _digest(got) == _digest(con.sql(sql).df()), name
+    assert set(reference_oracle_sql()) == set(catalog.REFERENCE_QUERIES)
