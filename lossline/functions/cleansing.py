@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,12 +27,3 @@ def upper_code(col: str | Column) -> Column:
 def match_key(col: str | Column) -> Column:
     """Case- and space-insensitive join key for dimension lookups."""
     return F.lower(F.trim(_c(col)))
-
-
-def canonical(col: str | Column, domain: Iterable[str]) -> Column:
-    """Canonical spelling from a fixed domain by case-insensitive lookup;
-    values outside the domain keep their ``initcap`` form."""
-    pairs = []
-    for value in domain:
-        pairs += [F.lit(value.lower()), F.lit(value)]
-    return F.coalesce(F.create_map(*pairs)[match_key(col)], title(col))
