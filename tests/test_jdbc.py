@@ -53,9 +53,11 @@ def test_sink_then_partitioned_slice(spark, oltp):
 
 
 def test_federated_catalog_pushdown_and_incremental_ingest(spark, oltp, store):
-    _generate(spark, oltp, 1, 25)
     jdbc.register_catalog(spark, "oltp", oltp, DRIVER)
     name = "oltp.APP.CLAIM_TRANSACTIONS"
+    assert jdbc.federated_count(spark, name).first()[0] == 0          # empty source counts 0
+    assert jobs.ingest(spark, store, jdbc.federated_table(spark, name), "oltp").rows == 0
+    _generate(spark, oltp, 1, 25)
     assert jdbc.federated_count(spark, name).first()[0] == 25
     plan = jdbc.federated_count(spark, name)._jdf.queryExecution().executedPlan().toString()
     assert "COUNT" in plan.upper() and "PUSHED" in plan.upper()
