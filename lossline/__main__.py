@@ -42,6 +42,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("command", choices=["reference", "ingest", "refresh", "rebuild", "health", "quality", "views"])
     p.add_argument("--root", required=True, help="table store root (a shared filesystem URI)")
     p.add_argument("--master", default=None)
+    p.add_argument("--scale", action="store_true", help="apply the large-cluster settings (session.SCALE_CONF)")
     p.add_argument("--jdbc-url")
     p.add_argument("--table", help="source table, e.g. claims.claim_transactions")
     p.add_argument("--driver")
@@ -110,7 +111,7 @@ def run(args: argparse.Namespace, spark) -> dict:
 
 def main(argv=None) -> int:
     args = _parser().parse_args(argv)
-    spark = build_session(args.master, app=f"lossline-{args.command}")
+    spark = build_session(args.master, app=f"lossline-{args.command}", scale=args.scale)
     try:
         print(json.dumps(run(args, spark), default=str))
     finally:

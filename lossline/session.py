@@ -22,6 +22,22 @@ RUNTIME_CONF = {
 }
 
 
+# Starting points for a large cluster (opt-in: ``build_session(scale=True)``).
+SCALE_CONF = {
+    # start high and let AQE coalesce toward ~256 MB per shuffle partition:
+    # a hot group still splits, small stages shrink
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # scan splits of ~256 MB (parquet splits at row-group boundaries)
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # smaller bronze/silver files: less I/O for every full pass
+    "spark.sql.parquet.compression.codec": "zstd",
+    # per-claim distinct state is large: commit RocksDB changes as a log
+    # instead of a full snapshot every micro-batch
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
@@ -30,11 +46,14 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def build_session(master: str | None = None, app: str = "lossline",
-                  shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, extra: dict | None = None,
+                  scale: bool = False) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(RUNTIME_CONF)
+    if scale:
+        conf.update(SCALE_CONF)
     conf["spark.ui.enabled"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
