@@ -65,3 +65,17 @@ def test_crashed_write_is_cleaned_after_next_commit(spark, store):
     store.overwrite("c", spark.range(3))                   # becomes v3 and commits
     assert store.read("c").count() == 3
     assert 2 not in store._versions("c")
+
+
+def test_cli_reference_and_health_on_empty_store(spark):
+    from lossline.__main__ import _parser, run
+    from lossline.session import scratch_dir
+
+    root = scratch_dir(spark, "cli-empty")
+    health = run(_parser().parse_args(["health", "--root", root]), spark)["tables"]
+    assert all(t["status"] == "MISSING" for t in health) and len(health) == 6
+    run(_parser().parse_args(["reference", "--root", root]), spark)
+    health = {t["table_name"]: t for t in run(_parser().parse_args(["health", "--root", root]), spark)["tables"]}
+    assert health["reference.firmwide_exposure"] == {"table_name": "reference.firmwide_exposure",
+                                                     "status": "OK", "rows": 48}
+    assert run(_parser().parse_args(["quality", "--root", root]), spark)["runs"] == []
