@@ -39,6 +39,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import DROP_RULE_SQL, LARGE_LOSS_THRESHOLD, TABLES, WARN_RULE_SQL
 from ..operators import gold, quality
@@ -121,15 +122,25 @@ def refresh_silver(spark: SparkSession, store: TableStore) -> RefreshResult:
     ])).alias("b")).select(
         "b._source", "b._batch", F.lit(run_id).alias("refresh_id"),
         F.current_timestamp().alias("refreshed_at"), F.lit(json.dumps(result.quality)).alias("quality_json"),
-        F.lit(rules_fingerprint()).alias("rules"))
+        F.lit(rules_fingerprint()).alias("rules"), F.lit(silver.schema.json()).alias("silver_schema"))
     store.append_rows(TABLES.refresh_log, log)
     return result
 
 
-def _silver_stream(spark: SparkSession, store: TableStore) -> DataFrame:
-    path = store.current_path(TABLES.silver_batches)
-    schema = spark.read.parquet(path).schema
-    return streams.read_parquet_stream(spark, path, schema)
+def silver_schema(spark: SparkSession, store: TableStore) -> T.StructType:
+    """The silver batch schema as recorded by the last refresh (one small
+    file), so the streams never list the silver folder to infer it."""
+    if store.exists(TABLES.refresh_log):
+        log = store.read(TABLES.refresh_log)
+        if "silver_schema" in log.columns:
+            row = log.orderBy(F.desc("refreshed_at")).select("silver_schema").first()
+            if row and row.silver_schema:
+                return T.StructType.fromJson(json.loads(row.silver_schema))
+    return spark.read.parquet(store.current_path(TABLES.silver_batches)).schema
+
+
+def _silver_stream(spark: SparkSession, store: TableStore, schema: T.StructType) -> DataFrame:
+    return streams.read_parquet_stream(spark, store.current_path(TABLES.silver_batches), schema)
 
 
 def _measures(silver: DataFrame) -> DataFrame:
@@ -181,24 +192,25 @@ def refresh_gold(spark: SparkSession, store: TableStore, with_sketches: bool = T
     if not store.exists(TABLES.silver_batches):
         return
     ckpt = store.path(TABLES.checkpoints)
+    schema = silver_schema(spark, store)
     previous = spark.conf.get(_PROVIDER, IN_MEMORY)
     partitions = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         queries = [
             # group measures and daily rows: a few thousand keys, in memory,
             # few state partitions (rows are combined map-side before them)
-            _start_upsert(_measures(_silver_stream(spark, store)), store, TABLES.gold_base, GROUP,
+            _start_upsert(_measures(_silver_stream(spark, store, schema)), store, TABLES.gold_base, GROUP,
                           f"{ckpt}/gold_base", IN_MEMORY, SMALL_STATE_PARTITIONS),
-            _start_upsert(gold.claims_daily(with_event_date(_silver_stream(spark, store))), store,
+            _start_upsert(gold.claims_daily(with_event_date(_silver_stream(spark, store, schema))), store,
                           TABLES.gold_claims_daily, streams.DAILY_KEYS, f"{ckpt}/gold_daily", IN_MEMORY,
                           SMALL_STATE_PARTITIONS),
             # one key per (group, claim): grows with the data, on disk, spread
             # over the session's shuffle partitions
-            _start_upsert(_distincts(_silver_stream(spark, store)), store, TABLES.gold_distinct, GROUP,
+            _start_upsert(_distincts(_silver_stream(spark, store, schema)), store, TABLES.gold_distinct, GROUP,
                           f"{ckpt}/gold_distinct", ROCKSDB, state_partitions or int(partitions)),
         ]
         if with_sketches:
-            queries.append(_silver_stream(spark, store).writeStream
+            queries.append(_silver_stream(spark, store, schema).writeStream
                            .option("checkpointLocation", f"{ckpt}/gold_sketches")
                            .foreachBatch(_sketch_batch(store)).trigger(availableNow=True).start())
     finally:
