@@ -5,9 +5,10 @@ Shape for scale:
   combined map-side before the shuffle; the distinct count shuffles on
   (group, claim_id) first, which spreads a hot group by claim id, and runs
   apart from the other measures (joined on the small results);
-- the loss-ratio join never shuffles silver: claims are aggregated first,
-  restricted to keys of the 48-row firmwide dimension (a fixed, proven
-  bound), and only that bounded side is broadcast.
+- the loss-ratio join never shuffles silver: claims are aggregated first and
+  restricted to the keys of the firmwide dimension; the dimension's size is
+  checked (48 rows for the book) before it and the matched claims are
+  broadcast, with shuffle joins beyond the limit.
 """
 
 from __future__ import annotations
@@ -98,26 +99,47 @@ def _keys(df: DataFrame, compat: bool) -> DataFrame:
     return df.withColumn("_k_lob", match_key("lob")).withColumn("_k_region", match_key("region"))
 
 
-def loss_ratio(claims_agg: DataFrame, firmwide: DataFrame, compat: bool = False) -> DataFrame:
+# Firmwide keys above this many rows are joined by shuffle, not broadcast.
+BROADCAST_ROW_LIMIT = 100_000
+
+
+def _broadcastable(df: DataFrame, limit: int) -> bool:
+    """Checked bound: True when ``df`` has at most ``limit`` rows (reads at
+    most ``limit + 1`` rows of a dimension; 48 for the firmwide book)."""
+    return df.limit(limit + 1).count() <= limit
+
+
+def _maybe_broadcast(df: DataFrame, ok: bool) -> DataFrame:
+    return F.broadcast(df) if ok else df
+
+
+def loss_ratio(claims_agg: DataFrame, firmwide: DataFrame, compat: bool = False,
+               broadcast_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Every firmwide (lob, region) with its incurred claims and ratio.
 
     ``compat=True`` joins on the exact strings like the reference, so the
     ``Uk`` claims never meet the ``UK`` premium. The default matches keys
     case-insensitively and reports the firmwide spelling.
+
+    Broadcasts only behind a size check: the firmwide keys are counted (up
+    to ``broadcast_limit``); within the limit they and the matched claims
+    (at most one row per firmwide key) are broadcast, beyond it both joins
+    shuffle and AQE decides at run time.
     """
     fw = _keys(firmwide, compat)
-    fw_keys = F.broadcast(fw.select("_k_lob", "_k_region"))  # 48 rows, fixed
+    keys = fw.select("_k_lob", "_k_region")
+    small = _broadcastable(keys, broadcast_limit)
     matched = (
         _keys(claims_agg, compat)
-        .join(fw_keys, ["_k_lob", "_k_region"], "left_semi")
+        .join(_maybe_broadcast(keys, small), ["_k_lob", "_k_region"], "left_semi")
         .groupBy("_k_lob", "_k_region")
         .agg(F.sum("incurred_amount").cast(INCURRED_TYPE).alias("incurred_amount"),
              F.sum("claim_txn_count").alias("claim_txn_count"))
     )
     incurred = F.coalesce(F.col("incurred_amount"), F.lit(0))
-    # ``matched`` holds at most one row per firmwide key: bounded by 48.
+    # ``matched`` holds at most one row per firmwide key: bounded by the check
     return (
-        fw.join(F.broadcast(matched), ["_k_lob", "_k_region"], "left")
+        fw.join(_maybe_broadcast(matched, small), ["_k_lob", "_k_region"], "left")
         .select(
             "lob", "region",
             incurred.cast("decimal(18,2)").alias("incurred_amount"),
@@ -129,11 +151,13 @@ def loss_ratio(claims_agg: DataFrame, firmwide: DataFrame, compat: bool = False)
     )
 
 
-def unmatched_claims(claims_agg: DataFrame, firmwide: DataFrame, compat: bool = True) -> DataFrame:
+def unmatched_claims(claims_agg: DataFrame, firmwide: DataFrame, compat: bool = True,
+                     broadcast_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Claims groups with no firmwide row — the incurred the join loses."""
-    fw_keys = F.broadcast(_keys(firmwide, compat).select("_k_lob", "_k_region"))
+    keys = _keys(firmwide, compat).select("_k_lob", "_k_region")
     return (_keys(claims_agg, compat)
-            .join(fw_keys, ["_k_lob", "_k_region"], "left_anti")
+            .join(_maybe_broadcast(keys, _broadcastable(keys, broadcast_limit)), ["_k_lob", "_k_region"],
+                  "left_anti")
             .select("lob", "region", "incurred_amount", "claim_txn_count"))
 
 
