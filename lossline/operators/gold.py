@@ -180,6 +180,7 @@ def merge_sketches(current: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def claims_daily(silver: DataFrame) -> DataFrame:
+    """Daily volume, incurred and mean reporting lag by (event_date, lob)."""
     src = silver if "event_date" in silver.columns else with_event_date(silver)
     return src.groupBy("event_date", "lob").agg(
         F.count(F.lit(1)).alias("claim_txn_count"),

@@ -105,6 +105,8 @@ def pending_batches(store: TableStore) -> list[tuple[str, int]]:
 
 
 def refresh_silver(spark: SparkSession, store: TableStore) -> RefreshResult:
+    """Pending bronze batches -> silver batch partitions, quality observed,
+    then logged (with the rule fingerprint and silver schema)."""
     batches = pending_batches(store)
     result = RefreshResult(batches=batches)
     if not batches:

@@ -151,6 +151,7 @@ def bronze_schema(store: TableStore) -> T.StructType | None:
 
 
 def read_bronze(store: TableStore) -> DataFrame:
+    """All of bronze with the logged union schema; raises if absent."""
     if not store.exists(TABLES.bronze):
         raise ValueError("bronze does not exist yet — run an ingest first")
     schema = bronze_schema(store)
@@ -193,6 +194,8 @@ def write_silver(store: TableStore, bronze: DataFrame, with_quarantine: bool = F
 
 
 def write_gold(spark: SparkSession, store: TableStore, with_sketches: bool = False) -> dict:
+    """The three gold tables from the persisted silver; the loss ratio from
+    the small by-lob-region table, not a silver rescan."""
     silver = store.read(TABLES.silver)              # read back: a table boundary
     if not store.exists(TABLES.firmwide):
         build_reference(spark, store)

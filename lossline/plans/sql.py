@@ -2,8 +2,9 @@
 
 ``register_views`` creates the schema if needed (``CREATE SCHEMA IF NOT
 EXISTS``) and one view per table over its current version, with the table's
-comment, so notebook users can keep writing SQL. ``DASHBOARD_SQL`` holds the
-six dashboard statements against those views; they equal the DataFrame marts
+comment, so notebook users can keep writing SQL. ``dashboard_sql`` and
+``question_sql`` hold the six dashboard statements and the six business
+questions against those views; they equal the DataFrame marts and questions
 (tested).
 """
 
@@ -45,6 +46,8 @@ def register_views(spark: SparkSession, store: TableStore, schema: str = "claims
 
 
 def dashboard_sql(schema: str = "claims_lakehouse") -> dict[str, str]:
+    """The six dashboard datasets as SQL over the views (``:as_of`` for
+    freshness)."""
     g = f"{schema}.gold_claims_by_lob_region"
     lr = f"{schema}.gold_loss_ratio"
     return {

@@ -39,6 +39,7 @@ SCALE_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
+    """Apply the runtime SQL settings to an existing session."""
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
@@ -48,6 +49,7 @@ def configure(spark: SparkSession) -> SparkSession:
 def build_session(master: str | None = None, app: str = "lossline",
                   shuffle_partitions: int | None = None, extra: dict | None = None,
                   scale: bool = False) -> SparkSession:
+    """A session with the runtime settings (and ``SCALE_CONF`` if asked)."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

@@ -118,6 +118,7 @@ def start_gold_daily(silver_stream: DataFrame, store: TableStore, name: str, che
 
 
 def await_all(*queries: StreamingQuery, timeout_s: int = 1800) -> None:
+    """Wait for ``availableNow`` queries; raise their failure or a timeout."""
     for q in queries:
         q.awaitTermination(timeout_s)
         if q.isActive:
