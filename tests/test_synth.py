@@ -25,3 +25,13 @@ def test_domains_and_ranges(spark):
         assert lo <= float(r.claim_amount) <= hi
         assert r.currency == {"UK": "GBP", "Switzerland": "CHF"}.get(r.region, "EUR")
         assert 0 <= (r.reported_date - r.incident_date).days <= 10
+
+
+def test_amounts_are_right_skewed(spark):
+    keys = spark.range(1, 20001).select(F.col("id").alias("claim_txn_id"))
+    df = synthetic_claims(keys)
+    sev = {lob: (lo, hi) for lob, lo, hi in SEVERITY}
+    for r in df.groupBy("lob").agg(F.percentile_approx(F.col("claim_amount").cast("double"), 0.5).alias("median"))\
+               .collect():
+        lo, hi = sev[r.lob]
+        assert r.median < lo + (hi - lo) * 0.35, r      # a uniform draw would sit at 0.5
