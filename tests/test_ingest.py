@@ -116,3 +116,16 @@ def test_partitioned_silver_same_rows_and_report(spark, store):
     part_rows = sorted(map(tuple, store.read(TABLES.silver).select("claim_txn_id", "claim_month").collect()))
     assert flat.quality == part.quality and flat.quality["dropped_rows"] == 1
     assert flat_rows == part_rows
+
+
+def test_every_row_dropped(spark, store):
+    rows = [claim_row(i, claim_id=None) for i in range(1, 6)]
+    jobs.ingest(spark, store, source_df(spark, rows), "src")
+    res = jobs.rebuild(spark, store, with_quarantine=True)
+    assert (res.quality["bronze_rows"], res.quality["silver_rows"], res.quality["dropped_rows"]) == (5, 0, 5)
+    assert store.read(TABLES.silver).count() == 0
+    assert store.read(TABLES.quarantine).count() == 5
+    assert store.read(TABLES.gold_by_lob_region).count() == 0
+    assert store.read(TABLES.gold_claims_daily).count() == 0
+    lr = store.read(TABLES.gold_loss_ratio).collect()
+    assert len(lr) == 48 and all(r.claim_txn_count == 0 and r.vs_target == "UNDER" for r in lr)
