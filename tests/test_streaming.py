@@ -62,3 +62,36 @@ def test_dedup_across_micro_batches(spark):
     out = spark.read.parquet(f"{root}/out")
     assert q.recentProgress and len([p for p in q.recentProgress if p["numInputRows"]]) == 2
     assert out.count() == bronze.count() == out.select("claim_txn_id").distinct().count()
+
+
+def test_replayed_micro_batch_upserts_once(spark):
+    """The handler writes, then the job dies before the epoch commits; the
+    restarted query replays the epoch and the upsert leaves the same rows."""
+    import pytest
+
+    from lossline.operators.gold import claims_daily
+    from lossline.operators.silver import with_event_date
+
+    root = scratch_dir(spark, "replay")
+    silver = catalog.run("silver_claims", spark, SF001)
+    silver.write.parquet(f"{root}/silver")
+    schema = spark.read.parquet(f"{root}/silver").schema
+    store = TableStore(spark, f"{root}/tables")
+    upsert = jobs.upsert_batch(store, "daily")
+
+    def crash_after_write(batch, epoch_id):
+        upsert(batch, epoch_id)
+        raise RuntimeError("crash after the upsert, before the epoch commit")
+
+    def start(handler):
+        agg = claims_daily(with_event_date(jobs.read_parquet_stream(spark, f"{root}/silver", schema)))
+        with jobs.state_partitions(spark, 4):
+            return (agg.writeStream.outputMode("update").option("checkpointLocation", f"{root}/chk")
+                    .foreachBatch(handler).trigger(availableNow=True).start())
+
+    with pytest.raises(Exception):
+        jobs.await_all(start(crash_after_write))
+    jobs.await_all(start(upsert))                       # replays the uncommitted epoch
+    got = store.read("daily").select("event_date", "lob", "claim_txn_count", "incurred_amount",
+                                     "avg_report_lag_days")
+    assert _same(got, catalog.run("gold_claims_daily", spark, SF001))
