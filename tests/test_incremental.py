@@ -100,3 +100,30 @@ def test_rules_change_is_detected_and_reset_rederives(spark, monkeypatch):
     assert res.reset and len(res.batches) == 1
     after = store.read(TABLES.gold_by_lob_region).agg(F.sum("claim_txn_count")).first()[0]
     assert after == before == 1391                   # re-derived once, not added twice
+
+
+def test_refresh_retry_after_crash_before_log(spark, monkeypatch):
+    import pytest
+
+    store = TableStore.scratch(spark, "crash")
+    full = TableStore.scratch(spark, "crash-full")
+    source = fixture_source(spark, SF001)
+    for s in (store, full):
+        jobs.ingest(spark, s, source, "src", ingested_at=DEFAULT_INGESTED_AT)
+    original = TableStore.append_rows
+
+    def crash_on_refresh_log(self, name, rows):
+        if name == TABLES.refresh_log:
+            raise RuntimeError("crash after the silver write, before the refresh log")
+        return original(self, name, rows)
+
+    monkeypatch.setattr(TableStore, "append_rows", crash_on_refresh_log)
+    with pytest.raises(RuntimeError):
+        incremental.refresh(spark, store, state_partitions=4)
+    monkeypatch.setattr(TableStore, "append_rows", original)
+    res = incremental.refresh(spark, store, state_partitions=4)      # the retry
+    assert len(res.batches) == 1
+    jobs.rebuild(spark, full)
+    assert store.read(TABLES.silver_batches).count() == full.read(TABLES.silver).count() == 1391
+    a = store.read(TABLES.gold_by_lob_region)
+    assert _rows(a) == _rows(full.read(TABLES.gold_by_lob_region).select(*a.columns))
