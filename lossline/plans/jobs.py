@@ -4,12 +4,14 @@ Ingest (one call per source and run):
 
 1. watermark ``w`` = last committed upper bound of this source, read from the
    small ingest log (never a scan of bronze); 0 for a new source;
-2. the upper bound ``hi`` is fixed first (one ``max`` aggregate, which a JDBC
-   source answers by aggregate push-down), so every pass sees one slice
-   ``lo < id <= hi`` even while the source keeps growing;
+2. for a live source the upper bound ``hi`` is fixed first (one ``max``
+   aggregate, which a JDBC source answers by aggregate push-down), so every
+   pass sees one slice ``lo < id <= hi`` while the source keeps growing; an
+   immutable file source is read once and ``hi`` is observed on the write;
 3. with ``overlap > 0`` the slice starts ``overlap`` ids below ``w`` and an
-   anti-join against the logged batches of the source keeps only rows not yet
-   in bronze — a late commit with a lower id is ingested exactly once;
+   anti-join against the logged batches reaching into that window (read by
+   partition folder) keeps only rows not yet in bronze — a late commit with a
+   lower id is ingested exactly once;
 4. rows land in partition ``(_source, _batch=n+1)`` with dynamic overwrite,
    so a retry replaces its own unlogged batch and logged batches stay
    immutable; the row count comes from an Observation on that write (no
