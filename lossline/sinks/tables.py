@@ -12,7 +12,10 @@ from layout:
 - ``append_batch``: rows land in partition ``(_source, _batch)`` with
   dynamic partition overwrite, so a retried batch replaces its own
   partition instead of duplicating rows. New columns in later batches are
-  merged at read time (``mergeSchema``).
+  merged at read time: with a union schema given to ``read`` (the ingest
+  log keeps one per batch), or with ``mergeSchema`` as a fallback.
+- ``read_partitions`` lists only the named batch folders; ``append_rows``
+  keeps a small log as one file per version.
 """
 
 from __future__ import annotations
