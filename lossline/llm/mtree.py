@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from .shards import search, usable
 
 LIMIT = float(1 << 26)
+NO_SCORE = -(1 << 62)  # below every product; its negative is no overflow
 
 
 class MTree:
@@ -73,7 +74,7 @@ class MTree:
         """(query row, vec id, score) of each query's k best."""
         n = len(ids)
         none = np.iinfo(np.int64)
-        score, found = np.full((n, k), none.min, np.int64), np.full((n, k), none.max, np.int64)
+        score, found = np.full((n, k), NO_SCORE, np.int64), np.full((n, k), none.max, np.int64)
         far = np.full(n, np.inf)  # distance of the k-th best so far
         q2 = np.einsum("ij,ij->i", q, q) + self.m2
         slack = 1e-6 * (1.0 + np.sqrt(q2))
@@ -129,7 +130,7 @@ class MTree:
             return
         none = np.iinfo(np.int64)
         rows = g[better]
-        s = np.where(ok[better], s[better], none.min)
+        s = np.where(ok[better], s[better], NO_SCORE)
         c = np.where(ok[better], np.broadcast_to(cand, (len(better), len(cand))), none.max)
         if s.shape[1] > 4 * k:  # all that can be among the k best, ties included
             kth = -np.partition(-s, k - 1, axis=1)[:, k - 1]
@@ -138,7 +139,7 @@ class MTree:
                 pick = np.argsort(-s, axis=1, kind="stable")[:, :width]
                 s, c = np.take_along_axis(s, pick, 1), np.take_along_axis(c, pick, 1)
         s, c = np.concatenate([score[rows], s], axis=1), np.concatenate([found[rows], c], axis=1)
-        order = np.lexsort((c, -s.astype(np.float64) if np.abs(s[s > none.min]).max(initial=0) < 2 ** 52 else ~s), axis=1)[:, :k]
+        order = np.lexsort((c, -s), axis=1)[:, :k]
         score[rows], found[rows] = np.take_along_axis(s, order, 1), np.take_along_axis(c, order, 1)
         full = found[rows, -1] != none.max
         far[rows[full]] = np.sqrt(np.maximum(q2[rows[full]] - 2.0 * score[rows[full], -1], 0.0))
@@ -149,8 +150,8 @@ def top_products(vectors: DataFrame, is_query: Column, k: int = 20, scale: float
                  queries_per_block: int = 1024) -> DataFrame:
     """The k largest integer inner products of each query (``is_query`` is over ``id``).
 
-    Components become floor(scale * x), held within +-2^26 so that a product of
-    vectors of up to 2^10 components fits in a long.
+    Components become floor(scale * x), held within +-2^26 so that products
+    of vectors of up to 2^9 components stay within +-2^61.
     """
     v = usable(vectors, id_col, vec_col)
     v = v.withColumn("vec", F.transform("vec", lambda x: F.greatest(F.lit(-LIMIT), F.least(

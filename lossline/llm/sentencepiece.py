@@ -50,6 +50,8 @@ class Codec:
         self.byte_id = {int(p[3:5], 16): i for i, (p, _, k) in enumerate(pieces) if k == 1}
         if len(self.byte_id) != 256:
             raise ValueError("the model has no complete byte pieces")
+        if not any(p == SPACE and k == 0 for p, _, k in pieces):
+            raise ValueError("the model has no piece for a single space")
         self.automaton = ahocorasick.Automaton()
         lowest = 0.0
         for i, (p, score, k) in enumerate(pieces):

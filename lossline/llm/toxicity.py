@@ -2,7 +2,7 @@
 
 The kernel compares strings by the three-letter subsequences they share, each
 counted as ``decay`` to the power of its span, so ``i.d.i.o.t`` or ``idiiot`` stay
-near ``idiot``. Strings are words (a mark before the first letter, letters
+near ``idiot``. Strings are words (marks around it, letters
 without accents, other characters as two symbols) and, for longer ones,
 overlapping windows; single letters set apart by spaces are also read as one.
 
@@ -60,7 +60,7 @@ def _symbol(c: str) -> tuple[int, ...]:
 
 
 def codes(word: str) -> list[int]:
-    """Symbols of a word after the start mark 0, without punctuation at its ends."""
+    """Symbols of a word between the marks 0 and 29, without punctuation at its ends."""
     out = [0]
     for c in word.strip(".,;:!?\"'()[]{}|*-_"):
         i = _LETTERS.get(c)
@@ -68,14 +68,26 @@ def codes(word: str) -> list[int]:
             out.append(i)
         else:
             out.extend(_symbol(c))
+    out.append(29)
     return out
 
 
 def windows(word: str) -> list[list[int]]:
+    """Readings of a word: as it stands and, if it has other symbols, its letters alone;
+    long ones in overlapping windows."""
     c = codes(word)
-    if len(c) <= WINDOW:
-        return [c]
-    return [c[i:i + WINDOW] for i in range(0, len(c) - WINDOW + STEP, STEP)]
+    readings = [c]
+    if not word.isalpha() and (27 in c or 28 in c):
+        letters = [x for x in c if x not in (27, 28)]
+        if len(letters) > 4:
+            readings.append(letters)
+    return [r[i:i + WINDOW] for r in readings for i in range(0, max(1, len(r) - WINDOW + STEP), STEP)]
+
+
+def inserted(word: str, seed: int) -> str:
+    """The word with one letter put in, as a training example of a disguised word."""
+    at = 1 + seed % max(1, len(word) - 1)
+    return word[:at] + chr(97 + (seed * 7 + len(word)) % 26) + word[at:]
 
 
 _known_triples: dict[tuple[int, float], tuple] = {}
@@ -163,16 +175,18 @@ def kernel(a: list[list[int]], b: list[list[int]], decay: float) -> np.ndarray:
 
 
 def train_machine(positive: list[str], negative: list[str], landmarks: int, decay: float, cost: float) -> tuple[np.ndarray, float]:
-    """Table and bias of the machine; positives and negatives weigh the same in total."""
+    """Table and bias of the machine. Negatives weigh three times as much in total: a
+    text has many words. Landmarks are the first positives and the last negatives."""
     pos, neg = [codes(w)[:WINDOW] for w in positive], [codes(w)[:WINDOW] for w in negative]
-    z = pos[:landmarks * 3 // 4] + neg[:landmarks // 4]
+    pos += [codes(inserted(w, i))[:WINDOW] for i, w in enumerate(positive) if len(w) >= 5]
+    z = pos[:landmarks // 2] + neg[-(landmarks // 2):]
     kz = kernel(z, z, decay)
     value, vector = np.linalg.eigh(kz)
     good = value > 1e-6 * value.max()
     white = vector[:, good] / np.sqrt(value[good])
     x = kernel(pos + neg, z, decay) @ white
     y = np.r_[np.ones(len(pos)), -np.ones(len(neg))]
-    c = np.where(y > 0, 0.5 / len(pos), 0.5 / len(neg)) * cost
+    c = np.where(y > 0, 0.25 / len(pos), 0.75 / len(neg)) * cost
     x1 = np.c_[x, np.ones(len(x))]
     w = np.zeros(x1.shape[1])
     reg = np.r_[np.ones(x.shape[1]), 1e-3]
@@ -207,7 +221,7 @@ def _logistic(f: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def fit(train: DataFrame, max_docs: int = 20_000, max_positive: int = 600, max_negative: int = 3_000,
-        landmarks: int = 256, decay: float = 0.6, cost: float = 2_000.0, least_excess: float = 4.0) -> dict | None:
+        landmarks: int = 384, decay: float = 0.6, cost: float = 20_000.0, least_excess: float = 4.0, rounds: int = 4) -> dict | None:
     """Model from ``train(text, toxic)``; None without both classes.
 
     Bounds: about ``max_docs`` hash-chosen labelled texts are read, and the driver
@@ -266,23 +280,24 @@ def fit(train: DataFrame, max_docs: int = 20_000, max_positive: int = 600, max_n
     positive = [r["w"] for r in rows if r["z"] >= least_excess][:max_positive]
     if not positive:
         return None
-    other = stats.where(~F.col("w").isin(positive[:1]) & (F.col("n") > 0) & (F.length("w") >= 3))
+    other = stats.where((F.col("n") > 0) & (F.length("w") >= 3))
     negative = [r["w"] for r in other.orderBy(F.xxhash64("w"), "w").limit(max_negative // 2).collect()]
     known = set(positive)
     negative = [w for w in negative if w not in known]
-    for again in range(3):
+    for again in range(rounds):
         table, bias = train_machine(positive, negative, landmarks, decay, cost)
         model = {"table": table.astype(np.float32), "bias": bias, "decay": decay}
-        if again < 2:  # the worst words of clean texts join the negatives
+        if again < rounds - 1:  # the worst words that are not typical of toxic texts join the negatives
             taken = known | set(negative)
-            hard = _word_values(other.where("p = 0 OR n > 2 * p").select("w"), model).orderBy(F.col("v").desc(), "w").limit(max_negative // 2).collect()
+            hard = (_word_values(other.where("z < 1").select("w"), model).where("v > -0.5")
+                    .orderBy(F.col("v").desc(), "w").limit(max_negative // 2).collect())
             fresh = [r["w"] for r in hard if r["w"] not in taken][:max_negative // 4]
-            negative += fresh
+            negative += reversed(fresh)
             if not fresh:
                 break
     pairs = score(train, {**model, "slope": 1.0, "shift": 0.0}).select("tox_value", "toxic").collect()
     model["slope"], model["shift"] = _logistic(np.array([r[0] for r in pairs]), np.array([r[1] for r in pairs]))
-    model["landmarks"] = positive[:landmarks * 3 // 4]
+    model["landmarks"] = positive[:landmarks // 2]
     return model
 
 
