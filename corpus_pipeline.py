@@ -35,8 +35,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Draws whole documents to the source targets; one row for each copy taken."""
-    weighted = mixing.label_weight(docs, table(spark, sf_dir, "labels"))
-    mixed = mixing.mix(weighted, F.col("mix_weight"), boundary="nearest")
+    mixed = mixing.mix(docs, mixing.label_weights(table(spark, sf_dir, "labels")), boundary="nearest")
     return (mixed.where("mix_copies > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))))
             .select(*docs.columns))
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, row_key
 
 WORD = r"[^\x20\x09-\x0D]+"
 CYCLE = (5.0, 2.0, 1.0)
@@ -57,28 +57,32 @@ def source_targets(sizes: DataFrame, cycle: tuple[float, ...] = CYCLE, max_epoch
     return s.select("source", "source_size", "weight", "target")
 
 
-def mix(docs: DataFrame, quality_weight: Column | None = None, cycle: tuple[float, ...] = CYCLE,
-        max_epochs: int = 3, rows_per_range: int = 20_000, boundary: str = "split") -> DataFrame:
-    """``docs`` with ``mix_size, mix_source_size, mix_target, mix_copies, mix_taken``.
+def plan(docs: DataFrame, weights: DataFrame | None = None, cycle: tuple[float, ...] = CYCLE, max_epochs: int = 3,
+         rows_per_range: int = 2_000, boundary: str = "split") -> DataFrame:
+    """For each row of ``docs``: ``doc_id, mix_row`` (its row key), ``mix_size,
+    mix_source_size, mix_target, mix_copies, mix_taken``.
 
+    ``weights(doc_id, weight)`` are quality weights (1 where missing).
     ``mix_copies`` is the number of whole copies, ``mix_taken`` the words.
     ``boundary``: what happens to the document in which a budget ends: ``split``
     takes just its words up to the budget, ``nearest`` takes all or nothing,
     whichever ends nearer to the budget. ``rows_per_range`` bounds what one task
-    sorts.
+    sorts. Texts are read once and not shuffled.
     """
     if boundary not in ("split", "nearest"):
         raise ValueError(f"boundary: {boundary}")
-    names = docs.columns
-    weight = F.coalesce(quality_weight, F.lit(1.0)) if quality_weight is not None else F.lit(1.0)
     # 52 hash bits: u in (0, 1), the same in every run
-    u = (F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|mix"))
+    u = (F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit("|mix"))
                                   .cast("binary")), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
-    d = docs.select(F.struct(*[f"`{c}`" for c in names]).alias("row"), F.col("source").alias("source"),
-                    F.col("doc_id").alias("id"), word_count(F.col("text")).alias("mix_size"),
-                    weight.cast("double").alias("w"), u.alias("u"))
-    d = d.withColumn("key", -F.log("u") / F.col("w")).drop("u")
-    slim = materialize(d.drop("row"), "mix-sizes")
+    d = docs.select(F.col("source").alias("source"), F.col("doc_id").alias("id"),
+                    word_count(F.col("text")).alias("mix_size"),
+                    row_key(F.col("doc_id"), F.col("text")).alias("mix_row"))
+    if weights is None:
+        d = d.withColumn("w", F.lit(1.0))
+    else:
+        d = d.join(weights.select(F.col("doc_id").alias("w_id"), F.col("weight").cast("double").alias("w")),
+                   F.col("id") == F.col("w_id"), "left").drop("w_id").fillna({"w": 1.0})
+    slim = materialize(d.withColumn("key", -F.log(u) / F.col("w")), "mix-sizes")
     sizes = slim.groupBy("source").agg(F.sum("mix_size").alias("source_size"), F.count("*").alias("source_rows"),
                                        F.avg("w").alias("mean_w"))
     t = source_targets(sizes, cycle, max_epochs).join(
@@ -90,17 +94,17 @@ def mix(docs: DataFrame, quality_weight: Column | None = None, cycle: tuple[floa
                     .withColumnRenamed("source", "s2"), "mix-targets")
     same_source = F.col("source").eqNullSafe(F.col("s2"))
     # monotone in the key and near uniform, so ranges hold about equally many rows
-    slim = slim.join(t, same_source).withColumn(
+    ranged = slim.join(t, same_source).withColumn(
         "range", F.floor(F.col("ranges") * (1 - F.exp(-F.col("key") * F.col("mean_w")))))
     by_range = W.partitionBy("s2").orderBy("r2").rowsBetween(W.unboundedPreceding, -1)
-    ending = (slim.groupBy("s2", F.col("range").alias("r2"))
+    ending = (ranged.groupBy("s2", F.col("range").alias("r2"))
               .agg(F.sum("mix_size").alias("in_range"), F.first("budget").alias("b"))
               .withColumn("before", F.coalesce(F.sum("in_range").over(by_range), F.lit(0)))
               .where((F.col("before") < F.col("b")) & (F.col("before") + F.col("in_range") >= F.col("b")))
               .select(F.col("s2").alias("s3"), "r2", "before"))
     in_order = W.partitionBy("source").orderBy("key", "id", "mix_size").rowsBetween(W.unboundedPreceding, -1)
     # the (tied) documents in which each budget ends, and the words left for them
-    end = (slim.join(ending, F.col("source").eqNullSafe(F.col("s3")) & (F.col("range") == F.col("r2")))
+    end = (ranged.join(ending, F.col("source").eqNullSafe(F.col("s3")) & (F.col("range") == F.col("r2")))
            .groupBy("source", "key", "id", "mix_size").agg(
                F.count("*").alias("ties"), F.first("budget").alias("budget"), F.first("before").alias("before"))
            .withColumn("left", F.col("budget") - F.col("before")
@@ -115,16 +119,26 @@ def mix(docs: DataFrame, quality_weight: Column | None = None, cycle: tuple[floa
         part = F.when(2 * F.col("left") > size * F.col("ties"), size).otherwise(0)
     part = (F.when((F.col("budget") <= 0) | F.col("end").isNull(), 0)
             .when(at < F.col("end"), size).when(at == F.col("end"), part).otherwise(0))
-    return (d.join(t, same_source).withColumn("part", part)
-            .select("row.*", size, F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"),
+    return (slim.select("source", "key", "id", "mix_size", "mix_row").join(t, same_source).withColumn("part", part)
+            .select(F.col("id").alias("doc_id"), "mix_row", size, F.col("source_size").alias("mix_source_size"),
+                    F.col("target").alias("mix_target"),
                     (F.col("epochs") + F.when((F.col("part") == size) & (size > 0), 1).otherwise(0))
                     .cast("int").alias("mix_copies"),
                     (F.col("epochs") * size + F.col("part")).cast("long").alias("mix_taken")))
 
 
-def label_weight(docs: DataFrame, labels: DataFrame, good: float = 2.0, bad: float = 0.5) -> DataFrame:
-    """``docs`` with ``mix_weight`` from the quality label (1 where there is none)."""
-    q = labels.groupBy(F.col("doc_id").alias("l_id")).agg(F.max("quality").alias("q"))
-    return (docs.join(q, F.col("doc_id") == F.col("l_id"), "left")
-            .withColumn("mix_weight", F.when(F.col("q") == 1, good).when(F.col("q") == 0, bad).otherwise(1.0))
-            .drop("l_id", "q"))
+def mix(docs: DataFrame, weights: DataFrame | None = None, **how) -> DataFrame:
+    """``docs`` with ``mix_size, mix_source_size, mix_target, mix_copies, mix_taken``
+    (see ``plan``)."""
+    added = ["mix_size", "mix_source_size", "mix_target", "mix_copies", "mix_taken"]
+    names = [c for c in docs.columns if c not in added]
+    planned = plan(docs, weights, **how).dropDuplicates(["mix_row"]).select(
+        F.col("mix_row").alias("__row"), F.struct(*added).alias("__plan"))
+    return (docs.withColumn("__key", row_key(F.col("doc_id"), F.col("text"))).join(planned, F.col("__key") == F.col("__row"))
+            .select(*[f"`{c}`" for c in names], "__plan.*"))
+
+
+def label_weights(labels: DataFrame, good: float = 2.0, bad: float = 0.5) -> DataFrame:
+    """``doc_id, weight`` from the quality labels."""
+    return (labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("q"))
+            .select("doc_id", F.when(F.col("q") == 1, good).when(F.col("q") == 0, bad).otherwise(1.0).alias("weight")))

@@ -44,8 +44,7 @@ def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    docs = mixing.label_weight(docs, table(spark, sf_dir, "labels"))
-    mixed = mixing.mix(docs, F.col("mix_weight"))
+    mixed = mixing.plan(docs, mixing.label_weights(table(spark, sf_dir, "labels")))
     return mixed.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"),
                         F.col("mix_target").alias("target"), F.col("mix_taken").alias("taken"))
 

@@ -51,7 +51,7 @@ def test_equals_plain_sampling(spark):
     want = taken(rows, q)
     got = queries.op6_mixing(spark, sf).collect()
     assert {r["doc_id"]: r["taken"] for r in got} == want
-    small = mixing.mix(mixing.label_weight(docs, spark.read.parquet(f"{sf}/labels.parquet")), F.col("mix_weight"), rows_per_range=7)
+    small = mixing.mix(docs, mixing.label_weights(spark.read.parquet(f"{sf}/labels.parquet")), rows_per_range=7)
     assert {r["doc_id"]: r["mix_taken"] for r in small.collect()} == want
     by = defaultdict(int)
     for r in got:

@@ -34,7 +34,9 @@ def test_kernel_and_table():
     f = toxicity._features(z, 0.6)
     np.add.at(table, f["col"], f["val"] * beta[f["row"]])
     got = toxicity.Values(table, 0.0, 0.6).texts([{w} for w in words])
-    assert np.allclose(got, np.maximum(toxicity.kernel(c, z, 0.6) @ beta, 0.0), atol=1e-5)
+    want = np.maximum(toxicity.kernel(c, z, 0.6) @ beta, 0.0)
+    want[3] = max(want[3], want[0])  # i.d.i.o.t is also read without its marks
+    assert np.allclose(got, want, atol=1e-5)
 
 
 def test_held_out_and_gapped(spark):
