@@ -7,9 +7,10 @@ at white space). Equal sets are collapsed to one class first. Each class gets
 bucket. In each bucket every class is compared with the bucket's most connected
 class (signatures first, then the full sets of 64-bit shingle hashes). After a
 first round of components, buckets that still hold several components compare
-the members outside their largest component with all others, in blocks; pairs
-within one component need no test any more. So all links between different
-components are tested, without listing all pairs of a group.
+the members outside their largest component with all others on their full sets,
+in blocks that give only links joining components; pairs within one component
+need no test any more. So all links between different components are tested,
+without listing the pairs of a group.
 
 With 32 bands of 4 rows a pair at similarity 0.8 shares no band with probability
 5e-8; the signature test lets a pair at the threshold fail with about 1e-5.
@@ -144,10 +145,42 @@ def _agreeing(pairs: DataFrame, sigs: DataFrame, least: int) -> DataFrame:
     return p.mapInArrow(run, "u long, v long")
 
 
-def _late_pairs(members: DataFrame, comps: DataFrame, sigs: DataFrame, least: int, block: int) -> DataFrame:
-    """Pairs of different components that share a bucket ``members(band, node)``
-    and whose signatures agree; in blocks, members of a bucket's largest component
-    meet only those outside it."""
+def _block_links(few: list[np.ndarray], few_comps: list[int], every: list[np.ndarray], every_comps: list[int],
+                 percent: int) -> list[tuple[int, int]]:
+    """Linked places (in ``few``, in ``every``) that join components not yet joined."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.get(x, x) != x:
+            parent[x] = x = parent.get(parent[x], parent[x])
+        return x
+
+    sizes = np.array([len(x) for x in every])
+    values, places = np.unique(np.concatenate(every), return_inverse=True)
+    starts = np.r_[0, np.cumsum(sizes)[:-1]]
+    held = np.zeros(len(values) + 1, np.int32)
+    out = []
+    for i, own in enumerate(few):
+        at = np.searchsorted(values, own)
+        at = np.where((at < len(values)) & (values[np.minimum(at, len(values) - 1)] == own), at, len(values))
+        held[at] = 1
+        held[-1] = 0
+        both = np.add.reduceat(held[places], starts)  # shared shingles with each member at once
+        held[at] = 0
+        for j in np.nonzero(100 * both >= percent * (len(own) + sizes - both))[0].tolist():
+            x, y = find(few_comps[i]), find(every_comps[j])
+            if x != y:
+                parent[x] = y
+                out.append((i, j))
+    return out
+
+
+def _late_links(members: DataFrame, comps: DataFrame, texts: DataFrame, k: int, percent: int, block: int) -> DataFrame:
+    """Links between different components that share a bucket ``members(band, node)``.
+
+    Members outside a bucket's largest component meet all its members, block by
+    block, on their full sets; a block gives only links that join components, so
+    no more rows than it has members."""
     m = (members.join(comps, "node", "left")
          .select("band", "node", F.coalesce("component", "node").alias("comp")))
     by_comp = m.groupBy("band", "comp").agg(F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h"))
@@ -158,31 +191,30 @@ def _late_pairs(members: DataFrame, comps: DataFrame, sigs: DataFrame, least: in
     buckets = (buckets.groupBy("n", "h", "main").agg(F.min("band").alias("band"), F.first("top").alias("top"))
                .select("band", "main", F.ceil((F.col("n") - F.col("top")) / block).cast("int").alias("few"),
                        F.ceil(F.col("n") / block).cast("int").alias("many")))
-    m = materialize(m.join(buckets, "band").join(sigs, "node"), "late-members")
+    m = materialize(m.join(buckets, "band"), "late-members")
     part = F.xxhash64("node", F.lit(5))
     few = (m.where("comp <> main").withColumn("i", F.pmod(part, F.col("few")).cast("int"))
-           .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("many") - 1))))
+           .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("many") - 1))).withColumn("side", F.lit(0)))
     every = (m.withColumn("j", F.pmod(part, F.col("many")).cast("int"))
-             .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("few") - 1))))
-    names = ["band", "i", "j", "node", "comp", "sig"]
+             .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("few") - 1))).withColumn("side", F.lit(1)))
+    names = ["band", "i", "j", "side", "node", "comp"]
+    both = few.select(names).unionByName(every.select(names)).join(texts, "node")
 
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"u": np.empty(0, np.int64), "v": np.empty(0, np.int64)})
-        a, b = (np.frombuffer(b"".join(x["sig"]), np.uint8).reshape(len(x), -1) for x in (left, right))
-        us, vs = [], []
-        rn, rc = right["node"].to_numpy(), right["comp"].to_numpy()
-        for node, comp, sig in zip(left["node"], left["comp"], a):
-            hit = np.nonzero(((b == sig).sum(axis=1) >= least) & (rc != comp))[0]
-            us.append(np.maximum(rn[hit], node)), vs.append(np.minimum(rn[hit], node))
-        return pd.DataFrame({"u": np.concatenate(us), "v": np.concatenate(vs)})
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        words = _Words()
+        nodes, sets = rows["node"].tolist(), [shingles(t, k, words) for t in rows["text"]]
+        comp, side = rows["comp"].tolist(), rows["side"].tolist()
+        a, b = ([n for n, x in enumerate(side) if x == s] for s in (0, 1))
+        pairs = _block_links([sets[x] for x in a], [comp[x] for x in a], [sets[x] for x in b], [comp[x] for x in b],
+                             percent) if a and b else []
+        return pd.DataFrame({"u": np.array([nodes[a[i]] for i, _ in pairs], np.int64),
+                             "v": np.array([nodes[b[j]] for _, j in pairs], np.int64)})
 
-    return (few.select(names).groupBy("band", "i", "j").cogroup(every.select(names).groupBy("band", "i", "j"))
-            .applyInPandas(run, "u long, v long").distinct())
+    return both.groupBy("band", "i", "j").applyInPandas(run, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = 32, rows: int = 4,
-                    block: int = 512) -> DataFrame:
+                    block: int = 256) -> DataFrame:
     """``docs`` with ``nd_shingles`` (set size), ``nd_component`` (smallest id
     reachable) and ``nd_kept`` (whether that is the row's own id)."""
     added = ["nd_shingles", "nd_component", "nd_kept"]
@@ -235,9 +267,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
                         .dropDuplicates(["node"]), "nd-texts")
     edges = materialize(_verified(stars, texts, k, percent), "nd-edges")
     comps = materialize(components(edges), "nd-components")
-    late = _late_pairs(members.select("band", "node"), comps, sigs, least, block)
-    late = late.join(stars, ["u", "v"], "left_anti")
-    more = materialize(_verified(late, texts, k, percent), "nd-edges")
+    more = materialize(_late_links(members.select("band", "node"), comps, texts, k, percent, block), "nd-edges")
     if more.take(1):
         comps = materialize(components(edges.unionByName(more)), "nd-components")
     labelled = classes.select("node", "rep").join(comps, "node", "left").select(
