@@ -111,6 +111,31 @@ def _matrix(parts: list[bytes], width: int) -> np.ndarray:
     return np.frombuffer(b"".join(p.ljust(width, b"\0") for p in parts), np.uint8).reshape(len(parts), width)
 
 
+class _RangeMin:
+    """Least of the values between neighbouring ranks."""
+
+    def __init__(self, values: np.ndarray):
+        self.plain = values.tolist()
+        self.table = [values]
+        while 2 << (len(self.table) - 1) <= len(values):
+            t, half = self.table[-1], 1 << (len(self.table) - 1)
+            self.table.append(np.minimum(t[:-half], t[half:]))
+
+    def of(self, ranks: list[int]) -> list[int]:
+        if len(ranks) < 12 and ranks[-1] - ranks[0] < 200:
+            v = self.plain
+            return [min(v[a:b]) for a, b in zip(ranks, ranks[1:])]
+        r = np.array(ranks)
+        a, b = r[:-1], r[1:]
+        level = np.frexp((b - a).astype(float))[1] - 1
+        out = np.empty(len(a), np.int64)
+        for k in np.unique(level).tolist():
+            m = level == k
+            t = self.table[k]
+            out[m] = np.minimum(t[a[m]], t[b[m] - (1 << k)])
+        return out.tolist()
+
+
 def scan(lefts: list[bytes], rights: list[bytes], length: int, gram: int) -> Iterator[tuple[int, int, list[int]]]:
     """Maximal repeat groups of one gram's contexts: (left bytes, right bytes, members).
 
@@ -128,38 +153,39 @@ def scan(lefts: list[bytes], rights: list[bytes], length: int, gram: int) -> Ite
     for r, i in enumerate(by_left):
         rank[i] = r
     llens = np.array([len(back[i]) for i in by_left])
-    lcs = _shared(_matrix([back[i] for i in by_left], max(1, length - gram)), llens).tolist()
+    lcs = _shared(_matrix([back[i] for i in by_left], max(1, length - gram)), llens)
+    common = _RangeMin(lcs)
+    longest = int(lcs.max(initial=0))
 
     def classes(p: int, members: list[int]) -> Iterator[tuple[int, int, list[int]]]:
         """Groups with length - p equal bytes on the left, each to its full left extent."""
         need = length - p
-        ranks = sorted(rank[i] for i in members)
-        group, least = [ranks[0]], 1 << 30
-        for a, b in zip(ranks, ranks[1:]):
-            common = min(lcs[a:b])
-            if common >= need:
-                group.append(b)
-                least = min(least, common)
-            else:
-                if len(group) > 1:
-                    yield from nested(p, group)
-                group, least = [b], 1 << 30
-        if len(group) > 1:
-            yield from nested(p, group)
-
-    def nested(p: int, group: list[int]) -> Iterator[tuple[int, int, list[int]]]:
-        # each neighbour pair's common left is a repeat; the group shares the least
-        commons = [min(lcs[a:b]) for a, b in zip(group, group[1:])]
-        yield min(commons), p, [by_left[r] for r in group]
-        best: dict[int, list[int]] = {}
-        for k, r in enumerate(group):
-            m = max(commons[k - 1] if k else 0, commons[k] if k < len(commons) else 0)
-            if m > min(commons):
-                best.setdefault(m, []).append(by_left[r])
-        for m, members in best.items():
-            yield m, p, members
-
-    # stack of open intervals: [prefix length, first rank, ranks done by children alone]
+        if longest < need:
+            return
+        ranks = sorted([rank[i] for i in members])
+        commons = common.of(ranks)
+        at = 0
+        while at < len(commons):
+            if commons[at] < need:
+                at += 1
+                continue
+            end = at
+            while end < len(commons) and commons[end] >= need:
+                end += 1
+            part = commons[at:end]
+            least = min(part)
+            yield least, p, [by_left[r] for r in ranks[at:end + 1]]
+            # neighbours in the order of left contexts may share more than the group
+            best: dict[int, list[int]] = {}
+            for k in range(at, end + 1):
+                m = max(commons[k - 1] if k > at else 0, commons[k] if k < end else 0)
+                if m > least:
+                    best.setdefault(m, []).append(by_left[ranks[k]])
+            for m, some in best.items():
+                yield m, p, some
+            at = end
+
+    # stack of open intervals: (prefix length, first rank)
     stack: list[tuple[int, int]] = []
     for i in range(n):
         value = lcp[i] if i < n - 1 else -1
@@ -172,9 +198,28 @@ def scan(lefts: list[bytes], rights: list[bytes], length: int, gram: int) -> Ite
             stack.append((value, begin))
 
 
+def _prefix(a: bytes, b: bytes) -> int:
+    """Length of the common prefix, by halving."""
+    n = min(len(a), len(b))
+    if a[:n] == b[:n]:
+        return n
+    low, high = 0, n
+    while high - low > 1:
+        mid = (low + high) // 2
+        if a[low:mid] == b[low:mid]:
+            low = mid
+        else:
+            high = mid
+    return low
+
+
 def extents(lefts: list[bytes], rights: list[bytes], length: int, gram: int) -> tuple[list[int], list[int]]:
     """Furthest repeated bytes left and right of each context's anchor (0, 0: none)."""
     n = len(lefts)
+    if n == 2:  # most grams: one interval, one class
+        r = _prefix(rights[0], rights[1])
+        l = _prefix(lefts[0][::-1], lefts[1][::-1])
+        return ([l, l], [r, r]) if r >= gram and l + r >= length else ([0, 0], [0, 0])
     left, right = [0] * n, [0] * n
     for l, r, members in scan(lefts, rights, length, gram):
         for i in members:
@@ -185,7 +230,7 @@ def extents(lefts: list[bytes], rights: list[bytes], length: int, gram: int) ->
     return left, right
 
 
-def repeated_spans(docs: DataFrame, length: int = 200, gram: int = 32, hot: int = 5_000) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = 200, gram: int = 32, hot: int = 100_000) -> DataFrame:
     """``row, spans``: for each row key (see ``row_key``) with repeats, its spans
     (begin, end) of repeated bytes; overlapping ones are not yet united."""
     keyed = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("row"), "text").where(F.length("text") > 0)
@@ -209,8 +254,15 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = 32, hot: int
                  pa.array(cat(row, np.int64)), pa.array(cat(at, np.int32)), pa.array(cat(ll, np.int16)),
                  pa.array(cat(rl, np.int16))], names=["fp", "ctx", "row", "at", "ll", "rl"])
 
+    def list_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 4 << 20):
+            found = [anchors(t.encode("utf-8", "surrogatepass"), length, gram)[1] for t in batch.column("text").to_pylist()]
+            fp, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.empty(0, np.uint64),) * 2
+            yield pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), pa.array(n.astype(np.int64))], names=["fp", "n"])
+
     listed = keyed.mapInArrow(list_anchors, "fp long, ctx long, row long, at int, ll short, rl short")
-    twice = listed.groupBy("fp").agg(F.count("*").alias("c")).where("c > 1").select("fp")
+    twice = (keyed.select("text").mapInArrow(list_hashes, "fp long, n long").groupBy("fp").agg(F.sum("n").alias("n"))
+             .where("n > 1").select("fp"))
     found = materialize(listed.join(twice, "fp"), "sa-anchors")
     contexts = materialize(found.groupBy("fp", "ctx", "ll", "rl")
                            .agg(F.count("*").alias("n"), F.min(F.struct("row", "at")).alias("at")), "sa-contexts")
@@ -320,7 +372,7 @@ def digest(data: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, bytes]:
     return removed, count, b"".join(kept)
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 32, hot: int = 5_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 32, hot: int = 100_000) -> DataFrame:
     """``docs`` with ``sa_bytes``, ``sa_removed``, ``sa_spans`` (united), the number
     ``sa_runs`` and ``sa_sha256`` of the bytes left."""
     added = [("sa_bytes", T.LongType()), ("sa_removed", T.LongType()), ("sa_runs", T.LongType()),
