@@ -95,7 +95,7 @@ def dedup(docs: DataFrame, window: int = 2, divisor: int = 4, least: int = 2) ->
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(nos, pa.int32()),
                                               pa.array(data, pa.binary())], names=["f_row", "f_no", "f_data"])
 
-    texts = (keyed.join(wanted, F.col("ck_row") == F.col("w_row"))
+    texts = (keyed.join(wanted.hint("merge"), F.col("ck_row") == F.col("w_row"))
              .select("ck_row", "ck_text", "w_nos").mapInArrow(first_texts, "f_row long, f_no int, f_data binary"))
     texts = texts.dropDuplicates(["f_row", "f_no"])
     firsts = (groups.select("ck_hi", "ck_lo", "first")
@@ -134,5 +134,5 @@ def dedup(docs: DataFrame, window: int = 2, divisor: int = 4, least: int = 2) ->
                                              names=names + added)
 
     joined = (docs.withColumn("__row", row_key(F.col("doc_id"), F.col("text")))
-              .join(repeats, F.col("__row") == F.col("__r_row"), "left"))
+              .join(repeats.hint("merge"), F.col("__row") == F.col("__r_row"), "left"))
     return joined.select(*[f"`{c}`" for c in names], "__cut").mapInArrow(cut, T.StructType(out_fields))
