@@ -13,6 +13,9 @@ Shape for scale:
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -99,47 +102,27 @@ def _keys(df: DataFrame, compat: bool) -> DataFrame:
     return df.withColumn("_k_lob", match_key("lob")).withColumn("_k_region", match_key("region"))
 
 
-# Firmwide keys above this many rows are joined by shuffle, not broadcast.
-BROADCAST_ROW_LIMIT = 100_000
-
-
-def _broadcastable(df: DataFrame, limit: int) -> bool:
-    """Checked bound: True when ``df`` has at most ``limit`` rows (reads at
-    most ``limit + 1`` rows of a dimension; 48 for the firmwide book)."""
-    return df.limit(limit + 1).count() <= limit
-
-
-def _maybe_broadcast(df: DataFrame, ok: bool) -> DataFrame:
-    return F.broadcast(df) if ok else df
-
-
-def loss_ratio(claims_agg: DataFrame, firmwide: DataFrame, compat: bool = False,
-               broadcast_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+def loss_ratio(claims_agg: DataFrame, firmwide: DataFrame, compat: bool = False) -> DataFrame:
     """Every firmwide (lob, region) with its incurred claims and ratio.
 
     ``compat=True`` joins on the exact strings like the reference, so the
     ``Uk`` claims never meet the ``UK`` premium. The default matches keys
     case-insensitively and reports the firmwide spelling.
 
-    Broadcasts only behind a size check: the firmwide keys are counted (up
-    to ``broadcast_limit``); within the limit they and the matched claims
-    (at most one row per firmwide key) are broadcast, beyond it both joins
-    shuffle and AQE decides at run time.
+    Which side is broadcast is left to Spark's byte threshold and AQE.
     """
     fw = _keys(firmwide, compat)
     keys = fw.select("_k_lob", "_k_region")
-    small = _broadcastable(keys, broadcast_limit)
     matched = (
         _keys(claims_agg, compat)
-        .join(_maybe_broadcast(keys, small), ["_k_lob", "_k_region"], "left_semi")
+        .join(keys, ["_k_lob", "_k_region"], "left_semi")
         .groupBy("_k_lob", "_k_region")
         .agg(F.sum("incurred_amount").cast(INCURRED_TYPE).alias("incurred_amount"),
              F.sum("claim_txn_count").alias("claim_txn_count"))
     )
     incurred = F.coalesce(F.col("incurred_amount"), F.lit(0))
-    # ``matched`` holds at most one row per firmwide key: bounded by the check
     return (
-        fw.join(_maybe_broadcast(matched, small), ["_k_lob", "_k_region"], "left")
+        fw.join(matched, ["_k_lob", "_k_region"], "left")
         .select(
             "lob", "region",
             incurred.cast("decimal(18,2)").alias("incurred_amount"),
@@ -151,13 +134,11 @@ def loss_ratio(claims_agg: DataFrame, firmwide: DataFrame, compat: bool = False,
     )
 
 
-def unmatched_claims(claims_agg: DataFrame, firmwide: DataFrame, compat: bool = True,
-                     broadcast_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+def unmatched_claims(claims_agg: DataFrame, firmwide: DataFrame, compat: bool = True) -> DataFrame:
     """Claims groups with no firmwide row — the incurred the join loses."""
     keys = _keys(firmwide, compat).select("_k_lob", "_k_region")
     return (_keys(claims_agg, compat)
-            .join(_maybe_broadcast(keys, _broadcastable(keys, broadcast_limit)), ["_k_lob", "_k_region"],
-                  "left_anti")
+            .join(keys, ["_k_lob", "_k_region"], "left_anti")
             .select("lob", "region", "incurred_amount", "claim_txn_count"))
 
 
@@ -176,7 +157,10 @@ def merge_sketches(current: DataFrame, new: DataFrame) -> DataFrame:
     merged = F.when(F.col("a.claim_sketch").isNull(), F.col("b.claim_sketch")) \
               .when(F.col("b.claim_sketch").isNull(), F.col("a.claim_sketch")) \
               .otherwise(F.hll_union("a.claim_sketch", "b.claim_sketch", True))
-    return a.join(b, list(GROUP), "full_outer").select(*GROUP, merged.alias("claim_sketch"))
+    same = reduce(and_, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in GROUP])
+    # a group is in at least one side: the side with a sketch names it
+    keys = [F.when(F.col("a.claim_sketch").isNull(), F.col(f"b.{k}")).otherwise(F.col(f"a.{k}")).alias(k) for k in GROUP]
+    return a.join(b, same, "full_outer").select(*keys, merged.alias("claim_sketch"))
 
 
 def claims_daily(silver: DataFrame) -> DataFrame:

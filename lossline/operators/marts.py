@@ -7,7 +7,6 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import REGIONS
 from ..functions.finance import loss_ratio as ratio_expr
 
 
@@ -59,11 +58,11 @@ def loss_ratio_heat(gold_loss_ratio: DataFrame) -> DataFrame:
             .orderBy(F.desc("observed_loss_ratio")))
 
 
-def loss_ratio_pivot(gold_loss_ratio: DataFrame, regions=REGIONS) -> DataFrame:
-    """Wide heat map: one row per lob, one column per region. The region list
-    is fixed, so no extra job is needed to discover pivot values."""
+def loss_ratio_pivot(gold_loss_ratio: DataFrame, regions: list[str] | None = None) -> DataFrame:
+    """Wide heat map: one row per lob, one column per region of the firmwide
+    table (unless ``regions`` selects some)."""
     return (gold_loss_ratio.groupBy("lob")
-            .pivot("region", list(regions))
+            .pivot("region", regions)
             .agg(F.max("observed_loss_ratio"))
             .orderBy("lob"))
 

@@ -52,7 +52,6 @@ GROUP = ("lob", "region", "currency")
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 IN_MEMORY = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-SMALL_STATE_PARTITIONS = 2
 BY_LOB_REGION_COLUMNS = ("lob", "region", "currency", "claim_txn_count", "distinct_claims", "incurred_amount",
                          "avg_claim_amount", "max_claim_amount", "large_loss_count", "last_event_ts")
 
@@ -200,12 +199,11 @@ def refresh_gold(spark: SparkSession, store: TableStore, with_sketches: bool = T
     try:
         queries = [
             # group measures and daily rows: a few thousand keys, in memory,
-            # few state partitions (rows are combined map-side before them)
+            # (rows are combined map-side before the state)
             _start_upsert(_measures(_silver_stream(spark, store, schema)), store, TABLES.gold_base, GROUP,
-                          f"{ckpt}/gold_base", IN_MEMORY, SMALL_STATE_PARTITIONS),
+                          f"{ckpt}/gold_base", IN_MEMORY),
             _start_upsert(gold.claims_daily(with_event_date(_silver_stream(spark, store, schema))), store,
-                          TABLES.gold_claims_daily, streams.DAILY_KEYS, f"{ckpt}/gold_daily", IN_MEMORY,
-                          SMALL_STATE_PARTITIONS),
+                          TABLES.gold_claims_daily, streams.DAILY_KEYS, f"{ckpt}/gold_daily", IN_MEMORY),
             # one key per (group, claim): grows with the data, on disk, spread
             # over the session's shuffle partitions
             _start_upsert(_distincts(_silver_stream(spark, store, schema)), store, TABLES.gold_distinct, GROUP,
@@ -219,8 +217,9 @@ def refresh_gold(spark: SparkSession, store: TableStore, with_sketches: bool = T
         spark.conf.set(_PROVIDER, previous)
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
     streams.await_all(*queries)
-    by_lob_region = (store.read(TABLES.gold_base)
-                     .join(store.read(TABLES.gold_distinct), list(GROUP), "inner")
+    base, distinct = store.read(TABLES.gold_base), store.read(TABLES.gold_distinct)
+    by_lob_region = (base.join(distinct, streams.null_safe(base, distinct, GROUP), "inner")
+                     .select(*[base[c] for c in base.columns], distinct["distinct_claims"])
                      .select(*BY_LOB_REGION_COLUMNS))
     store.overwrite(TABLES.gold_by_lob_region, by_lob_region.repartition(1))
     if not store.exists(TABLES.firmwide):

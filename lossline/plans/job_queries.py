@@ -11,18 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT_AS_OF, DEFAULT_INGESTED_AT, FIXTURE_SOURCE, TABLES
+from ..config import DEFAULT_INGESTED_AT, FIXTURE_SOURCE, TABLES
 from ..session import configure
 from ..sinks.tables import TableStore
 from ..sources.fixtures import fixture_source
-from ..sources.synth import synthetic_claims
-from ..sources.testdata import read_table
 from . import incremental, jobs
 from .catalog import BRONZE_COLUMNS
 
-# state partitions for the test-scale refresh keys (production: sized to the state)
-TEST_STATE_PARTITIONS = 8
-
 BATCH_TWIN = {
     "bronze_append": "bronze_increment",
     "rebuild_silver": "silver_claims",
@@ -80,7 +75,7 @@ def rebuild_gold_claims_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _refreshed(spark: SparkSession, sf_dir: str) -> TableStore:
     store = _ingested(spark, sf_dir)
-    incremental.refresh(spark, store, state_partitions=TEST_STATE_PARTITIONS)
+    incremental.refresh(spark, store)
     return store
 
 
@@ -93,15 +88,8 @@ def refresh_gold_loss_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _refreshed(spark, sf_dir).read(TABLES.gold_loss_ratio)
 
 
-def synth_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seeded synthetic claims, one per order (size follows ``orders``)."""
-    keys = read_table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1).alias("claim_txn_id"))
-    return synthetic_claims(keys, as_of=DEFAULT_AS_OF)
-
-
 JOB_QUERIES = {
     "bronze_append": bronze_append,
-    "synth_claims": synth_claims,
     "rebuild_silver": rebuild_silver,
     "rebuild_dq_report": rebuild_dq_report,
     "rebuild_gold_loss_ratio": rebuild_gold_loss_ratio,

@@ -18,6 +18,9 @@ The same DataFrame functions as the batch path run on streaming inputs:
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,10 +83,11 @@ def start_silver(bronze_stream: DataFrame, sink_path: str, checkpoint: str,
     return _parquet_sink(silver_claims(bronze_stream), sink_path, checkpoint, available_now=available_now)
 
 
-def dedup(stream: DataFrame, key: str = "claim_txn_id", event_time: str = "event_ts",
+def dedup(stream: DataFrame, key: str = "claim_txn_id", arrival: str = "_ingested_at",
           delay: str = "30 days") -> DataFrame:
-    """R3: drop redelivered transactions within the watermark delay."""
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+    """R3: drop transactions redelivered within ``delay`` of arrival. The watermark
+    follows arrival, so an old event that arrives late is kept."""
+    return stream.withWatermark(arrival, delay).dropDuplicatesWithinWatermark([key])
 
 
 def start_dedup(stream: DataFrame, sink_path: str, checkpoint: str, delay: str = "30 days",
@@ -95,17 +99,27 @@ DAILY_KEYS = ("event_date", "lob")
 
 
 def upsert_batch(store: TableStore, name: str, keys=DAILY_KEYS):
-    """foreachBatch handler: replace the rows of the touched keys."""
+    """foreachBatch handler: replace the rows of the touched keys (a NULL key is a key)."""
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        if store.exists(name):
-            current = store.read(name)
-            merged = current.join(batch.select(*keys), list(keys), "left_anti").unionByName(batch)
-        else:
+        batch.persist()                 # used twice; its state stage runs once
+        try:
             merged = batch
-        store.overwrite(name, merged)
+            if store.exists(name):
+                touched = batch.select(*keys)
+                current = store.read(name)
+                same = null_safe(current, touched, keys)
+                merged = current.join(touched, same, "left_anti").unionByName(batch)
+            store.overwrite(name, merged)
+        finally:
+            batch.unpersist()
     return handle
 
 
+def null_safe(left: DataFrame, right: DataFrame, keys):
+    """Join condition under which NULL keys are equal."""
+    return reduce(and_, [left[k].eqNullSafe(right[k]) for k in keys])
+
+
 def start_gold_daily(silver_stream: DataFrame, store: TableStore, name: str, checkpoint: str,
                      available_now: bool = True) -> StreamingQuery:
     """R4: running daily aggregates upserted into the daily gold table."""
@@ -117,12 +131,15 @@ def start_gold_daily(silver_stream: DataFrame, store: TableStore, name: str, che
     return writer.start()
 
 
-def await_all(*queries: StreamingQuery, timeout_s: int = 1800) -> None:
-    """Wait for ``availableNow`` queries; raise their failure or a timeout."""
-    for q in queries:
-        q.awaitTermination(timeout_s)
-        if q.isActive:
-            q.stop()
-            raise TimeoutError(f"streaming query {q.name or q.id} did not finish in {timeout_s}s")
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
+def await_all(*queries: StreamingQuery) -> None:
+    """Wait for ``availableNow`` queries, however long a backlog takes; if one
+    fails, stop the others and raise its failure."""
+    try:
+        for q in queries:
+            q.awaitTermination()
+            if q.exception() is not None:
+                raise RuntimeError(str(q.exception()))
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()

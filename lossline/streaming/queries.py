@@ -18,10 +18,6 @@ from ..sources.fixtures import claim_transactions, fixture_bronze
 from ..sources.testdata import read_table
 from . import jobs as sjobs
 
-# state partitions for the registered test-scale keys (a few thousand keys);
-# production queries size this to their expected state
-TEST_STATE_PARTITIONS = 8
-
 BATCH_TWIN = {
     "stream_bronze": "bronze_increment",
     "stream_silver": "silver_claims",
@@ -34,7 +30,9 @@ def _bronze_stream_to(spark: SparkSession, sf_dir: str, root: str) -> str:
     """R1 over the test tables: orders as a file stream joined with the
     static customer table, landed in a bronze file sink."""
     orders_schema = read_table(spark, sf_dir, "orders").schema
-    orders_stream = sjobs.read_parquet_stream(spark, sf_dir, orders_schema, file_glob="orders.parquet")
+    # a pattern that matches the table path alone, be it one file or a folder of
+    # part files (a stream takes a plain path for a folder)
+    orders_stream = sjobs.read_parquet_stream(spark, f"{sf_dir}/orders.parque[t]", orders_schema)
     source = claim_transactions(orders_stream, read_table(spark, sf_dir, "customer"))
     q = sjobs.start_bronze(source, f"{root}/bronze", f"{root}/_chk/bronze", FIXTURE_SOURCE,
                               ingested_at=DEFAULT_INGESTED_AT)
@@ -62,18 +60,19 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R3: the fixture bronze delivered twice into a landing folder; the
-    dedup stream must keep each transaction once."""
+    """R3: the newer rows of the fixture bronze land and are read; then
+    every row, older and again. Each transaction must be kept once, late
+    events included."""
     root = scratch_dir(spark, "stream-dedup")
     landing = f"{root}/landing"
     batch = fixture_bronze(spark, sf_dir)
-    batch.write.mode("append").parquet(landing)
-    batch.write.mode("append").parquet(landing)     # redelivery of every row
+    batch.where("event_ts >= TIMESTAMP '1998-06-01'").write.mode("append").parquet(landing)
     schema = spark.read.parquet(landing).schema
-    with sjobs.state_partitions(spark, TEST_STATE_PARTITIONS):
-        q = sjobs.start_dedup(sjobs.read_parquet_stream(spark, landing, schema),
-                                 f"{root}/dedup", f"{root}/_chk/dedup")
-    sjobs.await_all(q)
+    for second in (False, True):
+        if second:
+            batch.write.mode("append").parquet(landing)     # late rows and redelivery
+        sjobs.await_all(sjobs.start_dedup(sjobs.read_parquet_stream(spark, landing, schema),
+                                          f"{root}/dedup", f"{root}/_chk/dedup"))
     return spark.read.parquet(f"{root}/dedup").select(*BRONZE_COLUMNS)
 
 
@@ -82,9 +81,8 @@ def stream_gold_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver_path = _silver_stream_to(spark, sf_dir, root)
     schema = spark.read.parquet(silver_path).schema
     store = TableStore(spark, f"{root}/tables")
-    with sjobs.state_partitions(spark, TEST_STATE_PARTITIONS):
-        q = sjobs.start_gold_daily(sjobs.read_parquet_stream(spark, silver_path, schema),
-                                      store, "gold_claims_daily", f"{root}/_chk/gold_daily")
+    q = sjobs.start_gold_daily(sjobs.read_parquet_stream(spark, silver_path, schema),
+                               store, "gold_claims_daily", f"{root}/_chk/gold_daily")
     sjobs.await_all(q)
     return store.read("gold_claims_daily").select(
         "event_date", "lob", "claim_txn_count", "incurred_amount", "avg_report_lag_days")

@@ -20,11 +20,14 @@ def test_every_key_matches_oracle(spark):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     sql = entry.oracle_sql()
     rows_only = []
+    own = entry.llm_queries.QUERIES if entry.llm_queries is not None else {}
     for name, fn in entry.queries().items():
+        if name in own:        # tested with their package
+            continue
         got = _digest(fn(spark, SF001).toPandas())
         if name not in sql:
             rows_only.append(name)
             assert got[0] >= 0
             continue
         assert got == _digest(con.sql(sql[name]).df()), name
-    assert rows_only == ["synth_claims"]
+    assert rows_only == []
