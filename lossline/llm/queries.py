@@ -19,9 +19,8 @@ def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = (table(spark, sf_dir, "labels").where(learnable(F.col("doc_id")))
-              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    model = toxicity.fit(docs.join(labels, "doc_id").select("text", "toxic"))
+    labels = table(spark, sf_dir, "labels").where(learnable(F.col("doc_id")))
+    model = toxicity.fit(toxicity.training(docs, labels))
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("tox_score").alias("score"),
                          (F.col("tox_score") >= 0.5).cast("int").alias("predicted"))

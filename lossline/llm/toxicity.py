@@ -220,20 +220,28 @@ def _logistic(f: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
-def fit(train: DataFrame, max_docs: int = 20_000, max_positive: int = 600, max_negative: int = 3_000,
-        landmarks: int = 384, decay: float = 0.6, cost: float = 20_000.0, least_excess: float = 4.0, rounds: int = 4) -> dict | None:
-    """Model from ``train(text, toxic)``; None without both classes.
+def training(docs: DataFrame, labels: DataFrame, max_docs: int = 20_000) -> DataFrame:
+    """``text, toxic`` of about ``max_docs`` hash-chosen labelled documents.
 
-    Bounds: about ``max_docs`` hash-chosen labelled texts are read, and the driver
-    holds ``max_positive`` and ``max_negative`` words and one number for each text.
+    The chosen labels are no more than that, so they are broadcast and texts are
+    not shuffled. Several labels of one document count as toxic if any is."""
+    labels = (labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id")
+              .agg(F.max("toxic").cast("int").alias("toxic")))
+    share = min(1.0, max_docs / max(1, labels.count()))
+    chosen = labels.where(hashed_below(F.col("doc_id"), share))
+    return (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("text IS NOT NULL")
+            .select("text", "toxic"))
+
+
+def fit(train: DataFrame, max_positive: int = 600, max_negative: int = 3_000, landmarks: int = 384,
+        decay: float = 0.6, cost: float = 20_000.0, least_excess: float = 4.0, rounds: int = 4) -> dict | None:
+    """Model from bounded ``train(text, toxic)`` (see ``training``); None without both classes.
+
+    The driver holds ``max_positive`` and ``max_negative`` words and one number for
+    each training text.
     """
-    train = train.where("toxic IS NOT NULL AND text IS NOT NULL")
-    counts = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    if not counts.get(0) or not counts.get(1):
-        return None
-    share = min(1.0, max_docs / (counts[0] + counts[1]))
-    train = materialize(train.where(hashed_below(F.col("text"), share)).select(F.col("toxic").cast("int").alias("toxic"), "text"),
-                        "tox-train")
+    train = materialize(train.where("toxic IS NOT NULL AND text IS NOT NULL")
+                        .select(F.col("toxic").cast("int").alias("toxic"), "text"), "tox-train")
     kinds = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not kinds.get(0) or not kinds.get(1):
         return None
