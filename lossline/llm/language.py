@@ -39,7 +39,8 @@ def fit(train: DataFrame, docs_per_language: int = 400, dictionary_bytes: int =
     """Dictionary text per language from ``train(text, lang)``.
 
     At most about ``docs_per_language`` hash-chosen rows of each language are
-    read to the driver, cut to what one dictionary holds of each.
+    read to the driver, cut to what one dictionary holds of each. Copies of a
+    text are read once, so a large group of them can't fill the driver.
     """
     train = train.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     share = {r["lang"]: min(1.0, docs_per_language / r["n"])
@@ -52,7 +53,7 @@ def fit(train: DataFrame, docs_per_language: int = 400, dictionary_bytes: int =
         chosen = chosen | ((F.col("lang") == lang) & hashed_below(F.col("text"), s))
     rows = (train.where(chosen).select("lang", F.substring("text", 1, 2 * each).alias("text"),
                                        F.xxhash64("text").alias("h"))
-            .orderBy("lang", "h").collect())
+            .dropDuplicates(["lang", "h"]).orderBy("lang", "h").collect())
     model: dict[str, list[str]] = {}
     for r in rows:
         model.setdefault(r["lang"], []).append(normalized(r["text"])[:each])

@@ -105,13 +105,13 @@ def paragraphs(text: str) -> list[tuple[int, str]]:
 
 def fit(docs: DataFrame, max_paragraphs: int = 1500, seed: int = 11) -> dict:
     """Model; reads about ``max_paragraphs`` hash-chosen texts of the corpus, one
-    paragraph of each, as examples of the unknown class."""
+    paragraph of each, as examples of the unknown class (copies count once)."""
     rng = random.Random(seed)
     n = docs.where(F.col("text").isNotNull()).count()
     lines = F.split(F.col("text"), "\n")
     some = (docs.where(F.col("text").isNotNull() & hashed_below(F.col("text"), min(1.0, max_paragraphs / max(n, 1))))
             .select(F.substring(F.element_at(lines, (F.pmod(F.xxhash64("text"), F.size(lines)) + 1).cast("int")), 1, 1500).alias("p"))
-            .orderBy(F.xxhash64("p")).limit(2 * max_paragraphs).collect())
+            .distinct().orderBy(F.xxhash64("p")).limit(2 * max_paragraphs).collect())
     corpus = [_WORD.findall(r["p"].lower()) for r in some]
     templates = {f: [_WORD.findall(t.lower()) for t in ts] for f, ts in NOTICES.items()}
     triples = {f: [grams(t) - grams(t, 1) or set(t) for t in ts] for f, ts in templates.items()}

@@ -86,8 +86,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                             op7_line_dedup, op8_sentencepiece, op9_suffix_array, op10_language, pipeline)
 }
 
-#: op3 is exact, so SQL gives the same rows; op6's draw uses md5 and exact word
-#: counts, so SQL repeats it; op4 links equal what SQL finds by listing shingles.
+#: op3 is exact, so SQL gives the same rows; op4 links equal what SQL finds by
+#: listing shingles.
 ORACLE_SQL: dict[str, str] = {
     "op3_top_products": """
 WITH v AS (
