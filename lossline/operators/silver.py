@@ -46,6 +46,17 @@ def silver_claims(bronze: DataFrame) -> DataFrame:
     return silver_typed(bronze).where(keep_predicate())
 
 
+def kept_rows(typed: DataFrame) -> DataFrame:
+    """Rows of a lazily derived ``typed`` that pass every drop rule.
+
+    A generator of one row stands between projection and filter: otherwise the
+    optimizer writes the cleansing expressions out again in the filter and in
+    the join condition below, and computes them twice per row. Not for stored
+    bronze, where the pushed filter should reach the scan.
+    """
+    return typed.select(F.inline(F.array(F.struct(*typed.columns)))).where(keep_predicate())
+
+
 def with_event_date(silver: DataFrame) -> DataFrame:
     """Adds the ``event_date`` partition column used by silver and daily gold."""
     return silver.withColumn("event_date", F.to_date("event_ts"))

@@ -162,6 +162,15 @@ def read_bronze(store: TableStore) -> DataFrame:
     return store.read(TABLES.bronze, schema=schema)
 
 
+def silver_table(store: TableStore) -> str | None:
+    """Name of the silver table of the mode that wrote last: the rebuilt one, or
+    the batches of incremental refreshes (the refresh log dates those)."""
+    rebuilt, refreshed = store.exists(TABLES.silver), store.exists(TABLES.silver_batches)
+    if rebuilt and refreshed:
+        refreshed = store.committed_at(TABLES.refresh_log) > store.committed_at(TABLES.silver)
+    return TABLES.silver_batches if refreshed else TABLES.silver if rebuilt else None
+
+
 # --- medallion rebuild ---------------------------------------------------------------
 @dataclass
 class RebuildResult:

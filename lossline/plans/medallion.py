@@ -19,6 +19,7 @@ from ..config import DEFAULT_AS_OF, TABLES
 from ..operators import gold, silver as silver_ops
 from ..sources.fixtures import fixture_bronze
 from ..sources.reference import firmwide_exposure
+from . import jobs
 
 
 @dataclass(frozen=True)
@@ -53,13 +54,10 @@ class Medallion:
                           ("daily", TABLES.gold_claims_daily)):
             if store.exists(name):
                 gold_tables[key] = store.read(name)
-        silver = None
-        if store.exists(TABLES.silver):                       # full-rebuild mode
-            silver = store.read(TABLES.silver)
-        elif store.exists(TABLES.silver_batches):             # incremental mode
-            silver = store.read(TABLES.silver_batches).drop("_source", "_batch")
+        name = jobs.silver_table(store)
+        silver = store.read(name).drop("_source", "_batch") if name else None
         fw = store.read(TABLES.firmwide) if store.exists(TABLES.firmwide) else None
-        return cls(spark, store.read(TABLES.bronze), params or Params(),
+        return cls(spark, jobs.read_bronze(store), params or Params(),
                    _silver=silver, _firmwide=fw, _gold=gold_tables)
 
     def _stored(self, key: str, build):
@@ -74,7 +72,7 @@ class Medallion:
     def silver(self) -> DataFrame:
         if self._silver is not None:
             return self._silver.select(*[c for c in self._silver.columns if c != "event_date"])
-        return self.typed.where(silver_ops.keep_predicate())
+        return silver_ops.kept_rows(self.typed)
 
     @cached_property
     def firmwide(self) -> DataFrame:

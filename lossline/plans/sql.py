@@ -15,10 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import TABLES
 from ..schemas import FIRMWIDE_COMMENT
 from ..sinks.tables import TableStore
+from . import jobs
 
 VIEWS = {
     "claims_raw": (TABLES.bronze, "Bronze: claim transactions as ingested, with audit columns"),
-    "claims": (TABLES.silver, "Silver: cleansed, typed, quality-checked claim transactions"),
+    "claims": (None, "Silver: cleansed, typed, quality-checked claim transactions"),  # jobs.silver_table
     "gold_claims_by_lob_region": (TABLES.gold_by_lob_region, "Counts and incurred amounts by lob, region, currency"),
     "gold_loss_ratio": (TABLES.gold_loss_ratio, "Incurred claims against firmwide written premium"),
     "gold_claims_daily": (TABLES.gold_claims_daily, "Daily volume, incurred and reporting lag by lob"),
@@ -32,15 +33,22 @@ def _quote(text: str) -> str:
 
 
 def register_views(spark: SparkSession, store: TableStore, schema: str = "claims_lakehouse") -> list[str]:
-    """(Re)point one view per existing table at its current version."""
+    """(Re)point one view per existing table at its current version.
+
+    A view reads that version until it is called again (the ``refresh`` and
+    ``rebuild`` commands do so); a replaced version stays for the store's
+    ``retain_s``. ``claims`` is the silver of the mode that wrote last.
+    """
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
     made = []
     for view, (table, comment) in VIEWS.items():
-        path = store.current_path(table)
+        table = table or jobs.silver_table(store)
+        path = store.current_path(table) if table else None
         if path is None:
             continue
+        columns = "* EXCEPT (_source, _batch)" if table == TABLES.silver_batches else "*"
         spark.sql(f"CREATE OR REPLACE VIEW {schema}.{view} COMMENT '{_quote(comment)}' "
-                  f"AS SELECT * FROM parquet.`{path}`")
+                  f"AS SELECT {columns} FROM parquet.`{path}`")
         made.append(f"{schema}.{view}")
     return made
 

@@ -5,8 +5,9 @@ from layout:
 
 - ``overwrite``: every write goes to a fresh version folder ``v<N>``; the
   job commit leaves ``_SUCCESS`` there, and readers pick the newest version
-  that has it. A failed or half-written job is never read, and readers in
-  flight keep their version. This also cuts lineage (a written table).
+  that has it. A failed or half-written job is never read. A replaced version
+  stays for ``retain_s`` seconds, so readers in flight and views keep their
+  files that long. This also cuts lineage (a written table).
   One writer per table at a time (as the reference schedules one run per
   job); readers are unrestricted.
 - ``append_batch``: rows land in partition ``(_source, _batch)`` with
@@ -20,6 +21,7 @@ from layout:
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +31,7 @@ from pyspark.sql import types as T
 from ..session import scratch_dir
 
 _VERSION_PREFIX = "v"
-_KEEP_VERSIONS = 2
+RETAIN_S = 3600.0
 
 
 def _fs(spark: SparkSession, path: str):
@@ -55,6 +57,7 @@ def _visible(name: str) -> bool:
 class TableStore:
     spark: SparkSession
     root: str
+    retain_s: float = RETAIN_S      # how long a replaced version stays readable
 
     @classmethod
     def scratch(cls, spark: SparkSession, purpose: str = "lakehouse") -> "TableStore":
@@ -72,8 +75,17 @@ class TableStore:
         return [st.getPath().getName() for st in fs.listStatus(jpath)]
 
     def _committed(self, path: str) -> bool:
+        return self._commit_time(path) is not None
+
+    def _commit_time(self, path: str) -> float | None:
+        """Seconds since the epoch at which a version was committed, or None."""
         fs, jpath = _fs(self.spark, f"{path}/_SUCCESS")
-        return fs.exists(jpath)
+        return fs.getFileStatus(jpath).getModificationTime() / 1000 if fs.exists(jpath) else None
+
+    def committed_at(self, name: str) -> float:
+        """Commit time of a table's current version; 0 for an absent table."""
+        path = self.current_path(name)
+        return (path and self._commit_time(path)) or 0.0
 
     def _versions(self, name: str) -> list[int]:
         out = []
@@ -123,13 +135,15 @@ class TableStore:
         return target
 
     def _prune_versions(self, name: str) -> None:
-        """Keep the newest committed versions; drop older committed ones and
-        any crashed (uncommitted) write older than the newest commit."""
+        """Drop versions replaced more than ``retain_s`` ago and any crashed
+        (uncommitted) write older than the newest commit."""
         versions = self._versions(name)
-        committed = [v for v in versions if self._committed(f"{self.path(name)}/{_VERSION_PREFIX}{v:010d}")]
+        times = {v: self._commit_time(f"{self.path(name)}/{_VERSION_PREFIX}{v:010d}") for v in versions}
+        committed = [v for v in versions if times[v] is not None]
         if not committed:
             return
-        stale = set(committed[:-_KEEP_VERSIONS])
+        oldest = time.time() - self.retain_s
+        stale = {v for v, successor in zip(committed, committed[1:]) if times[successor] < oldest}
         stale |= {v for v in versions if v not in committed and v < committed[-1]}
         for v in sorted(stale):
             fs, jpath = _fs(self.spark, f"{self.path(name)}/{_VERSION_PREFIX}{v:010d}")

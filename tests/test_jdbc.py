@@ -112,3 +112,47 @@ def test_cli_rebuild_options(spark):
     assert out["quality"]["silver_rows"] == 20 and {"quarantine", "sketches"} <= set(out["tables"])
     store = TableStore(spark, root)
     assert "claim_month" in store.read(TABLES.silver).columns
+
+
+def test_source_name_holds_no_secret():
+    from lossline.__main__ import source_name
+
+    for url in ("jdbc:sqlserver://db.host:1433;database=x;user=ann;password=s3cret",
+                "jdbc:postgresql://ann:s3cret@db.host:1433/x?password=s3cret",
+                "jdbc:oracle:thin:ann/s3cret@//db.host:1433/x"):
+        name = source_name(url, "claims.t")
+        assert "s3cret" not in name and "ann" not in name
+        assert "db.host:1433" in name and name.endswith("/claims.t")
+
+
+def test_cli_credentials_and_server_side_cast(spark, oltp, tmp_path):
+    """Properties reach the connection, not bronze or the log; the database casts;
+    key ranges are even where ids start high."""
+    import json
+
+    from lossline.__main__ import _parser, _source, run
+    from lossline.session import scratch_dir
+    from lossline.sinks.tables import TableStore
+
+    _generate(spark, oltp, 1, 40)
+    secrets = tmp_path / "options.json"
+    secrets.write_text(json.dumps({"user": "ann", "password": "s3cret"}))
+    root = scratch_dir(spark, "cli-secret")
+    names = ("CLAIM_TXN_ID CLAIM_ID POLICY_ID LOB REGION PERIL CLAIM_STATUS TRANSACTION_TYPE CLAIM_AMOUNT CURRENCY "
+             "INCIDENT_DATE REPORTED_DATE").split()
+    columns = [*names, "CAST(EVENT_TS AS DATE) AS EVENT_TS"]
+    args = ["ingest", "--root", root, "--jdbc-url", oltp + ";password=s3cret;user=ann", "--table",
+            "(SELECT * FROM APP.CLAIM_TRANSACTIONS WHERE CLAIM_TXN_ID > 20) T", "--driver", DRIVER, "--source", "claims",
+            "--partitions", "4", "--jdbc-options-file", str(secrets), "--jdbc-option", "fetchsize=100"]
+    for c in columns:
+        args += ["--column", c]
+    parsed = _parser().parse_args(args)
+    df, name = _source(spark, parsed)
+    assert name == "claims" and dict(df.dtypes)["event_ts"] == "date"
+    per_range = [r.n for r in df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sorted(per_range) == [5, 5, 5, 5]
+    out = run(parsed, spark)
+    assert out["rows"] == 20
+    store = TableStore(spark, root)
+    seen = json.dumps([[str(v) for r in store.read(t).collect() for v in r] for t in (TABLES.bronze, TABLES.ingest_log)])
+    assert "s3cret" not in seen + json.dumps(out)

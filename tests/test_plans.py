@@ -56,3 +56,10 @@ def test_no_cartesian_anywhere(spark):
     for name in catalog.QUERIES:
         plan = _formatted(catalog.run(name, spark, SF01))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_silver_cleanses_each_column_once(spark):
+    plan = catalog.run("silver_claims", spark, SF01)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("initcap(") == 2          # lob and region
+    join = next(line for line in plan.splitlines() if "Join Inner" in line)
+    assert "CASE" not in join and "trim" not in join

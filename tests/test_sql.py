@@ -79,3 +79,27 @@ def test_sql_literal_quoting_round_trips(spark):
 
     text = "claims' \\ comment"
     assert spark.sql(f"SELECT '{_quote(text)}' AS c").first().c == text
+
+
+def test_views_and_layers_follow_the_mode_that_wrote_last(spark):
+    from lossline.plans import incremental
+
+    store = TableStore.scratch(spark, "modes")
+    source = fixture_source(spark, SF001)
+    jobs.ingest(spark, store, source.where("claim_txn_id <= 700"), FIXTURE_SOURCE, ingested_at=DEFAULT_INGESTED_AT)
+    jobs.rebuild(spark, store)
+    sql.register_views(spark, store, "modes_test")
+    before = spark.table("modes_test.claims").count()
+    jobs.ingest(spark, store, source, FIXTURE_SOURCE, ingested_at=DEFAULT_INGESTED_AT)
+    incremental.refresh(spark, store)
+    sql.register_views(spark, store, "modes_test")
+    after = spark.table("modes_test.claims")
+    assert after.count() == Medallion.from_store(spark, store).silver.count() > before
+    assert not {"_source", "_batch"} & set(after.columns)
+    for name in ("dash_freshness", "dash_kpis"):
+        params = {"as_of": dt.datetime(2001, 8, 2)} if name == "dash_freshness" else {}
+        assert sql.run_dashboard(spark, name, "modes_test", **params).count() == 1
+    rows = after.count()
+    jobs.rebuild(spark, store)                       # a rebuild after it: its table again
+    assert jobs.silver_table(store) == "silver/claims"
+    assert Medallion.from_store(spark, store).silver.count() == rows

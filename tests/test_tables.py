@@ -24,10 +24,20 @@ def test_overwrite_is_versioned_and_atomic(spark, store):
     assert store.read("t").count() == 5
     store.overwrite("t", spark.range(7))
     assert store.read("t").count() == 7
-    # old committed versions are pruned to the last two
+    # replaced versions stay for the retention time only
+    store.retain_s = -1.0
+    store.overwrite("t", spark.range(8))
     assert len([v for v in store._versions("t") if store._committed(f"{store.path('t')}/v{v:010d}")]) <= 2
 
 
+def test_reader_outlives_three_commits(spark, store):
+    store.overwrite("r", spark.range(3))
+    reader = store.read("r")
+    for n in (4, 5, 6):
+        store.overwrite("r", spark.range(n))
+    assert reader.count() == 3 and store.read("r").count() == 6
+
+
 def test_schema_replaced_on_overwrite(spark, store):
     store.overwrite("t", spark.range(2).withColumn("a", F.lit(1)))
     store.overwrite("t", spark.range(2).withColumn("b", F.lit("x")))
