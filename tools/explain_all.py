@@ -31,7 +31,7 @@ def formatted(df) -> str:
 def summarize(plan: str) -> tuple[str, list[str], dict]:
     tree = plan.split("\n\n")[0].replace("== Physical Plan ==\n", "")
     scans = [ln.strip() for ln in plan.splitlines()
-             if ln.startswith(("ReadSchema:", "PushedFilters:", "Location:"))]
+             if ln.startswith(("ReadSchema:", "PushedFilters:", "Location:", "Condition :", "Join condition:", "Left keys"))]
     stats = {
         "exchanges": len(re.findall(r"^\(\d+\) Exchange", plan, re.M)),
         "broadcasts": len(re.findall(r"^\(\d+\) BroadcastExchange", plan, re.M)),
