@@ -10,20 +10,11 @@ def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def trimmed(col: str | Column) -> Column:
-    """``trim`` — removes leading and trailing spaces only."""
-    return F.trim(_c(col))
-
-
 def title(col: str | Column) -> Column:
     """``initcap(trim(x))`` as the reference spells lob and region (UK -> Uk)."""
     return F.initcap(F.trim(_c(col)))
 
 
-def upper_code(col: str | Column) -> Column:
-    return F.upper(F.trim(_c(col)))
-
-
 def match_key(col: str | Column) -> Column:
     """Case- and space-insensitive join key for dimension lookups."""
     return F.lower(F.trim(_c(col)))

@@ -15,18 +15,19 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..config import DROP_RULE_SQL, WARN_RULE_SQL
+from ..config import DROP_RULE_DOMAINS, DROP_RULE_SQL, WARN_RULE_SQL
 
 
 @dataclass(frozen=True)
 class Rule:
     name: str
     kind: str  # "drop" | "warn"
-    sql: str
+    sql: str  # a predicate, or a column whose values must be ``allowed``
+    allowed: tuple[str, ...] = ()
 
     @property
     def predicate(self) -> Column:
-        return F.expr(self.sql)
+        return F.col(self.sql).isin(*self.allowed) if self.allowed else F.expr(self.sql)
 
     def violated(self) -> Column:
         """TRUE where the row fails the rule under this rule's kind."""
@@ -35,7 +36,8 @@ class Rule:
         return F.coalesce(~self.predicate, F.lit(False))
 
 
-DROP_RULES = tuple(Rule(name, "drop", sql) for name, sql in DROP_RULE_SQL)
+DROP_RULES = (*(Rule(name, "drop", sql) for name, sql in DROP_RULE_SQL),
+              *(Rule(name, "drop", column, allowed) for name, column, allowed in DROP_RULE_DOMAINS))
 WARN_RULES = tuple(Rule(name, "warn", sql) for name, sql in WARN_RULE_SQL)
 
 RULES = DROP_RULES + WARN_RULES

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import LARGE_LOSS_THRESHOLD
-from ..functions.cleansing import title, trimmed, upper_code
+from ..functions.cleansing import title
 from ..functions.rules import keep_predicate
 
 
@@ -19,15 +19,15 @@ def silver_typed(bronze: DataFrame, passthrough: tuple[str, ...] = ()) -> DataFr
     """
     return bronze.select(
         F.col("claim_txn_id").cast("long").alias("claim_txn_id"),
-        trimmed("claim_id").alias("claim_id"),
-        trimmed("policy_id").alias("policy_id"),
+        F.trim("claim_id").alias("claim_id"),
+        F.trim("policy_id").alias("policy_id"),
         title("lob").alias("lob"),
         title("region").alias("region"),
-        trimmed("peril").alias("peril"),
-        trimmed("claim_status").alias("claim_status"),
-        trimmed("transaction_type").alias("transaction_type"),
+        F.trim("peril").alias("peril"),
+        F.trim("claim_status").alias("claim_status"),
+        F.trim("transaction_type").alias("transaction_type"),
         F.col("claim_amount").cast("decimal(14,2)").alias("claim_amount"),
-        upper_code("currency").alias("currency"),
+        F.upper(F.trim("currency")).alias("currency"),
         F.col("incident_date").cast("date").alias("incident_date"),
         F.col("reported_date").cast("date").alias("reported_date"),
         F.col("event_ts").cast("timestamp").alias("event_ts"),

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import DROP_RULE_SQL, LARGE_LOSS_THRESHOLD, TABLES, WARN_RULE_SQL
+from ..config import DROP_RULE_DOMAINS, DROP_RULE_SQL, LARGE_LOSS_THRESHOLD, TABLES, WARN_RULE_SQL
 from ..operators import gold, quality
 from ..operators.silver import silver_typed, with_event_date
 from ..sinks.tables import TableStore
@@ -66,7 +66,7 @@ class RefreshResult:
 def rules_fingerprint() -> str:
     """Identifies the silver transform: the rule set and the large-loss bar.
     Batches refreshed under other rules are stale."""
-    text = json.dumps([DROP_RULE_SQL, WARN_RULE_SQL, LARGE_LOSS_THRESHOLD])
+    text = json.dumps([DROP_RULE_SQL, DROP_RULE_DOMAINS, WARN_RULE_SQL, LARGE_LOSS_THRESHOLD])
     return hashlib.sha256(text.encode()).hexdigest()[:16]
 
 
