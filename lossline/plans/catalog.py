@@ -13,15 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import gold, marts, quality, questions
+from ..schemas import BRONZE
 from ..session import configure
 from ..sources.reference import firmwide_by_lob
 from .medallion import Medallion, Params
 
-BRONZE_COLUMNS = (
-    "claim_txn_id", "claim_id", "policy_id", "lob", "region", "peril", "claim_status",
-    "transaction_type", "claim_amount", "currency", "incident_date", "reported_date",
-    "event_ts", "_source",
-)
+BRONZE_COLUMNS = tuple(f.name for f in BRONZE.fields if f.name not in ("created_at", "_ingested_at"))
 
 
 def _bronze_watermark(m: Medallion) -> DataFrame:

@@ -1,8 +1,6 @@
-import datetime as dt
 import os
 import sys
 import tempfile
-from decimal import Decimal
 
 import pytest
 
@@ -10,9 +8,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -31,18 +26,3 @@ def store(spark):
     from lossline.sinks.tables import TableStore
 
     return TableStore.scratch(spark, "test")
-
-
-def claim_row(txn_id, claim_id="CLM-1", policy_id="POL-1", lob="Motor", region="Germany", peril="Fire",
-              status="Open", txn="Payment", amount="100.00", currency="EUR",
-              incident=dt.date(2001, 7, 1), reported=dt.date(2001, 7, 3),
-              event_ts=dt.datetime(2001, 7, 3, 12, 0, 0)):
-    amt = None if amount is None else Decimal(amount)
-    return (txn_id, claim_id, policy_id, lob, region, peril, status, txn, amt, currency,
-            incident, reported, event_ts, event_ts)
-
-
-def source_df(spark, rows):
-    from lossline.schemas import CLAIM_TRANSACTION
-
-    return spark.createDataFrame(rows, CLAIM_TRANSACTION)

@@ -4,7 +4,7 @@ import duckdb
 from oracle_check import TABLES, _digest
 
 import __spark_entry__ as entry
-from conftest import SF001
+from claims_data import SF001
 
 
 def test_entry_smoke(spark):

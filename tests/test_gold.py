@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 
-from conftest import claim_row, source_df
+from claims_data import claim_row, source_df
 from lossline.operators import gold, marts
 from lossline.operators.silver import silver_claims
 from lossline.sources.fixtures import with_audit
@@ -110,7 +110,7 @@ def test_reference_queries_match_oracle(spark):
     from oracle_check import _digest
 
     import __spark_entry__ as entry
-    from conftest import SF001
+    from claims_data import SF001
     from lossline.plans import catalog
     from lossline.plans.oracle import reference_oracle_sql
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from claims_data import SF001
 from lossline.config import DEFAULT_INGESTED_AT, TABLES
 from lossline.plans import incremental, jobs
 from lossline.sinks.tables import TableStore

@@ -6,7 +6,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import claim_row, source_df
+from claims_data import claim_row, source_df
 from lossline.config import TABLES
 from lossline.plans import jobs
 

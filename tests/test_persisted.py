@@ -6,7 +6,7 @@ import pytest
 
 from oracle_check import _digest
 
-from conftest import SF001
+from claims_data import SF001
 from lossline.config import DEFAULT_INGESTED_AT, FIXTURE_SOURCE
 from lossline.plans import catalog, incremental, jobs
 from lossline.plans.medallion import Medallion

@@ -5,7 +5,7 @@ import contextlib
 import io
 import re
 
-from conftest import SF01
+from claims_data import SF01
 from lossline.plans import catalog
 
 

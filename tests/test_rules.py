@@ -6,7 +6,7 @@ from decimal import Decimal
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import claim_row, source_df
+from claims_data import claim_row, source_df
 from lossline.functions.rules import DROP_RULES, WARN_RULES
 from lossline.operators import quality
 from lossline.operators.silver import silver_claims, silver_typed

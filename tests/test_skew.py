@@ -6,7 +6,7 @@ import io
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from claims_data import SF001
 from lossline.operators import gold, marts
 from lossline.operators.silver import silver_claims
 from lossline.sources.fixtures import claim_transactions, with_audit

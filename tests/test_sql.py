@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from claims_data import SF001
 from lossline.config import DEFAULT_INGESTED_AT, FIXTURE_SOURCE
 from lossline.operators import marts
 from lossline.plans import jobs, sql

@@ -2,7 +2,7 @@
 
 from oracle_check import _digest
 
-from conftest import SF001
+from claims_data import SF001
 from lossline.plans import catalog
 from lossline.session import scratch_dir
 from lossline.sinks.tables import TableStore
