@@ -22,8 +22,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts repeated chunks of lines; ``n_chars`` follows the text. Documents stay."""
-    cut = lines.dedup(docs).withColumn("n_chars", F.when(F.col("ld_lines_removed") > 0, F.length("text").cast("long"))
+    """Cuts repeated runs of two or more lines; ``n_chars`` follows the text. Documents stay."""
+    cut = lines.dedup(docs, pairs=True).withColumn("n_chars", F.when(F.col("ld_lines_removed") > 0, F.length("text").cast("long"))
                                        .otherwise(F.col("n_chars")))
     return cut.select(*docs.columns)
 

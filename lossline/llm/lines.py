@@ -2,14 +2,20 @@
 
 Each line is hashed; a rolling hash over the last line hashes decides where a
 chunk of lines ends, so an inserted line moves only the boundaries beside it.
-A chunk of two or more lines that an earlier place already has is removed, after
-its bytes were compared with those of that earlier place. Places are ordered by
-(doc_id, row key, chunk number); the first one stays.
-
-Defined cases: a null or empty text has no lines and stays as it is; repeated
-rows (equal id and text) are one document, so they do not remove each other; a
-null id sorts first; an empty table gives no rows; lines end at "\\n" only, and
-the kept lines are joined by it. Further columns are kept.
+With ``pairs``, every two neighbouring lines are a short chunk as well, so each
+repeated run of two or more lines consists of repeated chunks, wherever the
+boundaries fall. The lines of a chunk that an earlier place already has are
+removed, after their bytes were compared with those of that earlier place.
+Places are ordered by (doc_id, row key, first line); the first one stays. The
+first place of a line's text always stays; neighbours of it may go as part of
+another run.
+
+Defined cases: a single repeated line between others stays; short and blank
+lines count like long ones; a chunk does not remove one that overlaps it; a null
+or empty text has no lines and stays as it is; repeated rows (equal id and text)
+are one document, so they do not remove each other; a null id sorts first; an
+empty table gives no rows; lines end at "\\n" only, and the kept lines are
+joined by it. Further columns are kept.
 """
 
 from __future__ import annotations
@@ -18,6 +24,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,12 +60,56 @@ def chunk_bytes(text: str, **how: int) -> list[tuple[int, bytes]]:
     return [(e - b, b"\n".join(lines[b:e])) for b, e in chunks(text, **how)]
 
 
-_CHUNK = "ck_doc long, ck_row long, ck_no int, ck_lines int, ck_hi long, ck_lo long"
+def places(text: str, pairs: bool, **how: int) -> list[tuple[int, int, bytes]]:
+    """(first line, lines, bytes) of what is looked up: chunks of two or more
+    lines and, with ``pairs``, every two neighbouring lines."""
+    lines = text.encode("utf-8", "surrogatepass").split(b"\n")
+    spans = [(b, e) for b, e in chunks(text, **how) if e - b > 1 + pairs]
+    if pairs:
+        spans += [(i, i + 2) for i in range(len(lines) - 1)]
+    return [(b, e - b, b"\n".join(lines[b:e])) for b, e in spans]
+
+
+def united(found: list[dict]) -> list[tuple[int, int, int, int]]:
+    """(first line, lines, row and first line of the earlier place): chunks that
+    follow each other at both places become one span; a span inside another goes."""
+    spans: list[list[int]] = []
+    for row, ahead, at, n in sorted((c["f_row"], c["f_at"] - c["at"], c["at"], c["n"]) for c in found):
+        if spans and spans[-1][:2] == [row, ahead] and at <= spans[-1][3]:
+            spans[-1][3] = max(spans[-1][3], at + n)
+        else:
+            spans.append([row, ahead, at, at + n])
+    out, end = [], 0
+    for row, ahead, b, e in sorted(spans, key=lambda x: (x[2], -x[3])):
+        if e > end:
+            out.append((b, e - b, row, b + ahead))
+            end = e
+    return out
+
+
+def _packed(df: DataFrame, column: str) -> DataFrame:
+    """``column`` compressed: texts take less of the disk when they are dealt out."""
+    schema = T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == column else f for f in df.schema.fields])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = zstandard.ZstdCompressor(level=3)
+        for batch in slices(batches, column):
+            data = pa.array([None if t is None else coder.compress(t.encode("utf-8", "surrogatepass"))
+                             for t in batch.column(column).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([data if f.name == column else batch.column(f.name) for f in schema.fields],
+                                             names=schema.names)
+
+    return df.mapInArrow(pack, schema)
+
 
+_CHUNK = "ck_doc long, ck_row long, ck_at int, ck_lines int, ck_hi long, ck_lo long"
+_SPAN = "s_row long, s_at int, s_lines int, f_row long, f_at int"
 
-def dedup(docs: DataFrame, window: int = 2, divisor: int = 4, least: int = 2) -> DataFrame:
+
+def dedup(docs: DataFrame, window: int = 2, divisor: int = 4, least: int = 2, pairs: bool = False) -> DataFrame:
     """``docs`` with repeated chunks cut from ``text`` and the counts ``ld_lines``,
-    ``ld_lines_removed``, ``ld_chunks_removed``."""
+    ``ld_lines_removed``, ``ld_chunks_removed`` (removed chunks that touch count as one).
+    ``pairs`` looks up every two neighbouring lines too."""
     how = {"window": window, "divisor": divisor, "least": least}
     keyed = docs.select(F.col("doc_id").cast("long").alias("ck_doc"), row_key(F.col("doc_id"), F.col("text")).alias("ck_row"),
                         F.col("text").alias("ck_text"))
@@ -67,72 +118,93 @@ def dedup(docs: DataFrame, window: int = 2, divisor: int = 4, least: int = 2) ->
         for batch in slices(batches, "ck_text"):
             out: list[list] = [[] for _ in range(6)]
             for doc, row, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                for no, (n, data) in enumerate(chunk_bytes(text, **how) if text else ()):
-                    if n >= 2:
-                        h = xxhash.xxh3_128_intdigest(data)
-                        for col, v in zip(out, (doc, row, no, n, (h >> 64) - (1 << 63), (h & _MASK) - (1 << 63))):
-                            col.append(v)
+                for at, n, data in places(text, pairs, **how) if text else ():
+                    h = xxhash.xxh3_128_intdigest(data)
+                    for col, v in zip(out, (doc, row, at, n, (h >> 64) - (1 << 63), (h & _MASK) - (1 << 63))):
+                        col.append(v)
             types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)],
-                                             names=["ck_doc", "ck_row", "ck_no", "ck_lines", "ck_hi", "ck_lo"])
+                                             names=["ck_doc", "ck_row", "ck_at", "ck_lines", "ck_hi", "ck_lo"])
 
-    listed = materialize(keyed.mapInArrow(list_chunks, _CHUNK), "line-chunks").dropDuplicates(["ck_row", "ck_no"])
-    place = F.struct("ck_doc", "ck_row", "ck_no")
-    groups = (listed.groupBy("ck_hi", "ck_lo").agg(F.min(place).alias("first"), F.count("*").alias("places"))
-              .where("places > 1"))
+    listed = materialize(keyed.mapInArrow(list_chunks, _CHUNK), "line-chunks")
+    place = F.struct("ck_doc", "ck_row", "ck_at")
+    groups = (listed.groupBy("ck_hi", "ck_lo").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+              .where("first <> last").select("ck_hi", "ck_lo", "first"))  # repeated rows are one place
     groups = materialize(groups, "line-groups")
+    found = (listed.join(groups, ["ck_hi", "ck_lo"]).where(place != F.col("first"))
+             .where("first.ck_row <> ck_row OR first.ck_at + ck_lines <= ck_at")
+             .groupBy("ck_row").agg(F.collect_set(F.struct(
+                 F.col("ck_at").alias("at"), F.col("ck_lines").alias("n"), F.col("first.ck_row").alias("f_row"),
+                 F.col("first.ck_at").alias("f_at"))).alias("found")))
+
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[] for _ in range(5)]
+            for row, chunks_found in zip(batch.column("ck_row").to_pylist(), batch.column("found").to_pylist()):
+                for span in united(chunks_found):
+                    for col, v in zip(out, (row, *span)):
+                        col.append(v)
+            types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)],
+                                             names=["s_row", "s_at", "s_lines", "f_row", "f_at"])
+
+    spans = materialize(found.mapInArrow(unite, _SPAN), "line-spans")
 
     # texts of the first places
-    wanted = groups.groupBy(F.col("first.ck_row").alias("w_row")).agg(F.collect_list("first.ck_no").alias("w_nos"))
+    wanted = (spans.groupBy(F.col("f_row").alias("w_row"))
+              .agg(F.collect_set(F.struct(F.col("f_at").alias("at"), F.col("s_lines").alias("n"))).alias("w_spans")))
 
     def first_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "ck_text"):
-            rows, nos, data = [], [], []
-            for row, text, want in zip(*(batch.column(n).to_pylist() for n in ("ck_row", "ck_text", "w_nos"))):
-                parts = chunk_bytes(text, **how)
-                for no in want:
-                    rows.append(row), nos.append(no), data.append(parts[no][1])
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(nos, pa.int32()),
-                                              pa.array(data, pa.binary())], names=["f_row", "f_no", "f_data"])
-
-    texts = (keyed.join(wanted.hint("merge"), F.col("ck_row") == F.col("w_row"))
-             .select("ck_row", "ck_text", "w_nos").mapInArrow(first_texts, "f_row long, f_no int, f_data binary"))
-    texts = texts.dropDuplicates(["f_row", "f_no"])
-    firsts = (groups.select("ck_hi", "ck_lo", "first")
-              .join(texts, (F.col("first.ck_row") == F.col("f_row")) & (F.col("first.ck_no") == F.col("f_no")))
-              .select("ck_hi", "ck_lo", "first", "f_data"))
-    repeats = (listed.join(firsts, ["ck_hi", "ck_lo"]).where(place != F.col("first"))
-               .groupBy(F.col("ck_row").alias("__r_row"))
-               .agg(F.collect_list(F.struct(F.col("ck_no").alias("no"), F.col("f_data").alias("data"))).alias("__cut")))
+        decoder = zstandard.ZstdDecompressor()
+        for batch in slices(batches, "ck_text", 2 << 20):
+            out: list[list] = [[] for _ in range(4)]
+            for row, text, want in zip(*(batch.column(n).to_pylist() for n in ("ck_row", "ck_text", "w_spans"))):
+                parts = decoder.decompress(text).split(b"\n")
+                for w in want:
+                    for col, v in zip(out, (row, w["at"], w["n"], b"\n".join(parts[w["at"]:w["at"] + w["n"]]))):
+                        col.append(v)
+            types = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)],
+                                             names=["f_row", "f_at", "s_lines", "f_data"])
+
+    texts = (_packed(keyed.select("ck_row", "ck_text"), "ck_text")
+             .join(wanted.hint("merge"), F.col("ck_row") == F.col("w_row")).select("ck_row", "ck_text", "w_spans")
+             .mapInArrow(first_texts, "f_row long, f_at int, s_lines int, f_data binary"))
+    # written first: a join over an aggregate is not split where many spans have one first place
+    texts = materialize(texts.dropDuplicates(["f_row", "f_at", "s_lines"]), "line-first-texts")
+    repeats = (spans.join(texts, ["f_row", "f_at", "s_lines"]).groupBy(F.col("s_row").alias("__r_row"))
+               .agg(F.collect_list(F.struct(F.col("s_at").alias("at"), F.col("f_data").alias("data"))).alias("__cut")))
 
     added = ["ld_lines", "ld_lines_removed", "ld_chunks_removed"]
     names = [c for c in docs.columns if c not in added]
     out_fields = [f for f in docs.schema.fields if f.name in names] + [T.StructField(n, T.LongType()) for n in added]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        decoder = zstandard.ZstdDecompressor()
+        for batch in slices(batches, "text", 2 << 20):
             texts_out, counts = [], ([], [], [])
-            for text, cuts in zip(batch.column("text").to_pylist(), batch.column("__cut").to_pylist()):
-                n = text.count("\n") + 1 if text else 0
-                gone = lost = 0
+            for packed, cuts in zip(batch.column("text").to_pylist(), batch.column("__cut").to_pylist()):
+                data = None if packed is None else decoder.decompress(packed)
+                n = data.count(b"\n") + 1 if data else 0
+                lost = 0
                 if cuts:
-                    expected = {c["no"]: c["data"] for c in cuts}
-                    parts = chunk_bytes(text, **how)
-                    kept = []
-                    for no, (size, data) in enumerate(parts):
-                        if expected.get(no) == data:  # byte comparison with the first place
-                            gone, lost = gone + size, lost + 1
-                        else:
-                            kept.append(data)
-                    if lost:
-                        text = b"\n".join(kept).decode("utf-8", "surrogatepass")
-                texts_out.append(text)
-                for col, v in zip(counts, (n, gone, lost)):
+                    parts = data.split(b"\n")
+                    gone = bytearray(n)
+                    for c in cuts:
+                        # byte comparison with the first place, line by line
+                        same = [a == b for a, b in zip(c["data"].split(b"\n"), parts[c["at"]:])]
+                        for i in range(len(same) - 1):
+                            if same[i] and same[i + 1]:
+                                gone[c["at"] + i] = gone[c["at"] + i + 1] = 1
+                    data = b"\n".join(p for p, g in zip(parts, gone) if not g)
+                    lost = sum(gone)
+                texts_out.append(None if data is None else data.decode("utf-8", "surrogatepass"))
+                for col, v in zip(counts, (n, lost, len(bytes(gone).replace(b"\0", b" ").split()) if lost else 0)):
                     col.append(v)
             columns = [pa.array(texts_out, pa.string()) if c == "text" else batch.column(c) for c in names]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(c, pa.int64()) for c in counts],
                                              names=names + added)
 
-    joined = (docs.withColumn("__row", row_key(F.col("doc_id"), F.col("text")))
-              .join(repeats.hint("merge"), F.col("__row") == F.col("__r_row"), "left"))
+    keyed_docs = docs.select(*[f"`{c}`" for c in names], row_key(F.col("doc_id"), F.col("text")).alias("__row"))
+    joined = _packed(keyed_docs, "text").join(repeats.hint("merge"), F.col("__row") == F.col("__r_row"), "left")
     return joined.select(*[f"`{c}`" for c in names], "__cut").mapInArrow(cut, T.StructType(out_fields))

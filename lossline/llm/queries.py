@@ -49,7 +49,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = lines.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    cut = lines.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), pairs=True)
     return cut.select("doc_id", F.col("ld_lines").alias("n_lines"), F.col("ld_lines_removed").alias("n_lines_removed"),
                       F.col("ld_chunks_removed").alias("n_chunks_removed"),
                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))

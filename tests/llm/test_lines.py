@@ -56,3 +56,62 @@ def test_edges(spark, docs_of, edge_rows):
     twice = lines.dedup(docs_of([(1, many, "en", "a")] * 2)).collect()
     assert [r["text"] for r in twice] == [many, many], "repeated rows are one document"
     assert lines.dedup(docs_of(rows).limit(0)).count() == 0
+
+
+def whole_runs(rows):
+    """Texts without the lines of any line pair that an earlier place has: {id: (text, lines removed)}."""
+    first, out = {}, {}
+    for i, t, _, _ in rows:
+        parts = t.split("\n")
+        gone = set()
+        for at, pair in enumerate(zip(parts, parts[1:])):
+            doc, begin = first.setdefault(pair, (i, at))
+            if (doc, begin) != (i, at) and (doc != i or begin + 2 <= at):
+                gone |= {at, at + 1}
+        out[i] = "\n".join(p for n, p in enumerate(parts) if n not in gone), len(gone)
+    return out
+
+
+def test_short_passages_in_other_text_go(spark, docs_of):
+    rng = random.Random(12)
+    line = lambda: " ".join(rng.choice(["ab", "cd", "ef", "gh"]) + str(rng.randint(0, 9999)) for _ in range(8))
+    passages = [[line() for _ in range(2 + n % 5)] for n in range(40)]
+    rows = []
+    for i in range(160):
+        body = [line() for _ in range(rng.randint(2, 12))]
+        at = rng.randint(0, len(body))
+        body[at:at] = passages[i % 40]
+        rows.append((i, "\n".join(body), "en", "a"))
+    rows += [(200, "a\na\na\na\na", "en", "a"), (201, "a\nb\na\nb\na", "en", "a"), (202, "x\na\ny", "en", "a"),
+             (203, "", "en", "a"), (204, "a\nb", "en", "a")]
+    got = {r["doc_id"]: r for r in lines.dedup(docs_of(rows), pairs=True).collect()}
+    for i, (text, gone) in whole_runs(rows).items():
+        assert (got[i]["text"], got[i]["ld_lines_removed"]) == (text, gone)
+    for i in range(40, 160):
+        assert got[i]["ld_lines_removed"] == len(passages[i % 40]) and got[i]["ld_chunks_removed"] == 1
+    assert got[202]["text"] == "x\na\ny", "a single repeated line stays"
+
+
+def test_edges_with_pairs(spark, docs_of, edge_rows):
+    many = "\n".join(f"l{i}" for i in range(50))
+    rows = edge_rows + [(30, many, "en", "a"), (30, many, "en", "a"), (31, "x\n" + many + "\nend", "en", "a")]
+    got = lines.dedup(docs_of(rows), pairs=True).collect()
+    assert len(got) == len(rows)
+    assert [r["text"] for r in got if r["doc_id"] == 30] == [many, many], "repeated rows are one document"
+    assert [r["text"] for r in got if r["doc_id"] == 31] == ["x\nend"]
+    assert {r["text"] for r in got if r["doc_id"] in (2, 3)} == {None, ""}
+    assert lines.dedup(docs_of(rows).limit(0), pairs=True).count() == 0
+
+
+def test_op7_and_line_dedup_remove_whole_runs(spark):
+    import corpus_pipeline
+    from lossline.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = sorted((r["doc_id"], r["text"], None, None) for r in docs.select("doc_id", "text").collect())
+    want = whole_runs(rows)
+    got = {r["doc_id"]: r["n_lines_removed"] for r in queries.op7_line_dedup(spark, sf).collect()}
+    assert got == {i: n for i, (_, n) in want.items()} and sum(got.values()) > 0
+    texts = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, sf).collect()}
+    assert texts == {i: t for i, (t, _) in want.items()}
