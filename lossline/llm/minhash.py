@@ -216,8 +216,9 @@ def _late_links(members: DataFrame, comps: DataFrame, texts: DataFrame, k: int,
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = 32, rows: int = 4,
                     block: int = 256) -> DataFrame:
     """``docs`` with ``nd_shingles`` (set size), ``nd_component`` (smallest id
-    reachable) and ``nd_kept`` (whether that is the row's own id)."""
-    added = ["nd_shingles", "nd_component", "nd_kept"]
+    reachable), ``nd_kept`` (whether that is the row's own id) and ``nd_node`` (equal
+    in one component only, also where several components share a smallest id)."""
+    added = ["nd_shingles", "nd_component", "nd_kept", "nd_node"]
     names = [c for c in docs.columns if c not in added]
     keyed = docs.select(F.col("doc_id").cast("long").alias("id"), row_key(F.col("doc_id"), F.col("text")).alias("row"), "text")
 
@@ -273,18 +274,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     labelled = classes.select("node", "rep").join(comps, "node", "left").select(
         "node", "rep", F.coalesce("component", "node").alias("comp"))
     ids = labelled.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    labelled = labelled.join(ids, "comp").select(F.col("node").alias("l_node"), "component_id")
+    labelled = labelled.join(ids, "comp").select(F.col("node").alias("l_node"), "component_id", "comp")
     found = (feats.select("row", "n", "node").dropDuplicates(["row"]).join(labelled, F.col("node") == F.col("l_node"), "left")
-             .select(F.col("row").alias("__row"), F.col("n").alias("__n"), F.col("component_id").alias("__c")))
+             .select(F.col("row").alias("__row"), F.col("n").alias("__n"), F.col("component_id").alias("__c"),
+                     F.col("comp").alias("__comp")))
     out = docs.withColumn("__key", row_key(F.col("doc_id"), F.col("text"))).join(found, F.col("__key") == F.col("__row"), "left")
     own = F.col("doc_id").cast("long")
     component = F.when(F.col("__n") == 0, own).otherwise(F.col("__c"))
     return out.select(*[f"`{c}`" for c in names], F.col("__n").alias("nd_shingles"), component.alias("nd_component"),
-                      F.coalesce(own == component, component.isNull()).alias("nd_kept"))
+                      F.coalesce(own == component, component.isNull()).alias("nd_kept"),
+                      F.when(F.col("__n") == 0, F.col("__key")).otherwise(F.col("__comp")).alias("nd_node"))
 
 
 def one_of_each(found: DataFrame) -> DataFrame:
     """One row of each component of ``near_duplicates``' result."""
     kept = found.where("nd_kept")
-    return kept.where("nd_component IS NOT NULL").dropDuplicates(["nd_component"]).unionByName(
+    return kept.where("nd_component IS NOT NULL").dropDuplicates(["nd_component", "nd_node"]).unionByName(
         kept.where("nd_component IS NULL"))

@@ -80,3 +80,12 @@ def test_threshold_is_exact():
     a, b = np.arange(100, dtype=np.uint64), np.arange(100, dtype=np.uint64)
     b[90:] += np.uint64(1000)
     assert minhash.linked(a, b, 81) and not minhash.linked(a, b, 82)  # 90 of 110
+
+
+def test_one_of_each_keeps_unlinked_texts_of_one_id(spark, docs_of):
+    a, b = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = [(1, a, "en", "a"), (1, a, "en", "a"), (1, b, "en", "a"), (2, a + " end", "en", "a"), (3, None, "en", "a"),
+            (3, "", "en", "a"), (3, "", "en", "a"), (None, a + " more", "en", "a"), (None, "no id here at all", "en", "a")]
+    got = minhash.one_of_each(minhash.near_duplicates(docs_of(rows))).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted(
+        [(1, a), (1, b), (3, None), (3, ""), (None, "no id here at all")], key=str)
