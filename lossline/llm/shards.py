@@ -1,13 +1,15 @@
 """Searching an index that is cut into shards.
 
-Vectors are dealt over shards by the hash of their id; each shard becomes one
+Vectors are dealt over shards by the hash of their row; each shard becomes one
 index, built by one task from a bounded number of rows. Queries are dealt over
 blocks, and every block meets every shard. A search keeps k rows for each query
 and shard; the best k of all shards are the result.
 
 Defined cases: rows whose id or vector is null, or whose vector holds a null or
-a non-finite number, take no part; an id given several times stands for its
-smallest vector; a query never finds its own id; vectors are compared only with
+a non-finite number, take no part; rows with equal id and vector are one row;
+different vectors under one id are rows of their own, and a query id with several
+vectors gets the best k of all (with ``one_of_id`` an id stands for its smallest
+vector); a query never finds its own id; vectors are compared only with
 vectors of the same length; with fewer candidates than k all are returned; an
 empty table gives no rows.
 """
@@ -26,14 +28,15 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 
-def usable(vectors: DataFrame, id_col: str, vec_col: str, no_zero: bool = False) -> DataFrame:
+def usable(vectors: DataFrame, id_col: str, vec_col: str, no_zero: bool = False, one_of_id: bool = False) -> DataFrame:
     """``id, vec`` (doubles) of the rows that take part."""
     v = F.col("vec")
     ok = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     if no_zero:
         ok = ok & F.exists(v, lambda x: x != 0)
-    return (vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
-            .where(F.col("id").isNotNull() & v.isNotNull() & ok).groupBy("id").agg(F.min("vec").alias("vec")))
+    rows = (vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
+            .where(F.col("id").isNotNull() & v.isNotNull() & ok))
+    return rows.groupBy("id").agg(F.min("vec").alias("vec")) if one_of_id else rows.dropDuplicates(["id", "vec"])
 
 
 def search(vectors: DataFrame, is_query: Column, build: Callable[[np.ndarray, np.ndarray], object],
@@ -56,10 +59,10 @@ def search(vectors: DataFrame, is_query: Column, build: Callable[[np.ndarray, np
             index[int(n)] = build(own["id"].to_numpy(np.int64), np.array(own["vec"].tolist(), np.float64).reshape(len(own), n))
         return pd.DataFrame({"shard": part["shard"].iloc[:1].to_numpy(), "index": [pickle.dumps(index, protocol=5)]})
 
-    dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
+    dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("id", "vec"), F.lit(shards)).cast("int"))
     indexes = materialize(dealt.groupBy("shard").applyInPandas(build_shard, "shard int, index binary"), "shard-indexes")
     indexes = indexes.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    queries = (vectors.where(is_query).withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int"))
+    queries = (vectors.where(is_query).withColumn("block", F.pmod(F.xxhash64("id", "vec", F.lit(1)), F.lit(blocks)).cast("int"))
                .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))
     np_type = np.int64 if score_type == "long" else np.float64
 

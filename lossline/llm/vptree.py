@@ -7,7 +7,8 @@ border, times ``relax``, is within its k-th distance: ``relax`` 1 is exact by th
 triangle inequality, larger values leave out more. Queries go down the tree
 together.
 
-See ``shards`` for the defined cases; zero vectors take no part either.
+See ``shards`` for the defined cases; zero vectors take no part either, and an id
+given several times stands for its smallest vector.
 """
 
 from __future__ import annotations
@@ -112,6 +113,6 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, relax: float = RE
     """The k nearest rows found for each query by Euclidean distance (``is_query`` is over ``id``)."""
     if relax < 1:
         raise ValueError("relax must be 1 or more")
-    return search(usable(vectors, id_col, vec_col, no_zero=True), is_query, lambda ids, x: vars(VPTree(ids, x, leaf)),
+    return search(usable(vectors, id_col, vec_col, no_zero=True, one_of_id=True), is_query, lambda ids, x: vars(VPTree(ids, x, leaf)),
                   lambda state, ids, q: VPTree.of(state).nearest(ids, q, k, relax), k, "double", False, rows_per_shard,
                   queries_per_block)

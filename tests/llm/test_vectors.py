@@ -113,3 +113,16 @@ def test_edges(spark):
         assert f(df.limit(0), F.lit(True)).count() == 0
     with pytest.raises(ValueError):
         vptree.nearest(df, F.lit(True), relax=0.5)
+
+
+def test_products_keep_different_vectors_of_one_id(spark):
+    rng = np.random.default_rng(4)
+    rows = [(int(i), [float(v) for v in rng.integers(-3, 4, 3)]) for i in rng.integers(0, 60, 400)]
+    distinct = sorted({(i, tuple(v)) for i, v in rows})
+    want = {}
+    for q in {i for i, _ in distinct if i % 20 == 0}:
+        found = [(int(64 * 64 * np.dot(v, w)), i) for j, v in distinct if j == q for i, w in distinct if i != q]
+        want[q] = [(i, s) for s, i in sorted(found, key=lambda x: (-x[0], x[1]))[:20]]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for rows_per_shard in (16384, 50):
+        assert rows_of(mtree.top_products(df, F.col("id") % 20 == 0, page=16, rows_per_shard=rows_per_shard)) == want
