@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lossline.session import scratch_dir
 
@@ -59,5 +60,28 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = 8 << 20)
 
 
 def hashed_below(key: Column, share: float) -> Column:
-    """True for about ``share`` of the rows, always the same ones."""
-    return F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 20)) < int(share * (1 << 20))
+    """True for about ``share`` of the rows, always the same ones; the hash is
+    compared as a fraction, so that any positive share selects its part."""
+    at = F.xxhash64(key, F.lit("sample")).cast("double") / float(1 << 64) + 0.5
+    return at < F.lit(float(share))
+
+
+#: Bytes of one Arrow batch between the JVM and a Python worker; the JVM's own
+#: limit of rows alone would let a batch of long texts grow past any bound.
+BATCH_BYTES = 4 << 20
+
+
+def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+              schema: str | T.StructType) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` in batches of at most about ``BATCH_BYTES`` (one
+    longer row makes a batch of its own); memory that a task freed goes back to
+    the system, as workers are reused by later tasks."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(bounded, schema)

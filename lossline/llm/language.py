@@ -13,18 +13,18 @@ language name; repeated rows get equal results; further columns are kept.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hashed_below, slices
+from .common import arrow_map, hashed_below, slices
 
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+_NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")  # vowel signs and accents belong to their letters
 
 
 def normalized(text: str | None) -> str:
@@ -38,20 +38,24 @@ def normalized(text: str | None) -> str:
 def fit(train: DataFrame, docs_per_language: int = 400, dictionary_bytes: int = 48 << 10) -> dict[str, bytes]:
     """Dictionary text per language from ``train(text, lang)``.
 
-    At most about ``docs_per_language`` hash-chosen rows of each language are
-    read to the driver, cut to what one dictionary holds of each. Copies of a
-    text are read once, so a large group of them can't fill the driver.
+    Of each language about ``docs_per_language`` hash-chosen distinct texts give a
+    segment each, cut at a hash-chosen place of the text; only the segments are
+    read to the driver. Copies of a text count once, so a large group of them
+    neither fills the driver nor thins out the other texts.
     """
     train = train.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     share = {r["lang"]: min(1.0, docs_per_language / r["n"])
-             for r in train.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+             for r in train.select("lang", F.xxhash64("text").alias("h")).distinct()
+             .groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not share:
         return {}
     each = 4 * dictionary_bytes // docs_per_language
     chosen = F.lit(False)
     for lang, s in share.items():
         chosen = chosen | ((F.col("lang") == lang) & hashed_below(F.col("text"), s))
-    rows = (train.where(chosen).select("lang", F.substring("text", 1, 2 * each).alias("text"),
+    places = F.greatest(F.length("text") - 2 * each + 1, F.lit(1))
+    begin = (F.pmod(F.xxhash64("text", F.lit("place")), places) + 1).cast("int")
+    rows = (train.where(chosen).select("lang", F.substr("text", begin, F.lit(2 * each)).alias("text"),
                                        F.xxhash64("text").alias("h"))
             .dropDuplicates(["lang", "h"]).orderBy("lang", "h").collect())
     model: dict[str, list[str]] = {}
@@ -111,7 +115,7 @@ def identify(docs: DataFrame, model: dict[str, bytes], min_margin: float = 0.002
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classifier = Classifier(model)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 << 20):
             found = [classifier.classify(t) for t in batch.column("text").to_pylist()]
             cols = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()),
                     pa.array([f[2] for f in found], pa.float64()),
@@ -119,4 +123,4 @@ def identify(docs: DataFrame, model: dict[str, bytes], min_margin: float = 0.002
             yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in kept] + cols,
                                              names=[f.name for f in kept] + [n for n, _ in added])
 
-    return docs.select(*[f"`{f.name}`" for f in kept]).mapInArrow(run, schema)
+    return arrow_map(docs.select(*[f"`{f.name}`" for f in kept]), run, schema)

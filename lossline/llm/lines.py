@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, row_key, slices
+from .common import arrow_map, materialize, row_key, slices
 
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
@@ -93,13 +93,13 @@ def _packed(df: DataFrame, column: str) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = zstandard.ZstdCompressor(level=3)
-        for batch in slices(batches, column):
+        for batch in slices(batches, column, 2 << 20):
             data = pa.array([None if t is None else coder.compress(t.encode("utf-8", "surrogatepass"))
                              for t in batch.column(column).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([data if f.name == column else batch.column(f.name) for f in schema.fields],
                                              names=schema.names)
 
-    return df.mapInArrow(pack, schema)
+    return arrow_map(df, pack, schema)
 
 
 _CHUNK = "ck_doc long, ck_row long, ck_at int, ck_lines int, ck_hi long, ck_lo long"
@@ -115,7 +115,7 @@ def dedup(docs: DataFrame, window: int = 2, divisor: int = 4, least: int = 2, pa
                         F.col("text").alias("ck_text"))
 
     def list_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "ck_text"):
+        for batch in slices(batches, "ck_text", 2 << 20):
             out: list[list] = [[] for _ in range(6)]
             for doc, row, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 for at, n, data in places(text, pairs, **how) if text else ():
@@ -126,7 +126,7 @@ def dedup(docs: DataFrame, window: int = 2, divisor: int = 4, least: int = 2, pa
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)],
                                              names=["ck_doc", "ck_row", "ck_at", "ck_lines", "ck_hi", "ck_lo"])
 
-    listed = materialize(keyed.mapInArrow(list_chunks, _CHUNK), "line-chunks")
+    listed = materialize(arrow_map(keyed, list_chunks, _CHUNK), "line-chunks")
     place = F.struct("ck_doc", "ck_row", "ck_at")
     groups = (listed.groupBy("ck_hi", "ck_lo").agg(F.min(place).alias("first"), F.max(place).alias("last"))
               .where("first <> last").select("ck_hi", "ck_lo", "first"))  # repeated rows are one place
@@ -148,7 +148,7 @@ def dedup(docs: DataFrame, window: int = 2, divisor: int = 4, least: int = 2, pa
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)],
                                              names=["s_row", "s_at", "s_lines", "f_row", "f_at"])
 
-    spans = materialize(found.mapInArrow(unite, _SPAN), "line-spans")
+    spans = materialize(arrow_map(found, unite, _SPAN), "line-spans")
 
     # texts of the first places
     wanted = (spans.groupBy(F.col("f_row").alias("w_row"))
@@ -167,9 +167,9 @@ def dedup(docs: DataFrame, window: int = 2, divisor: int = 4, least: int = 2, pa
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)],
                                              names=["f_row", "f_at", "s_lines", "f_data"])
 
-    texts = (_packed(keyed.select("ck_row", "ck_text"), "ck_text")
-             .join(wanted.hint("merge"), F.col("ck_row") == F.col("w_row")).select("ck_row", "ck_text", "w_spans")
-             .mapInArrow(first_texts, "f_row long, f_at int, s_lines int, f_data binary"))
+    texts = arrow_map(_packed(keyed.select("ck_row", "ck_text"), "ck_text")
+                      .join(wanted.hint("merge"), F.col("ck_row") == F.col("w_row")).select("ck_row", "ck_text", "w_spans"),
+                      first_texts, "f_row long, f_at int, s_lines int, f_data binary")
     # written first: a join over an aggregate is not split where many spans have one first place
     texts = materialize(texts.dropDuplicates(["f_row", "f_at", "s_lines"]), "line-first-texts")
     repeats = (spans.join(texts, ["f_row", "f_at", "s_lines"]).groupBy(F.col("s_row").alias("__r_row"))
@@ -207,4 +207,4 @@ def dedup(docs: DataFrame, window: int = 2, divisor: int = 4, least: int = 2, pa
 
     keyed_docs = docs.select(*[f"`{c}`" for c in names], row_key(F.col("doc_id"), F.col("text")).alias("__row"))
     joined = _packed(keyed_docs, "text").join(repeats.hint("merge"), F.col("__row") == F.col("__r_row"), "left")
-    return joined.select(*[f"`{c}`" for c in names], "__cut").mapInArrow(cut, T.StructType(out_fields))
+    return arrow_map(joined.select(*[f"`{c}`" for c in names], "__cut"), cut, T.StructType(out_fields))

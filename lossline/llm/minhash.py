@@ -35,17 +35,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, row_key, slices
+from .common import arrow_map, materialize, row_key, slices
 from .components import components
 
 _B = np.uint64(0x9E3779B97F4A7C15)
 
 
 class _Words(dict):
-    """64-bit hashes of words, remembered up to a bound."""
+    """64-bit hashes of words, remembered up to a bound (about 8 MB)."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
+        if len(self) > 50_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -126,7 +126,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
                 yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in
                                                   (batch.column("u"), batch.column("v"))], names=["u", "v"])
 
-    return p.mapInArrow(run, "u long, v long")
+    return arrow_map(p, run, "u long, v long")
 
 
 def _agreeing(pairs: DataFrame, sigs: DataFrame, least: int) -> DataFrame:
@@ -142,7 +142,7 @@ def _agreeing(pairs: DataFrame, sigs: DataFrame, least: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("u").filter(keep), batch.column("v").filter(keep)],
                                              names=["u", "v"])
 
-    return p.mapInArrow(run, "u long, v long")
+    return arrow_map(p, run, "u long, v long")
 
 
 def _block_links(few: list[np.ndarray], few_comps: list[int], every: list[np.ndarray], every_comps: list[int],
@@ -224,7 +224,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, hashes = _Words(), Hashes(bands, rows)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 << 20):
             count, node, sig, keys = [], [], [], []
             for text in batch.column("text").to_pylist():
                 s = shingles(text, k, words)
@@ -241,8 +241,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
                  pa.array(sig, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
                 names=["id", "row", "n", "node", "sig", "bands"])
 
-    feats = materialize(keyed.mapInArrow(
-        features, "id long, row long, n long, node long, sig binary, bands array<long>"), "nd-features")
+    feats = materialize(arrow_map(
+        keyed, features, "id long, row long, n long, node long, sig binary, bands array<long>"), "nd-features")
     # one row for each class of equal sets
     classes = materialize(
         feats.where("node IS NOT NULL").groupBy("node")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import slices
+from .common import arrow_map, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -46,7 +46,7 @@ def load_pieces(path: str = MODEL) -> list[tuple[str, float, int]]:
 class Codec:
     """Encoder and decoder over one vocabulary with a complete set of byte pieces."""
 
-    def __init__(self, pieces: list[tuple[str, float, int]], remember: int = 200_000):
+    def __init__(self, pieces: list[tuple[str, float, int]], remember: int = 60_000):
         self.byte_id = {int(p[3:5], 16): i for i, (p, _, k) in enumerate(pieces) if k == 1}
         if len(self.byte_id) != 256:
             raise ValueError("the model has no complete byte pieces")
@@ -167,7 +167,7 @@ def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(pieces)
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             texts = batch.column("text").to_pylist()
             ids = [None if t is None else codec.encode(t) for t in texts]
             exact = [None if t is None else codec.decode(i) == t for t, i in zip(texts, ids)]
@@ -176,7 +176,7 @@ def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in kept] + cols,
                                              names=[f.name for f in kept] + [n for n, _ in added])
 
-    return docs.select(*[f"`{f.name}`" for f in kept]).mapInArrow(run, schema)
+    return arrow_map(docs.select(*[f"`{f.name}`" for f in kept]), run, schema)
 
 
 def decode(encoded: DataFrame, path: str = MODEL) -> DataFrame:
@@ -192,4 +192,4 @@ def decode(encoded: DataFrame, path: str = MODEL) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in kept] + [pa.array(texts, pa.string())],
                                              names=[f.name for f in kept] + ["sp_text"])
 
-    return encoded.select(*[f"`{f.name}`" for f in kept]).mapInArrow(run, schema)
+    return arrow_map(encoded.select(*[f"`{f.name}`" for f in kept]), run, schema)

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from lossline.llm import language, queries
+from lossline.llm import common, language, queries
 
 SF = "/root/testdata/sf0.01"
 
@@ -40,3 +40,32 @@ def test_edges(spark, docs_of, edge_rows):
     assert language.fit(docs.limit(0)) == {}
     one = language.identify(docs, {"en": model["en"]}).where("doc_id = 1").first()
     assert (one["lang_pred"], one["lang_score"]) == ("en", 1.0)
+
+
+def test_any_positive_share_selects_its_part(spark):
+    n, share = 4_000_000, 1e-5
+    keys = spark.range(n).select(F.col("id").cast("string").alias("k"))
+    got = keys.where(common.hashed_below(F.col("k"), share)).count()
+    assert 15 < got < 75, "40 rows expected"
+    assert keys.where(common.hashed_below(F.col("k"), 1.0)).count() == n
+    assert keys.where(common.hashed_below(F.col("k"), 0.0)).count() == 0
+    # a share of 1e-9: as many as lie below it among hashes spread over the whole range
+    at = keys.select((F.xxhash64("k", F.lit("sample")).cast("double") / 2.0 ** 64 + 0.5).alias("at"))
+    least = at.agg(F.min("at")).first()[0]
+    assert keys.where(common.hashed_below(F.col("k"), least * 1.0001)).count() == 1 and least < 1e-5
+
+
+def test_model_of_a_language_full_of_copies(spark):
+    rows = [("same words again", "en")] * 5000 + [(f"alpha beta number {'x' * (i % 50)} gamma" * 4, "en") for i in range(300)]
+    model = language.fit(spark.createDataFrame(rows, "text string, lang string"), docs_per_language=100)
+    assert model["en"].count(b"gamma") > 50, "copies do not thin out the other texts"
+
+
+def test_segments_come_from_anywhere(spark):
+    rows = [("head " * 400 + "tail " * 400, "en")] + [("head " * 400 + "tail " * 400 + "z" * i, "en") for i in range(1, 60)]
+    model = language.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert b"tail" in model["en"] and b"head" in model["en"]
+
+
+def test_vowel_signs_stay():
+    assert language.normalized("हिन्दी 12 की_भाषा") == "हिन्दी की भाषा"
