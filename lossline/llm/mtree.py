@@ -9,7 +9,8 @@ next and ends when none can be nearer than its k-th result. Stored parent
 distances rule entries out by the triangle inequality before their distance is
 computed. Queries that open the same node together are computed together.
 
-See ``shards`` for the defined cases.
+Products are exact for components of any size; see ``shards`` for the defined cases. A
+score that doesn't fit a long raises an error that names the two rows.
 """
 
 from __future__ import annotations
@@ -18,11 +19,9 @@ import heapq
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-from .shards import search, usable
+from .shards import exact_products, search, usable
 
-LIMIT = float(1 << 26)
 NO_SCORE = -(1 << 62)  # below every product; its negative is no overflow
 
 
@@ -41,12 +40,6 @@ class MTree:
         rows = np.arange(len(ids))
         self.root = self._build(aug, rows, np.zeros(len(ids)), page, fan, rng)
 
-    @classmethod
-    def of(cls, state: dict) -> MTree:
-        tree = cls.__new__(cls)
-        vars(tree).update(state)
-        return tree
-
     def _build(self, aug: np.ndarray, rows: np.ndarray, to_parent: np.ndarray, page: int, fan: int,
                rng: np.random.Generator) -> int:
         if len(rows) <= page:
@@ -79,7 +72,6 @@ class MTree:
         q2 = np.einsum("ij,ij->i", q, q) + self.m2
         slack = 1e-6 * (1.0 + np.sqrt(q2))
         exact = self.high * np.abs(q).max(initial=0.0) * max(1, q.shape[1]) < 2 ** 52
-        whole = None if exact else (q.astype(np.int64), self.x.astype(np.int64))
         # each query's open nodes: (least possible distance, node, distance to its routing object)
         heaps: list[list[tuple[float, int, float]]] = [[(0.0, self.root, np.nan)] for _ in range(n)]
         active = list(range(n))
@@ -109,7 +101,7 @@ class MTree:
                 if exact:
                     s = np.rint(q[g] @ self.x[rows[cols]].T).astype(np.int64)
                 else:
-                    s = whole[0][g] @ whole[1][rows[cols]].T
+                    s = exact_products(q[g], ids[g], self.x[rows[cols]], self.ids[rows[cols]], lambda a, b: a @ b.T)
                 if leaf:
                     self._keep(score, found, far, q2, ids, g, s, self.ids[rows[cols]], open_, k)
                     continue
@@ -146,16 +138,10 @@ class MTree:
 
 
 def top_products(vectors: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0, id_col: str = "vec_id",
-                 vec_col: str = "embedding", page: int = 512, rows_per_shard: int = 16384,
-                 queries_per_block: int = 1024) -> DataFrame:
-    """The k largest integer inner products of each query (``is_query`` is over ``id``).
-
-    Components become floor(scale * x), held within +-2^26 so that products
-    of vectors of up to 2^9 components stay within +-2^61.
-    """
-    v = usable(vectors, id_col, vec_col)
-    v = v.withColumn("vec", F.transform("vec", lambda x: F.greatest(F.lit(-LIMIT), F.least(
-        F.lit(LIMIT), F.floor(F.greatest(F.lit(-LIMIT), F.least(F.lit(LIMIT), scale * x))).cast("double")))))
-    return search(v, is_query, lambda ids, x: vars(MTree(ids, x, page)),
-                  lambda state, ids, q: MTree.of(state).top(ids, q, k),
-                  k, "long", True, rows_per_shard, queries_per_block)
+                 vec_col: str = "embedding", page: int = 512, rows_per_shard: int = 32768, tile: int = 1024) -> DataFrame:
+    """The k largest inner products of floor(scale * x) of each query (``is_query`` is over ``id``)."""
+    def whole(x: np.ndarray) -> np.ndarray:
+        return np.floor(scale * x)
+
+    return search(usable(vectors, id_col, vec_col), is_query, lambda ids, x: MTree(ids, whole(x), page),
+                  lambda tree, ids, q: tree.top(ids, whole(q), k), k, "long", True, rows_per_shard, tile)

@@ -7,8 +7,7 @@ border, times ``relax``, is within its k-th distance: ``relax`` 1 is exact by th
 triangle inequality, larger values leave out more. Queries go down the tree
 together.
 
-See ``shards`` for the defined cases; zero vectors take no part either, and an id
-given several times stands for its smallest vector.
+See ``shards`` for the defined cases; zero vectors take no part either.
 """
 
 from __future__ import annotations
@@ -29,12 +28,6 @@ class VPTree:
         self.nodes: list[tuple] = []
         self.root = self._build(np.arange(len(ids)), leaf, np.random.default_rng(seed))
 
-    @classmethod
-    def of(cls, state: dict) -> VPTree:
-        tree = cls.__new__(cls)
-        vars(tree).update(state)
-        return tree
-
     def _build(self, rows: np.ndarray, leaf: int, rng: np.random.Generator) -> int:
         if len(rows) <= leaf:
             self.nodes.append((None, rows, -1, -1))
@@ -108,11 +101,9 @@ class VPTree:
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 10, relax: float = RELAX, id_col: str = "vec_id",
-            vec_col: str = "embedding", leaf: int = 256, rows_per_shard: int = 16384,
-            queries_per_block: int = 1024) -> DataFrame:
+            vec_col: str = "embedding", leaf: int = 256, rows_per_shard: int = 32768, tile: int = 1024) -> DataFrame:
     """The k nearest rows found for each query by Euclidean distance (``is_query`` is over ``id``)."""
     if relax < 1:
         raise ValueError("relax must be 1 or more")
-    return search(usable(vectors, id_col, vec_col, no_zero=True, one_of_id=True), is_query, lambda ids, x: vars(VPTree(ids, x, leaf)),
-                  lambda state, ids, q: VPTree.of(state).nearest(ids, q, k, relax), k, "double", False, rows_per_shard,
-                  queries_per_block)
+    return search(usable(vectors, id_col, vec_col, no_zero=True), is_query, lambda ids, x: VPTree(ids, x, leaf),
+                  lambda tree, ids, q: tree.nearest(ids, q, k, relax), k, "double", False, rows_per_shard, tile)

@@ -1,3 +1,4 @@
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ def test_products_equal_brute_force(spark):
     want = products(ids, np.floor(64 * x), ids % 20 == 0, 20)
     assert rows_of(queries.op3_top_products(spark, SF)) == want
     df = spark.read.parquet(f"{SF}/embeddings.parquet")
-    small = mtree.top_products(df, F.col("id") % 20 == 0, page=16, rows_per_shard=90, queries_per_block=7)
+    small = mtree.top_products(df, F.col("id") % 20 == 0, page=16, rows_per_shard=90, tile=7)
     assert rows_of(small) == want
 
 
@@ -84,7 +85,7 @@ def neighbours(ids, x, queries_, k):
 def test_factor_one_is_exact(spark):
     ids, x = vectors(spark)
     df = spark.read.parquet(f"{SF}/embeddings.parquet")
-    got = rows_of(vptree.nearest(df, F.col("id") % 10 == 0, relax=1.0, leaf=8, rows_per_shard=120, queries_per_block=9))
+    got = rows_of(vptree.nearest(df, F.col("id") % 10 == 0, relax=1.0, leaf=8, rows_per_shard=120, tile=9))
     want = neighbours(ids, x, ids % 10 == 0, 10)
     for q, found in want.items():
         assert [i for i, _ in got[q]] == [i for i, _ in found]
@@ -102,13 +103,13 @@ def test_recall(spark):
 def test_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (20, [0.5, 0.5]), (20, [0.5, 0.25]), (1, [1.0, 0.0]), (2, None), (3, [nan, 1.0]), (4, [inf, 1.0]),
-            (5, [None, 1.0]), (6, [0.0, 0.0]), (None, [1.0, 1.0]), (7, [1.0, 2.0, 3.0]), (100, [1e30, -1e30]), (8, [])]
+            (5, [None, 1.0]), (6, [0.0, 0.0]), (None, [1.0, 1.0]), (7, [1.0, 2.0, 3.0]), (100, [1e6, -1e6]), (8, [])]
     df = spark.createDataFrame([(i, v, "x", 1.0) for i, v in rows], "vec_id long, embedding array<double>, id string, score double")
     got = rows_of(mtree.top_products(df, F.col("id") % 20 == 0, k=20))
-    assert {i for i, _ in got[0]} == {1, 6, 20, 100} and dict(got[0])[20] == 64 * 32
+    assert {i for i, _ in got[0]} == {1, 6, 20, 100} and dict(got[0])[20] == 64 * 32 and dict(got[0])[100] == 64 * 64_000_000
     assert got[20][0][0] == 0 or got[20][0][0] == 100
     near = rows_of(vptree.nearest(df, F.col("id") % 100 == 0))
-    assert [i for i, _ in near[0]] == [1, 20, 100], "zero vectors and other lengths take no part"
+    assert [i for i, _ in near[0]] == [1, 20, 20, 100], "zero vectors and other lengths take no part"
     for f in (mtree.top_products, vptree.nearest):
         assert f(df.limit(0), F.lit(True)).count() == 0
     with pytest.raises(ValueError):
@@ -126,3 +127,40 @@ def test_products_keep_different_vectors_of_one_id(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     for rows_per_shard in (16384, 50):
         assert rows_of(mtree.top_products(df, F.col("id") % 20 == 0, page=16, rows_per_shard=rows_per_shard)) == want
+
+
+def test_nearest_keeps_different_vectors_of_one_id(spark):
+    rows = [(0, [1.0, 1.0]), (3, [5.0, 5.0]), (3, [-9.0, 1.1]), (3, [5.0, 5.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = rows_of(vptree.nearest(df, F.col("id") == 0))[0]
+    assert [i for i, _ in got] == [3, 3] and np.allclose([s for _, s in got], [32 ** 0.5, 100.01 ** 0.5])
+
+
+def test_products_of_large_components(spark):
+    rows = [(0, [1e3, 0.0]), (1, [2e6, 0.0]), (2, [3e6, 0.0]), (4, [3e7, 7.0]), (5, [-4e9, 0.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert rows_of(mtree.top_products(df, F.col("id") == 0))[0] == [
+        (4, 64_000 * 1_920_000_000), (2, 64_000 * 192_000_000), (1, 64_000 * 128_000_000), (5, -64_000 * 256_000_000_000)]
+    far = df.unionAll(spark.createDataFrame([(6, [1e30, 0.0])], df.schema))
+    with pytest.raises(Exception, match="the rows 0 and 6 does not fit a long"):
+        mtree.top_products(far, F.col("id") == 0).collect()
+
+
+def test_sql_twins_on_repeated_rows(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    rows = [(int(i), [float(v) / 64 for v in rng.integers(-40, 41, 3)]) for i in rng.integers(0, 300, 500)]
+    rows += rows[:50]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding DOUBLE[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", rows)
+    got = sorted((q, i, s) for q, found in rows_of(mtree.top_products(df, F.col("id") % 20 == 0)).items() for i, s in found)
+    assert got == sorted((q, i, s) for q, _, i, s in con.execute(queries.ORACLE_SQL["op3_top_products"]).fetchall())
+    near = con.execute("""
+        WITH v AS (SELECT DISTINCT * FROM embeddings WHERE len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.embedding, c.embedding) AS score
+              FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+        SELECT query_id, vec_id, score FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) <= 10""").fetchall()
+    found = rows_of(vptree.nearest(df, F.col("id") % 100 == 0, relax=1.0, leaf=8, rows_per_shard=130))
+    got = sorted((q, i, round(s, 9)) for q, rows_ in found.items() for i, s in rows_)
+    assert got == sorted((q, i, round(s, 9)) for q, i, s in near)
