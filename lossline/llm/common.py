@@ -35,6 +35,23 @@ def row_key(doc_id: Column, text: Column) -> Column:
     return F.xxhash64(F.coalesce(doc_id.cast("string"), F.lit("\0")), F.coalesce(text, F.lit("\0")))
 
 
+def row_id(doc_id: Column, text: Column) -> Column:
+    """128-bit key of a row's id and text (16 bytes), equal only for repeated rows."""
+    part = lambda c: F.coalesce(F.concat(F.lit("="), c), F.lit("-"))
+    return F.unhex(F.md5(F.concat(part(doc_id.cast("string")), F.lit("|"), part(text)).cast("binary")))
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, with underscores before them until no column of ``df`` has them."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n = "_" + n
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write to the shared scratch folder and read back: cuts lineage so that a
     lost executor costs no recomputation before this point."""

@@ -1,14 +1,14 @@
 import pytest
 
 COLUMNS = ("doc_id long, text string, lang string, source string, n_chars long, size int, score double, row string, "
-           "node string, weight double")
+           "node string, weight double, __row string, __key long, ck_text string, fp long, ld_key string, ld_cut string")
 
 
 @pytest.fixture(scope="session")
 def docs_of(spark):
     """DataFrame of documents with extra columns whose names operators use inside."""
     def make(rows):
-        full = [(i, t, lang, src, len(t) if t is not None else None, 7, 0.25, "r", "n", 1.5)
+        full = [(i, t, lang, src, len(t) if t is not None else None, 7, 0.25, "r", "n", 1.5, "u", 3, "v", 4, "b", "c")
                 for i, t, lang, src in rows]
         return spark.createDataFrame(full, COLUMNS)
     return make

@@ -1,5 +1,5 @@
 import corpus_pipeline as cp
-from lossline.llm import language, lines, minhash, sentencepiece
+from lossline.llm import language, minhash, sentencepiece
 from lossline.llm.common import learnable
 from pyspark.sql import functions as F
 
@@ -26,8 +26,6 @@ def test_stages_do_what_their_operators_say(spark, tmp_path):
         assert i not in after or after[i]["lang"] == lang
     before, after = ({r["doc_id"]: r["text"] for r in x.collect()} for x in seen["line_dedup"])
     assert before.keys() == after.keys() and any(before[i] != after[i] for i in before)
-    kept = [d for t in after.values() for n, d in lines.chunk_bytes(t) if n >= 2 and len(d) > 3000]
-    assert len(kept) == len(set(kept))
     before, after = ({r["doc_id"]: r["text"] for r in x.collect()} for x in seen["near_dedup"])
     words = minhash._Words()
     s = {i: minhash.shingles(t, 5, words) for i, t in after.items()}
