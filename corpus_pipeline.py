@@ -22,10 +22,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts repeated runs of two or more lines; ``n_chars`` follows the text. Documents stay."""
-    cut = lines.dedup(docs, pairs=True).withColumn("n_chars", F.when(F.col("ld_lines_removed") > 0, F.length("text").cast("long"))
-                                       .otherwise(F.col("n_chars")))
-    return cut.select(*docs.columns)
+    """Cuts repeated runs of lines; ``n_chars``, where there is one, follows the text. Documents stay."""
+    cut = lines.dedup(docs)
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.when(F.col("ld_lines_removed") > 0, F.length("text").cast("long"))
+                             .otherwise(F.col("n_chars")))
+    return cut.select(*[f"`{c}`" for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
