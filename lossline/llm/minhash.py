@@ -7,9 +7,9 @@ at white space). Equal sets are collapsed to one class first. Each class gets
 bucket. In each bucket every class is compared with the bucket's most connected
 class (signatures first, then the full sets of 64-bit shingle hashes). After a
 first round of components, buckets that still hold several components compare
-the members outside their largest component with all others on their full sets,
-in blocks that give only links joining components; pairs within one component
-need no test any more. So all links between different components are tested,
+the members outside their largest component with all others, in blocks: by
+signatures, and those that have a partner on their full sets, which gives only links
+joining components; pairs within one component need no test any more. So all links between different components are tested,
 without listing the pairs of a group.
 
 With 32 bands of 4 rows a pair at similarity 0.8 shares no band with probability
@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, materialize, row_key, slices
+from .common import arrow_map, fresh, materialize, row_id, slices
 from .components import components
 
 _B = np.uint64(0x9E3779B97F4A7C15)
@@ -175,30 +175,58 @@ def _block_links(few: list[np.ndarray], few_comps: list[int], every: list[np.nda
     return out
 
 
-def _late_links(members: DataFrame, comps: DataFrame, texts: DataFrame, k: int, percent: int, block: int) -> DataFrame:
-    """Links between different components that share a bucket ``members(band, node)``.
-
-    Members outside a bucket's largest component meet all its members, block by
-    block, on their full sets; a block gives only links that join components, so
-    no more rows than it has members."""
-    m = (members.join(comps, "node", "left")
-         .select("band", "node", F.coalesce("component", "node").alias("comp")))
-    by_comp = m.groupBy("band", "comp").agg(F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h"))
+def _dealt(members: DataFrame, block: int, least: int) -> DataFrame:
+    """Blocks (band, i, j) of ``members(band, node, comp)``: those outside a bucket's
+    largest component (side 0) meet all of its members (side 1), ``block`` rows a side.
+    Buckets of fewer than ``least`` members are left out."""
+    by_comp = members.groupBy("band", "comp").agg(F.count("*").alias("n"),
+                                                  F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h"))
     buckets = (by_comp.groupBy("band").agg(F.sum("n").alias("n"), F.count("*").alias("comps"), F.max("n").alias("top"),
                                            F.max_by("comp", "n").alias("main"), F.sum("h").alias("h"))
-               .where("comps > 1 AND n > 2"))
+               .where(f"comps > 1 AND n >= {least}"))
     # several bands may hold the same members: one of them is enough
     buckets = (buckets.groupBy("n", "h", "main").agg(F.min("band").alias("band"), F.first("top").alias("top"))
                .select("band", "main", F.ceil((F.col("n") - F.col("top")) / block).cast("int").alias("few"),
                        F.ceil(F.col("n") / block).cast("int").alias("many")))
-    m = materialize(m.join(buckets, "band"), "late-members")
+    m = materialize(members.join(buckets, "band"), "late-members")
     part = F.xxhash64("node", F.lit(5))
     few = (m.where("comp <> main").withColumn("i", F.pmod(part, F.col("few")).cast("int"))
            .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("many") - 1))).withColumn("side", F.lit(0)))
     every = (m.withColumn("j", F.pmod(part, F.col("many")).cast("int"))
              .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("few") - 1))).withColumn("side", F.lit(1)))
     names = ["band", "i", "j", "side", "node", "comp"]
-    both = few.select(names).unionByName(every.select(names)).join(texts, "node")
+    return few.select(names).unionByName(every.select(names))
+
+
+def _late_links(members: DataFrame, comps: DataFrame, sigs: DataFrame, texts: DataFrame, k: int, percent: int, least: int,
+                block: int, sig_block: int) -> DataFrame:
+    """Links between different components that share a bucket ``members(band, node)``.
+
+    Members outside a bucket's largest component meet all its members twice, block by
+    block: first their signatures (a few bytes for each hash, blocks of ``sig_block``),
+    which leave those with a partner of another component that agrees in ``least``
+    places; then only these, on the full sets of their texts. (Of a bucket of two the
+    pivot's comparison has seen the only pair.) A block gives only links
+    that join components, so no more rows than it has members."""
+    m = (members.join(comps, "node", "left")
+         .select("band", "node", F.coalesce("component", "node").alias("comp")))
+
+    def agree(rows: pd.DataFrame) -> pd.DataFrame:
+        side, comp, node = (rows[c].to_numpy() for c in ("side", "comp", "node"))
+        sig = np.frombuffer(b"".join(rows["sig"]), np.uint8).reshape(len(rows), -1)
+        few, every = np.nonzero(side == 0)[0], np.nonzero(side == 1)[0]
+        hit = np.zeros(len(rows), bool)
+        for i in few.tolist():
+            same = (sig[every] == sig[i]).sum(axis=1) >= least
+            found = every[same & (comp[every] != comp[i])]
+            if len(found):
+                hit[i] = True
+                hit[found] = True
+        return pd.DataFrame({"band": rows["band"].to_numpy()[hit], "node": node[hit]})
+
+    near = (_dealt(m, sig_block, 3).join(sigs, "node").groupBy("band", "i", "j").applyInPandas(agree, "band long, node long")
+            .distinct())
+    left = materialize(m.join(near, ["band", "node"]), "late-near")
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         words = _Words()
@@ -210,17 +238,17 @@ def _late_links(members: DataFrame, comps: DataFrame, texts: DataFrame, k: int,
         return pd.DataFrame({"u": np.array([nodes[a[i]] for i, _ in pairs], np.int64),
                              "v": np.array([nodes[b[j]] for _, j in pairs], np.int64)})
 
-    return both.groupBy("band", "i", "j").applyInPandas(run, "u long, v long")
+    return _dealt(left, block, 2).join(texts, "node").groupBy("band", "i", "j").applyInPandas(run, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = 32, rows: int = 4,
-                    block: int = 256) -> DataFrame:
+                    block: int = 256, sig_block: int = 2048) -> DataFrame:
     """``docs`` with ``nd_shingles`` (set size), ``nd_component`` (smallest id
     reachable), ``nd_kept`` (whether that is the row's own id) and ``nd_node`` (equal
     in one component only, also where several components share a smallest id)."""
     added = ["nd_shingles", "nd_component", "nd_kept", "nd_node"]
     names = [c for c in docs.columns if c not in added]
-    keyed = docs.select(F.col("doc_id").cast("long").alias("id"), row_key(F.col("doc_id"), F.col("text")).alias("row"), "text")
+    keyed = docs.select(F.col("doc_id").cast("long").alias("id"), row_id(F.col("doc_id"), F.col("text")).alias("row"), "text")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, hashes = _Words(), Hashes(bands, rows)
@@ -242,7 +270,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
                 names=["id", "row", "n", "node", "sig", "bands"])
 
     feats = materialize(arrow_map(
-        keyed, features, "id long, row long, n long, node long, sig binary, bands array<long>"), "nd-features")
+        keyed, features, "id long, row binary, n long, node long, sig binary, bands array<long>"), "nd-features")
     # one row for each class of equal sets
     classes = materialize(
         feats.where("node IS NOT NULL").groupBy("node")
@@ -268,22 +296,22 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
                         .dropDuplicates(["node"]), "nd-texts")
     edges = materialize(_verified(stars, texts, k, percent), "nd-edges")
     comps = materialize(components(edges), "nd-components")
-    more = materialize(_late_links(members.select("band", "node"), comps, texts, k, percent, block), "nd-edges")
+    more = materialize(_late_links(members.select("band", "node"), comps, sigs, texts, k, percent, least, block, sig_block), "nd-edges")
     if more.take(1):
         comps = materialize(components(edges.unionByName(more)), "nd-components")
     labelled = classes.select("node", "rep").join(comps, "node", "left").select(
         "node", "rep", F.coalesce("component", "node").alias("comp"))
     ids = labelled.groupBy("comp").agg(F.min("rep").alias("component_id"))
     labelled = labelled.join(ids, "comp").select(F.col("node").alias("l_node"), "component_id", "comp")
+    key, row, n, small, comp = fresh(docs, "nd_key", "nd_row", "nd_n", "nd_small", "nd_comp")
     found = (feats.select("row", "n", "node").dropDuplicates(["row"]).join(labelled, F.col("node") == F.col("l_node"), "left")
-             .select(F.col("row").alias("__row"), F.col("n").alias("__n"), F.col("component_id").alias("__c"),
-                     F.col("comp").alias("__comp")))
-    out = docs.withColumn("__key", row_key(F.col("doc_id"), F.col("text"))).join(found, F.col("__key") == F.col("__row"), "left")
+             .select(F.col("row").alias(row), F.col("n").alias(n), F.col("component_id").alias(small), F.col("comp").alias(comp)))
+    out = (docs.withColumn(key, row_id(F.col("doc_id"), F.col("text"))).join(found, F.col(key) == F.col(row), "left"))
     own = F.col("doc_id").cast("long")
-    component = F.when(F.col("__n") == 0, own).otherwise(F.col("__c"))
-    return out.select(*[f"`{c}`" for c in names], F.col("__n").alias("nd_shingles"), component.alias("nd_component"),
+    component = F.when(F.col(n) == 0, own).otherwise(F.col(small))
+    return out.select(*[f"`{c}`" for c in names], F.col(n).alias("nd_shingles"), component.alias("nd_component"),
                       F.coalesce(own == component, component.isNull()).alias("nd_kept"),
-                      F.when(F.col("__n") == 0, F.col("__key")).otherwise(F.col("__comp")).alias("nd_node"))
+                      F.when(F.col(n) == 0, F.hex(key)).otherwise(F.col(comp).cast("string")).alias("nd_node"))
 
 
 def one_of_each(found: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialize, row_key
+from .common import fresh, materialize, row_key
 
 WORD = r"[^\x20\x09-\x0D]+"
 CYCLE = (5.0, 2.0, 1.0)
@@ -132,10 +132,11 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, **how) -> DataFrame:
     (see ``plan``)."""
     added = ["mix_size", "mix_source_size", "mix_target", "mix_copies", "mix_taken"]
     names = [c for c in docs.columns if c not in added]
+    key, row, taken = fresh(docs, "mix_key", "mix_at", "mix_plan")
     planned = plan(docs, weights, **how).dropDuplicates(["mix_row"]).select(
-        F.col("mix_row").alias("__row"), F.struct(*added).alias("__plan"))
-    return (docs.withColumn("__key", row_key(F.col("doc_id"), F.col("text"))).join(planned, F.col("__key") == F.col("__row"))
-            .select(*[f"`{c}`" for c in names], "__plan.*"))
+        F.col("mix_row").alias(row), F.struct(*added).alias(taken))
+    return (docs.withColumn(key, row_key(F.col("doc_id"), F.col("text"))).join(planned, F.col(key) == F.col(row))
+            .select(*[f"`{c}`" for c in names], f"{taken}.*"))
 
 
 def label_weights(labels: DataFrame, good: float = 2.0, bad: float = 0.5) -> DataFrame:

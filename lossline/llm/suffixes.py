@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, row_key, slices
+from .common import fresh, materialize, row_key, slices
 
 _B = 0x9E3779B97F4A7C15
 _BLOCK = 1 << 16
@@ -263,6 +263,8 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = 32, hot: int
     listed = keyed.mapInArrow(list_anchors, "fp long, ctx long, row long, at int, ll short, rl short")
     twice = (keyed.select("text").mapInArrow(list_hashes, "fp long, n long").groupBy("fp").agg(F.sum("n").alias("n"))
              .where("n > 1").select("fp"))
+    # written first: a join over an aggregate is not split where one gram is very frequent
+    twice = materialize(twice, "sa-twice")
     found = materialize(listed.join(twice, "fp"), "sa-anchors")
     contexts = materialize(found.groupBy("fp", "ctx", "ll", "rl")
                            .agg(F.count("*").alias("n"), F.min(F.struct("row", "at")).alias("at")), "sa-contexts")
@@ -379,15 +381,15 @@ def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 32, hot: int
              ("sa_sha256", T.StringType())]
     kept = [f for f in docs.schema.fields if f.name not in dict(added)]
     names = [f.name for f in kept]
-    spans = repeated_spans(docs, length, gram, hot).withColumnRenamed("row", "__row").withColumnRenamed("spans", "__spans")
-    joined = (docs.withColumn("__key", row_key(F.col("doc_id"), F.col("text")))
-              .join(spans, F.col("__key") == F.col("__row"), "left"))
+    key, row, found_spans = fresh(docs, "sa_key", "sa_row", "sa_found")
+    spans = repeated_spans(docs, length, gram, hot).withColumnRenamed("row", row).withColumnRenamed("spans", found_spans)
+    joined = (docs.withColumn(key, row_key(F.col("doc_id"), F.col("text"))).join(spans, F.col(key) == F.col(row), "left"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices([whole], "text"):
                 out: list[list] = [[] for _ in added]
-                for text, found in zip(batch.column("text").to_pylist(), batch.column("__spans").to_pylist()):
+                for text, found in zip(batch.column("text").to_pylist(), batch.column(found_spans).to_pylist()):
                     data = (text or "").encode("utf-8", "surrogatepass")
                     removed, runs, left = digest(data, [(s["begin"], s["end"]) for s in found or ()])
                     for col, v in zip(out, (len(data), removed, runs, hashlib.sha256(left).hexdigest())):
@@ -397,4 +399,4 @@ def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 32, hot: int
                     names=names + [n for n, _ in added])
 
     schema = T.StructType(kept + [T.StructField(n, t) for n, t in added])
-    return joined.select(*[f"`{n}`" for n in names], "__spans").mapInArrow(run, schema)
+    return joined.select(*[f"`{n}`" for n in names], found_spans).mapInArrow(run, schema)

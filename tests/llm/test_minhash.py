@@ -62,7 +62,8 @@ def test_groups_whose_members_are_linked_only_through_others(spark, docs_of):
                 base = w  # drift
     rng.shuffle(rows)
     docs = docs_of([(a, t, "en", "s") for a, t in rows])
-    check(minhash.near_duplicates(docs, k=4, block=16).collect(), rows, 4)
+    for block, sig_block in ((16, 2048), (256, 16)):
+        check(minhash.near_duplicates(docs, k=4, block=block, sig_block=sig_block).collect(), rows, 4)
 
 
 def test_edges(spark, docs_of, edge_rows):
