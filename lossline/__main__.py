@@ -5,7 +5,7 @@ every two minutes; here each step is one command).
     python -m lossline ingest --root <path> --jdbc-url <url> --table <t> [--driver <cls>] [--overlap N]
         [--jdbc-option user=<u>] [--jdbc-options-file <json>] [--column "CAST(x AS DATE) AS x" ...]
     python -m lossline ingest --root <path> --parquet <folder> --source <name>
-    python -m lossline refresh --root <path> [--state-partitions N] [--reset-on-rule-change]
+    python -m lossline refresh --root <path> [--state-partitions N] [--max-files N] [--reset-on-rule-change]
     python -m lossline rebuild --root <path> [--partition-by claim_month] [--quarantine] [--sketches]
     python -m lossline health --root <path>
     python -m lossline quality --root <path>          # quality counts of recent refreshes
@@ -64,7 +64,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--partition-by", help="rebuild: partition silver by this column (e.g. claim_month)")
     p.add_argument("--quarantine", action="store_true", help="rebuild: also write failing rows with rule names")
     p.add_argument("--sketches", action="store_true", help="rebuild: also write HLL claim sketches")
-    p.add_argument("--state-partitions", type=int, help="refresh: distinct-claims state partitions at first start")
+    p.add_argument("--state-partitions", type=int, help="refresh: shuffle partitions of its micro-batches, fixed at first start")
+    p.add_argument("--max-files", type=int, help="refresh: silver files of one micro-batch at most (a backlog takes several)")
     p.add_argument("--reset-on-rule-change", action="store_true",
                    help="refresh: re-derive silver and gold when the quality rules changed")
     return p
@@ -129,7 +130,7 @@ def run(args: argparse.Namespace, spark) -> dict:
             out.update(source=name, lo=res.lo, hi=res.hi, rows=res.rows)
     elif args.command == "refresh":
         res = incremental.refresh(spark, store, state_partitions=args.state_partitions,
-                                  on_rules_change="reset" if args.reset_on_rule_change else "error")
+                                  on_rules_change="reset" if args.reset_on_rule_change else "error", max_files=args.max_files)
         out.update(batches=res.batches, quality=res.quality, reset=res.reset)
         _repoint_views(spark, store, args.schema, out)
     elif args.command == "rebuild":

@@ -6,9 +6,8 @@ Shape for scale:
   (group, claim_id) first, which spreads a hot group by claim id, and runs
   apart from the other measures (joined on the small results);
 - the loss-ratio join never shuffles silver: claims are aggregated first and
-  restricted to the keys of the firmwide dimension; the dimension's size is
-  checked (48 rows for the book) before it and the matched claims are
-  broadcast, with shuffle joins beyond the limit.
+  restricted to the keys of the firmwide dimension (48 rows for the book);
+  which side is broadcast is left to Spark's byte threshold and AQE.
 """
 
 from __future__ import annotations
@@ -163,10 +162,50 @@ def merge_sketches(current: DataFrame, new: DataFrame) -> DataFrame:
     return a.join(b, same, "full_outer").select(*keys, merged.alias("claim_sketch"))
 
 
+DAILY_KEYS = ("event_date", "lob")
+DAILY_COLUMNS = (*DAILY_KEYS, "claim_txn_count", "incurred_amount", "avg_report_lag_days")
+#: Stored daily tables are laid out by month: a date holds one row for each lob, and a
+#: folder for each of a few thousand dates costs more to list than to read.
+DAILY_PARTITION = "event_month"
+DAILY_BASE_SCHEMA = ("event_date date, lob string, claim_txn_count bigint, incurred_amount decimal(24,2), lag_days bigint, "
+                     "lags bigint, event_month date")
+
+
+def with_event_month(daily: DataFrame) -> DataFrame:
+    """Adds the partition column of stored daily tables (a NULL date has a NULL month)."""
+    return daily.withColumn(DAILY_PARTITION, F.trunc("event_date", "MM"))
+
+
+def daily_sums(silver: DataFrame) -> DataFrame:
+    """The additive part of the daily gold; the mean lag is kept as sum and count."""
+    return silver.groupBy(*DAILY_KEYS).agg(
+        F.count(F.lit(1)).alias("claim_txn_count"),
+        F.sum("claim_amount").cast(INCURRED_TYPE).alias("incurred_amount"),
+        F.sum("report_lag_days").alias("lag_days"),
+        F.count("report_lag_days").alias("lags"),
+    )
+
+
+def add_daily_sums(sums: DataFrame) -> DataFrame:
+    """One row for each key of several ``daily_sums``."""
+    return sums.groupBy(*DAILY_KEYS).agg(
+        F.sum("claim_txn_count").alias("claim_txn_count"),
+        F.sum("incurred_amount").cast(INCURRED_TYPE).alias("incurred_amount"),
+        F.sum("lag_days").alias("lag_days"),
+        F.sum("lags").alias("lags"),
+    )
+
+
+def daily_from_sums(sums: DataFrame) -> DataFrame:
+    """Daily gold rows from stored sums; a day without a lag has a NULL mean."""
+    mean = F.try_divide(F.col("lag_days").cast("double"), F.col("lags"))
+    return sums.withColumn("avg_report_lag_days", mean).drop("lag_days", "lags")
+
+
 def claims_daily(silver: DataFrame) -> DataFrame:
     """Daily volume, incurred and mean reporting lag by (event_date, lob)."""
     src = silver if "event_date" in silver.columns else with_event_date(silver)
-    return src.groupBy("event_date", "lob").agg(
+    return src.groupBy(*DAILY_KEYS).agg(
         F.count(F.lit(1)).alias("claim_txn_count"),
         F.sum("claim_amount").alias("incurred_amount"),
         F.avg("report_lag_days").alias("avg_report_lag_days"),

@@ -13,12 +13,20 @@ from pyspark.sql import functions as F
 
 from ..functions.finance import loss_ratio as ratio_expr
 from ..functions.finance import weighted_mean
+from .gold import DAILY_PARTITION
 from .marts import loss_ratio_by_lob
 
 
+def _months(gold_daily: DataFrame, first: _dt.date, last: _dt.date) -> DataFrame:
+    """The partitions of a stored daily table that can hold these days."""
+    if DAILY_PARTITION not in gold_daily.columns:
+        return gold_daily
+    return gold_daily.where(F.col(DAILY_PARTITION).between(F.lit(first.replace(day=1)), F.lit(last.replace(day=1))))
+
+
 def incurred_by_lob_on(gold_daily: DataFrame, day: _dt.date) -> DataFrame:
     """Q1: total incurred by lob on one day."""
-    return (gold_daily.where(F.col("event_date") == F.lit(day))
+    return (_months(gold_daily, day, day).where(F.col("event_date") == F.lit(day))
             .groupBy("lob")
             .agg(F.sum("incurred_amount").alias("incurred_amount"),
                  F.sum("claim_txn_count").alias("claim_txn_count"))
@@ -39,9 +47,10 @@ def worst_region(gold_loss_ratio: DataFrame) -> DataFrame:
 
 
 def lob_trend(gold_daily: DataFrame, lob: str, as_of: _dt.date, days: int = 7) -> DataFrame:
-    """Q3: daily volume for one lob over the ``days`` days ending ``as_of``."""
+    """Q3: daily volume for one lob over the ``days`` days ending ``as_of``; of a stored
+    daily table only the partitions of these days are listed and read."""
     start = as_of - _dt.timedelta(days=days - 1)
-    return (gold_daily
+    return (_months(gold_daily, start, as_of)
             .where((F.col("lob") == F.lit(lob))
                    & F.col("event_date").between(F.lit(start), F.lit(as_of)))
             .select("event_date", "lob", "claim_txn_count", "incurred_amount")

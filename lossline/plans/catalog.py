@@ -74,10 +74,11 @@ QUERIES: dict[str, Callable[[Medallion], DataFrame]] = {
     "gold_loss_ratio": lambda m: m.loss_ratio,
     "gold_loss_ratio_compat": lambda m: m.loss_ratio_compat,
     "loss_ratio_unmatched": lambda m: gold.unmatched_claims(m.claims_agg, m.firmwide, compat=True),
-    "gold_claims_daily": lambda m: m.daily,
+    "gold_claims_daily": lambda m: m.daily.select(*gold.DAILY_COLUMNS),
     # --- dashboard --------------------------------------------------------------
     "dash_kpis": lambda m: marts.kpis(m.by_lob_region),
     "kpi_distinct_claims": lambda m: marts.distinct_claims(m.silver),
+    "kpi_distinct_bitmap": lambda m: m.distinct_claims,
     "dash_incurred_by_lob": lambda m: marts.incurred_by_lob(m.by_lob_region),
     "dash_loss_ratio_by_lob": lambda m: marts.loss_ratio_by_lob(m.loss_ratio),
     "dash_loss_ratio_heat": lambda m: marts.loss_ratio_heat(m.loss_ratio),

@@ -9,19 +9,18 @@ which cannot hold at 100 TB. ``refresh``:
    write, and appends them as silver batch partitions;
 2. logs the batches as refreshed *before* any gold work, so a crash between
    the two re-runs only the exactly-once streams below;
-3. runs ``availableNow`` streams over the silver batch files, each with its
-   own checkpoint under the store (shared folder), concurrently:
-   - by-lob-region measures (count, sum, avg, max, large losses, latest
-     event) as running aggregates, update mode;
-   - distinct claims: ``dropDuplicates`` on (lob, region, currency, claim_id)
-     then a count — the per-claim state lives in the RocksDB state store,
-     looked up by key, so no table of all claims is scanned per run (the two
-     small aggregates keep their few thousand keys in memory);
-   - daily gold, as in the streaming R4;
-   - (optional, default on) HLL claim sketches per group, unioned into a
-     small table in ``foreachBatch`` — mergeable approximate distincts for
-     any roll-up (a global KPI without rescanning silver);
-   each micro-batch upserts its touched keys into a small gold table;
+3. runs one ``availableNow`` stream over the silver batch files, its checkpoint
+   under the store (shared folder). Each micro-batch is read once and merged into
+   small tables in ``foreachBatch``, with no streaming state:
+   - by-lob-region measures are added to a table of a few thousand rows, which
+     names the micro-batch it holds last;
+   - daily sums are added to the touched month partitions (staged first), and the
+     published daily gold gets these months replaced;
+   - distinct claims are bits: bitmaps of 32,768 ids are OR-ed into the touched
+     ranges of ids, ids of another form are kept in a table of their own;
+   - (optional, default on) HLL claim sketches per group, a 4 KB estimate for
+     any roll-up;
+   a micro-batch that is run again (a crash before its commit) changes nothing;
 4. assembles ``gold_claims_by_lob_region`` (measures joined with distinct
    counts, 48-ish rows) and the loss ratio from it.
 
@@ -42,16 +41,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DROP_RULE_DOMAINS, DROP_RULE_SQL, LARGE_LOSS_THRESHOLD, TABLES, WARN_RULE_SQL
-from ..operators import gold, quality
+from ..operators import distinct, gold, quality
 from ..operators.silver import silver_typed, with_event_date
 from ..sinks.tables import TableStore
 from ..streaming import jobs as streams
 from . import jobs
 
 GROUP = ("lob", "region", "currency")
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-IN_MEMORY = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 BY_LOB_REGION_COLUMNS = ("lob", "region", "currency", "claim_txn_count", "distinct_claims", "incurred_amount",
                          "avg_claim_amount", "max_claim_amount", "large_loss_count", "last_event_ts")
 
@@ -81,8 +77,9 @@ def logged_fingerprints(store: TableStore) -> set[str]:
 
 # everything refresh derives by merging (the daily table is upserted by key,
 # so rows of keys that vanish under new rules would linger)
-INCREMENTAL_STATE = (TABLES.refresh_log, TABLES.silver_batches, TABLES.gold_base, TABLES.gold_distinct,
-                     TABLES.gold_sketches, TABLES.gold_claims_daily, TABLES.checkpoints)
+INCREMENTAL_STATE = (TABLES.refresh_log, TABLES.silver_batches, TABLES.gold_base, TABLES.daily_base,
+                     TABLES.claim_bitmaps, TABLES.claim_others, TABLES.gold_sketches, TABLES.gold_claims_daily,
+                     TABLES.checkpoints)
 
 
 def reset_state(store: TableStore) -> None:
@@ -140,86 +137,123 @@ def silver_schema(spark: SparkSession, store: TableStore) -> T.StructType:
     return spark.read.parquet(store.current_path(TABLES.silver_batches)).schema
 
 
-def _silver_stream(spark: SparkSession, store: TableStore, schema: T.StructType) -> DataFrame:
-    return streams.read_parquet_stream(spark, store.current_path(TABLES.silver_batches), schema)
-
-
 def _measures(silver: DataFrame) -> DataFrame:
     return silver.groupBy(*GROUP).agg(
         F.count(F.lit(1)).alias("claim_txn_count"),
-        F.sum("claim_amount").alias("incurred_amount"),
-        F.avg("claim_amount").alias("avg_claim_amount"),
+        F.sum("claim_amount").cast(gold.INCURRED_TYPE).alias("incurred_amount"),
         F.max("claim_amount").alias("max_claim_amount"),
         F.count_if(F.col("is_large_loss")).alias("large_loss_count"),
         F.max("event_ts").alias("last_event_ts"),
     )
 
 
-def _distincts(silver: DataFrame) -> DataFrame:
-    return (silver.dropDuplicates([*GROUP, "claim_id"])
-            .groupBy(*GROUP).agg(F.count("claim_id").alias("distinct_claims")))
+def _add_measures(store: TableStore, rows: DataFrame, step: str) -> None:
+    """Adds the micro-batch's group measures; the table's rows name the step they hold."""
+    new = _measures(rows)
+    if store.exists(TABLES.gold_base):
+        current = store.read(TABLES.gold_base)
+        if current.where(F.col("step") == step).take(1):
+            return                                              # this micro-batch is in already
+        both = current.drop("step").unionByName(new)
+        new = both.groupBy(*GROUP).agg(
+            F.sum("claim_txn_count").alias("claim_txn_count"),
+            F.sum("incurred_amount").cast(gold.INCURRED_TYPE).alias("incurred_amount"),
+            F.max("max_claim_amount").alias("max_claim_amount"),
+            F.sum("large_loss_count").alias("large_loss_count"),
+            F.max("last_event_ts").alias("last_event_ts"))
+    store.overwrite(TABLES.gold_base, new.withColumn("step", F.lit(step)).repartition(1))
+
+
+def _add_daily(store: TableStore, rows: DataFrame, step: str) -> None:
+    """Adds the micro-batch's daily sums to the touched months and publishes those months."""
+    new, by = gold.daily_sums(rows), gold.DAILY_PARTITION
+
+    def merge(current: DataFrame | None) -> DataFrame:
+        both = new if current is None else gold.add_daily_sums(current.drop(by).unionByName(new))
+        return gold.with_event_month(both)
+
+    touched = store.merge_partitions(TABLES.daily_base, by, gold.with_event_month(rows), merge, step, gold.DAILY_BASE_SCHEMA)
+    daily = gold.daily_from_sums(touched)
+    if store.partitioned(TABLES.gold_claims_daily, by):
+        store.replace_partitions(TABLES.gold_claims_daily, daily, by)
+    else:       # written unpartitioned by an earlier release: lay it out anew
+        every = gold.daily_from_sums(store.read(TABLES.daily_base, schema=gold.DAILY_BASE_SCHEMA))
+        store.overwrite(TABLES.gold_claims_daily, every.repartition(by), [by])
+
+
+def _add_claims(store: TableStore, rows: DataFrame, step: str) -> None:
+    """ORs the micro-batch's claims into the touched ranges of ids."""
+    new = distinct.claim_bitmaps(rows).persist()                # bitmaps: a few KB for 32,768 ids
+    try:
+        store.merge_partitions(TABLES.claim_bitmaps, "id_range", new,
+                               lambda current: new if current is None else distinct.merged(current.unionByName(new)),
+                               step, distinct.BITMAP_SCHEMA)
+    finally:
+        new.unpersist()
+    others = distinct.other_ids(rows)
+    store.merge_partitions(TABLES.claim_others, "part", others,
+                           lambda current: others if current is None else current.unionByName(others).distinct(),
+                           step, distinct.OTHER_SCHEMA)
 
 
-def _start_upsert(agg: DataFrame, store: TableStore, table: str, keys, checkpoint: str, provider: str,
-                  state_partitions: int | None = None):
-    # provider and state partition count are fixed per query at its first
-    # start (Spark keeps both in the checkpoint)
-    conf = agg.sparkSession.conf
-    conf.set(_PROVIDER, provider)
-    if state_partitions:
-        conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    return (agg.writeStream.outputMode("update")
-            .option("checkpointLocation", checkpoint)
-            .foreachBatch(streams.upsert_batch(store, table, keys))
-            .trigger(availableNow=True)
-            .start())
+def _add_sketches(store: TableStore, rows: DataFrame) -> None:
+    """Unions the micro-batch's claim sketches (HLL union makes a replay harmless)."""
+    new = gold.claim_sketches(rows)
+    merged = (gold.merge_sketches(store.read(TABLES.gold_sketches), new)
+              if store.exists(TABLES.gold_sketches) else new)
+    store.overwrite(TABLES.gold_sketches, merged.repartition(1))
 
 
-def _sketch_batch(store: TableStore):
-    """foreachBatch: union the micro-batch's claim sketches into the table
-    (no streaming state; HLL union makes a replayed batch harmless)."""
+def merge_batch(store: TableStore, with_sketches: bool = True):
+    """foreachBatch handler: one read of the micro-batch feeds every gold table."""
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        new = gold.claim_sketches(batch)
-        merged = gold.merge_sketches(store.read(TABLES.gold_sketches), new) \
-            if store.exists(TABLES.gold_sketches) else new
-        store.overwrite(TABLES.gold_sketches, merged.repartition(1))
+        # the stream's own id: a new checkpoint starts to count micro-batches anew
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
+        step = f"{query}-{epoch_id}"
+        columns = [*GROUP, "claim_id", "claim_amount", "is_large_loss", "event_ts", "event_date", "report_lag_days"]
+        rows = with_event_date(batch).select(*columns).persist()
+        try:
+            _add_measures(store, rows, step)
+            _add_daily(store, rows, step)
+            _add_claims(store, rows, step)
+            if with_sketches:
+                _add_sketches(store, rows)
+        finally:
+            rows.unpersist()
     return handle
 
 
+def distinct_tables(store: TableStore) -> tuple[DataFrame, DataFrame] | None:
+    """The stored (bitmaps, other ids), or None before the first refresh."""
+    if not store.exists(TABLES.gold_base):
+        return None
+
+    def of(name: str, schema: str) -> DataFrame:
+        return store.read(name, schema=schema) if store.exists(name) else store.spark.createDataFrame([], schema)
+
+    return of(TABLES.claim_bitmaps, distinct.BITMAP_SCHEMA), of(TABLES.claim_others, distinct.OTHER_SCHEMA)
+
+
 def refresh_gold(spark: SparkSession, store: TableStore, with_sketches: bool = True,
-                 state_partitions: int | None = None) -> None:
-    """``state_partitions`` sizes the distinct-claims state at its first start
-    (default: the session's shuffle partitions); it is fixed afterwards."""
+                 state_partitions: int | None = None, max_files: int | None = None) -> None:
+    """``state_partitions``: shuffle partitions of the micro-batches, fixed at the
+    stream's first start (default: the session's). ``max_files`` bounds the silver
+    files of one micro-batch, so that a backlog is worked off in several."""
     if not store.exists(TABLES.silver_batches):
         return
-    ckpt = store.path(TABLES.checkpoints)
-    schema = silver_schema(spark, store)
-    previous = spark.conf.get(_PROVIDER, IN_MEMORY)
-    partitions = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        queries = [
-            # group measures and daily rows: a few thousand keys, in memory,
-            # (rows are combined map-side before the state)
-            _start_upsert(_measures(_silver_stream(spark, store, schema)), store, TABLES.gold_base, GROUP,
-                          f"{ckpt}/gold_base", IN_MEMORY),
-            _start_upsert(gold.claims_daily(with_event_date(_silver_stream(spark, store, schema))), store,
-                          TABLES.gold_claims_daily, streams.DAILY_KEYS, f"{ckpt}/gold_daily", IN_MEMORY),
-            # one key per (group, claim): grows with the data, on disk, spread
-            # over the session's shuffle partitions
-            _start_upsert(_distincts(_silver_stream(spark, store, schema)), store, TABLES.gold_distinct, GROUP,
-                          f"{ckpt}/gold_distinct", ROCKSDB, state_partitions or int(partitions)),
-        ]
-        if with_sketches:
-            queries.append(_silver_stream(spark, store, schema).writeStream
-                           .option("checkpointLocation", f"{ckpt}/gold_sketches")
-                           .foreachBatch(_sketch_batch(store)).trigger(availableNow=True).start())
-    finally:
-        spark.conf.set(_PROVIDER, previous)
-        spark.conf.set("spark.sql.shuffle.partitions", partitions)
-    streams.await_all(*queries)
-    base, distinct = store.read(TABLES.gold_base), store.read(TABLES.gold_distinct)
-    by_lob_region = (base.join(distinct, streams.null_safe(base, distinct, GROUP), "inner")
-                     .select(*[base[c] for c in base.columns], distinct["distinct_claims"])
+    stream = streams.read_parquet_stream(spark, store.current_path(TABLES.silver_batches), silver_schema(spark, store),
+                                         max_files)
+    with streams.state_partitions(spark, state_partitions):
+        query = (stream.writeStream.option("checkpointLocation", f"{store.path(TABLES.checkpoints)}/gold")
+                 .foreachBatch(merge_batch(store, with_sketches)).trigger(availableNow=True).start())
+    streams.await_all(query)
+    if not store.exists(TABLES.gold_base):
+        return                                                  # no silver row yet
+    base, counts = store.read(TABLES.gold_base), distinct.distinct_by_group(*distinct_tables(store))
+    by_lob_region = (base.join(counts, streams.null_safe(base, counts, GROUP), "left")
+                     .select(*[base[c] for c in base.columns], F.coalesce(counts["distinct_claims"], F.lit(0)).alias("distinct_claims"),
+                             F.try_divide(base["incurred_amount"], base["claim_txn_count"]).cast("decimal(18,6)")
+                             .alias("avg_claim_amount"))
                      .select(*BY_LOB_REGION_COLUMNS))
     store.overwrite(TABLES.gold_by_lob_region, by_lob_region.repartition(1))
     if not store.exists(TABLES.firmwide):
@@ -230,7 +264,7 @@ def refresh_gold(spark: SparkSession, store: TableStore, with_sketches: bool = T
 
 
 def refresh(spark: SparkSession, store: TableStore, state_partitions: int | None = None,
-            on_rules_change: str = "error") -> RefreshResult:
+            on_rules_change: str = "error", max_files: int | None = None) -> RefreshResult:
     """One 2-minute cycle after ingest: new batches into silver, then gold.
 
     If the rules changed since earlier batches were refreshed, silver and
@@ -247,5 +281,5 @@ def refresh(spark: SparkSession, store: TableStore, state_partitions: int | None
         reset_state(store)
     result = refresh_silver(spark, store)
     result.reset = reset
-    refresh_gold(spark, store, state_partitions=state_partitions)
+    refresh_gold(spark, store, state_partitions=state_partitions, max_files=max_files)
     return result

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_INGESTED_AT, FIXTURE_SOURCE, TABLES
+from ..operators.gold import DAILY_COLUMNS
 from ..session import configure
 from ..sinks.tables import TableStore
 from ..sources.fixtures import fixture_source
@@ -70,7 +71,7 @@ def rebuild_gold_loss_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rebuild_gold_claims_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, _ = _rebuilt(spark, sf_dir)
-    return store.read(TABLES.gold_claims_daily)
+    return store.read(TABLES.gold_claims_daily).select(*DAILY_COLUMNS)
 
 
 def _refreshed(spark: SparkSession, sf_dir: str) -> TableStore:

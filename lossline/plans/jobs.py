@@ -155,7 +155,7 @@ def bronze_schema(store: TableStore) -> T.StructType | None:
 def read_bronze(store: TableStore) -> DataFrame:
     """All of bronze with the logged union schema; raises if absent."""
     if not store.exists(TABLES.bronze):
-        raise ValueError("bronze does not exist yet — run an ingest first")
+        raise ValueError("no bronze table in this store: ingest a source before reading it")
     schema = bronze_schema(store)
     if schema is None:
         return store.read(TABLES.bronze, merge_schema=True)
@@ -220,7 +220,10 @@ def write_gold(spark: SparkSession, store: TableStore, with_sketches: bool = Fal
     paths["loss_ratio"] = store.overwrite(
         TABLES.gold_loss_ratio,
         gold.loss_ratio(gold.claims_by_lob_region_agg(by_lob_region), firmwide).repartition(1))
-    paths["daily"] = store.overwrite(TABLES.gold_claims_daily, gold.claims_daily(silver))
+    # by month, one file each: a refresh replaces the months of the touched dates
+    # only, and a question about some days reads only theirs
+    daily = gold.with_event_month(gold.claims_daily(silver)).repartition(gold.DAILY_PARTITION)
+    paths["daily"] = store.overwrite(TABLES.gold_claims_daily, daily, partition_by=[gold.DAILY_PARTITION])
     if with_sketches:
         paths["sketches"] = store.overwrite(TABLES.gold_sketches, gold.claim_sketches(silver).repartition(1))
     return paths

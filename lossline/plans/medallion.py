@@ -16,10 +16,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import DEFAULT_AS_OF, TABLES
-from ..operators import gold, silver as silver_ops
+from ..operators import distinct, gold, silver as silver_ops
 from ..sources.fixtures import fixture_bronze
 from ..sources.reference import firmwide_exposure
-from . import jobs
+from . import incremental, jobs
 
 
 @dataclass(frozen=True)
@@ -39,6 +39,7 @@ class Medallion:
     _silver: DataFrame | None = None
     _firmwide: DataFrame | None = None
     _gold: dict = field(default_factory=dict)
+    _claims: tuple[DataFrame, DataFrame] | None = None     # stored bitmaps and other ids
 
     # --- constructors ------------------------------------------------------
     @classmethod
@@ -57,8 +58,10 @@ class Medallion:
         name = jobs.silver_table(store)
         silver = store.read(name).drop("_source", "_batch") if name else None
         fw = store.read(TABLES.firmwide) if store.exists(TABLES.firmwide) else None
+        # bitmaps belong to the refreshed silver; a later rebuild leaves them behind
+        claims = incremental.distinct_tables(store) if name == TABLES.silver_batches else None
         return cls(spark, jobs.read_bronze(store), params or Params(),
-                   _silver=silver, _firmwide=fw, _gold=gold_tables)
+                   _silver=silver, _firmwide=fw, _gold=gold_tables, _claims=claims)
 
     def _stored(self, key: str, build):
         df = self._gold.get(key)
@@ -100,3 +103,8 @@ class Medallion:
     @cached_property
     def daily(self) -> DataFrame:
         return self._stored("daily", lambda: gold.claims_daily(self.silver))
+
+    @cached_property
+    def distinct_claims(self) -> DataFrame:
+        """True distinct claims from bitmaps: the stored ones' bit counts, or one pass over silver."""
+        return distinct.distinct_everywhere(*self._claims) if self._claims else distinct.distinct_in_one_pass(self.silver)

@@ -87,7 +87,7 @@ def question_sql(schema: str = "claims_lakehouse") -> dict[str, str]:
     return {
         "qa_incurred_by_lob_day": f"""SELECT lob, sum(incurred_amount) AS incurred_amount,
             sum(claim_txn_count) AS claim_txn_count FROM {daily}
-            WHERE event_date = :as_of GROUP BY lob ORDER BY incurred_amount DESC""",
+            WHERE event_date = :as_of AND event_month = trunc(:as_of, 'MM') GROUP BY lob ORDER BY incurred_amount DESC""",
         "qa_worst_region": f"""SELECT region, sum(incurred_amount) AS incurred_amount,
             sum(gross_written_premium) AS gross_written_premium,
             round(try_divide(sum(incurred_amount), sum(gross_written_premium)), 4) AS observed_loss_ratio,
@@ -98,7 +98,8 @@ def question_sql(schema: str = "claims_lakehouse") -> dict[str, str]:
               AS gap
             FROM {lr} GROUP BY region ORDER BY gap DESC NULLS LAST, region LIMIT 1""",
         "qa_lob_trend_7d": f"""SELECT event_date, lob, claim_txn_count, incurred_amount FROM {daily}
-            WHERE lob = :lob AND event_date BETWEEN :start AND :as_of ORDER BY event_date""",
+            WHERE lob = :lob AND event_date BETWEEN :start AND :as_of
+              AND event_month BETWEEN trunc(:start, 'MM') AND trunc(:as_of, 'MM') ORDER BY event_date""",
         "qa_large_losses_by_lob": f"""SELECT lob, sum(large_loss_count) AS large_losses
             FROM {schema}.gold_claims_by_lob_region GROUP BY lob ORDER BY large_losses DESC, lob""",
         "qa_lobs_over_target": "SELECT * FROM dash_loss_ratio_by_lob WHERE observed_loss_ratio > target_loss_ratio",

@@ -17,11 +17,17 @@ from layout:
   log keeps one per batch), or with ``mergeSchema`` as a fallback.
 - ``read_partitions`` lists only the named batch folders; ``append_rows``
   keeps a small log as one file per version.
+- ``merge_partitions`` replaces only the touched partitions of a table in place
+  (Spark's dynamic partition overwrite). The new rows are staged, committed,
+  first, so a run that dies while folders are being swapped is finished by its
+  retry from the stage and never merges twice. Readers in flight of a touched
+  partition have to run again.
 """
 
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +50,9 @@ def _fs(spark: SparkSession, path: str):
 _ESCAPED = set('"#%\'*/:=?\\\x7f{}[]^') | {chr(c) for c in range(1, 32)}
 
 
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _escape(value: str) -> str:
     return "".join(f"%{ord(ch):02X}" if ch in _ESCAPED else ch for ch in value)
 
@@ -168,10 +177,12 @@ class TableStore:
         root is the base path, so partition columns are kept). Listing cost
         follows the partitions read, not the table's history; None when none
         of them exists."""
-        base = f"{self.path(name)}/data"
+        base = self.current_path(name)
+        if base is None:
+            return None
         paths = []
         for vals in values:
-            p = base + "".join(f"/{c}={_escape(str(v))}" for c, v in zip(columns, vals))
+            p = base + "".join(f"/{c}={_NULL_FOLDER if v is None else _escape(str(v))}" for c, v in zip(columns, vals))
             fs, jpath = _fs(self.spark, p)
             if fs.exists(jpath):
                 paths.append(p)
@@ -191,6 +202,41 @@ class TableStore:
            .parquet(target))
         return target
 
+    def replace_partitions(self, name: str, df: DataFrame, by: str) -> str:
+        """Replace the partitions that ``df`` has rows of, in the current version; a
+        table that isn't partitioned by ``by`` is not touched (``ValueError``)."""
+        target = self.current_path(name) or f"{self.path(name)}/data"
+        if not self.partitioned(name, by):
+            raise ValueError(f"{name} is not partitioned by {by}")
+        # one file for each partition value
+        (df.repartition(by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(by).parquet(target))
+        return target
+
+    def partitioned(self, name: str, by: str) -> bool:
+        """Whether a table's current version is laid out by ``by`` (or is absent or empty)."""
+        path = self.current_path(name)
+        folders = [c for c in self._children(path) if _visible(c)] if path else []
+        return not folders or any(c.startswith(f"{by}=") for c in folders)
+
+    def merge_partitions(self, name: str, by: str, touched: DataFrame, merge: Callable[[DataFrame | None], DataFrame],
+                         step: str, schema: T.StructType | None = None) -> DataFrame:
+        """Replace the partitions whose ``by`` values ``touched`` lists with ``merge(rows
+        of those partitions)``, once for each ``step``; gives the rows written.
+
+        A retry of the last step finds its stage and repeats the swap alone."""
+        stage = f"{self.path(name)}/_staged/{step}"
+        if not self._committed(stage):
+            values = [(r[0],) for r in touched.select(by).distinct().collect()]   # one row a touched partition
+            merge(self.read_partitions(name, values, (by,), schema)).write.mode("overwrite").parquet(stage)
+        staged = self.spark.read.parquet(stage)
+        self.replace_partitions(name, staged, by)
+        for other in self._children(f"{self.path(name)}/_staged"):
+            if other != step:
+                fs, jpath = _fs(self.spark, f"{self.path(name)}/_staged/{other}")
+                fs.delete(jpath, True)
+        return staged
+
 
 def conform(df: DataFrame, schema: T.StructType, table: str) -> DataFrame:
     """Cast to a table contract and enforce its NOT NULL columns inside the

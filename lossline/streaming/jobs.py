@@ -10,10 +10,11 @@ The same DataFrame functions as the batch path run on streaming inputs:
   the transaction key; state is bounded by the delay. Spark drops rows later
   than the watermark, so the delay must cover the redelivery horizon.
 - R4 ``start_gold_daily``: (event_date, lob) running aggregates in update
-  mode; ``foreachBatch`` upserts the touched keys into the daily gold table
-  (anti-join + union into a new table version). State holds one row per
-  (date, lob) — a calendar times six lobs, no watermark needed, and no late
-  row is dropped, matching the batch rebuild.
+  mode; ``foreachBatch`` replaces the month partitions of the touched dates in
+  the daily gold table (staged, then swapped by dynamic partition overwrite), so
+  the bytes written follow the touched dates. State holds one row per (date, lob) — a
+  calendar times six lobs, no watermark needed, and no late row is dropped,
+  matching the batch rebuild.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.gold import claims_daily
+from ..operators.gold import DAILY_KEYS, DAILY_PARTITION, claims_daily, with_event_month
 from ..operators.silver import silver_claims, with_event_date
 from ..sinks.tables import TableStore
 from ..sources.fixtures import with_audit
@@ -95,21 +96,23 @@ def start_dedup(stream: DataFrame, sink_path: str, checkpoint: str, delay: str =
     return _parquet_sink(dedup(stream, delay=delay), sink_path, checkpoint, available_now=available_now)
 
 
-DAILY_KEYS = ("event_date", "lob")
-
-
 def upsert_batch(store: TableStore, name: str, keys=DAILY_KEYS):
-    """foreachBatch handler: replace the rows of the touched keys (a NULL key is a key)."""
+    """foreachBatch handler over daily rows: replace those of the touched keys (a NULL key
+    is a key) within their months; other partitions are neither read nor written."""
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        batch.persist()                 # used twice; its state stage runs once
+        batch.persist().count()         # the state stage runs once, and also where a retry needs the swap alone
+
+        rows = with_event_month(batch)
+
+        def merge(current: DataFrame | None) -> DataFrame:
+            if current is None:
+                return rows
+            kept = current.join(batch.select(*keys), null_safe(current, batch, keys), "left_anti")
+            return kept.unionByName(rows)
+
         try:
-            merged = batch
-            if store.exists(name):
-                touched = batch.select(*keys)
-                current = store.read(name)
-                same = null_safe(current, touched, keys)
-                merged = current.join(touched, same, "left_anti").unionByName(batch)
-            store.overwrite(name, merged)
+            query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
+            store.merge_partitions(name, DAILY_PARTITION, rows, merge, f"{query}-{epoch_id}", rows.schema)
         finally:
             batch.unpersist()
     return handle
