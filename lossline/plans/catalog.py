@@ -12,17 +12,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import TABLES
 from ..operators import gold, marts, quality, questions
 from ..schemas import BRONZE
 from ..session import configure
+from ..sinks.footers import footer_watermarks
+from ..sinks.tables import health_report, store_health
 from ..sources.reference import firmwide_by_lob
+from . import jobs
 from .medallion import Medallion, Params
 
 BRONZE_COLUMNS = tuple(f.name for f in BRONZE.fields if f.name not in ("created_at", "_ingested_at"))
 
 
 def _bronze_watermark(m: Medallion) -> DataFrame:
-    """High-watermark per source: max(claim_txn_id), 0 for an empty source."""
+    """High-watermark per source: max(claim_txn_id), 0 for an empty source; of a store
+    whose batches have one set of types it comes from the files' footers."""
+    if m.store is not None and m.store.exists(TABLES.ingest_log):
+        schema = jobs.bronze_schema(m.store)
+        if schema is not None and jobs.one_set_of_types(m.store):
+            return footer_watermarks(m.store, TABLES.bronze, schema=schema)
     return (m.bronze.groupBy("_source")
             .agg(F.coalesce(F.max("claim_txn_id"), F.lit(0)).cast("bigint").alias("watermark"),
                  F.count(F.lit(1)).alias("bronze_rows")))
@@ -34,7 +43,14 @@ def _bronze_increment(m: Medallion, watermark: int = 0) -> DataFrame:
 
 
 def _table_health(m: Medallion) -> DataFrame:
-    from ..sinks.tables import health_report
+    if m.store is not None:
+        return store_health(m.store, {
+            "silver.claims": jobs.silver_table(m.store),
+            "gold.gold_loss_ratio": TABLES.gold_loss_ratio,
+            "gold.gold_claims_by_lob_region": TABLES.gold_by_lob_region,
+            "gold.gold_claims_daily": TABLES.gold_claims_daily,
+            "reference.firmwide_exposure": TABLES.firmwide,
+        })
     return health_report(m.spark, {
         "silver.claims": m.silver,
         "gold.gold_loss_ratio": m.loss_ratio,
@@ -57,7 +73,8 @@ QUERIES: dict[str, Callable[[Medallion], DataFrame]] = {
     # --- sources / ingest ---------------------------------------------------
     "bronze_watermark": _bronze_watermark,
     "bronze_increment": _bronze_increment,
-    "bronze_latest": lambda m: marts.latest_rows(m.bronze.select(*BRONZE_COLUMNS), m.params.preview_rows),
+    "bronze_latest": lambda m: marts.latest_rows(m.newest(m.params.preview_rows).select(*BRONZE_COLUMNS),
+                                                 m.params.preview_rows),
     "table_health": _table_health,
     # --- silver and quality ---------------------------------------------------
     "silver_typed": lambda m: m.typed,

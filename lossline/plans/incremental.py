@@ -108,7 +108,7 @@ def refresh_silver(spark: SparkSession, store: TableStore) -> RefreshResult:
     if not batches:
         return result
     # only the pending batch folders are listed and read
-    bronze_new = store.read_partitions(TABLES.bronze, batches, schema=jobs.bronze_schema(store))
+    bronze_new = jobs.read_batches(store, batches)
     if bronze_new is None:
         raise FileNotFoundError(f"logged bronze batches are missing: {batches}")
     silver, obs = quality.observe_quality(silver_typed(bronze_new, passthrough=("_source", "_batch")))

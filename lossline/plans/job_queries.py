@@ -16,11 +16,16 @@ from ..operators.gold import DAILY_COLUMNS
 from ..session import configure
 from ..sinks.tables import TableStore
 from ..sources.fixtures import fixture_source
-from . import incremental, jobs
+from . import catalog, incremental, jobs
 from .catalog import BRONZE_COLUMNS
+from .medallion import Medallion
 
 BATCH_TWIN = {
     "bronze_append": "bronze_increment",
+    "bronze_evolved": "bronze_increment",
+    "bronze_latest_by_zone": "bronze_latest",
+    "store_watermark": "bronze_watermark",
+    "store_table_health": "table_health",
     "rebuild_silver": "silver_claims",
     "rebuild_dq_report": "dq_report",
     "rebuild_gold_loss_ratio": "gold_loss_ratio",
@@ -48,6 +53,42 @@ def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.read_bronze(store).select(*BRONZE_COLUMNS)
 
 
+def bronze_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: the older half of the source arrives with narrower types and without
+    ``created_at``, the rest as it is; bronze reads back in the widest types."""
+    store = TableStore.scratch(spark, "evolved")
+    source = fixture_source(spark, sf_dir)
+    mid = (source.agg(F.max("claim_txn_id").alias("hi")).first()["hi"] or 0) // 2
+    older = source.where(F.col("claim_txn_id") <= mid).drop("created_at")
+    narrow = {"claim_txn_id": "int" if mid < 2 ** 31 else "bigint", "claim_amount": "decimal(12,2)", "event_ts": "date"}
+    older = older.select(*[F.col(c).cast(narrow[c]).alias(c) if c in narrow else F.col(c) for c in older.columns])
+    for arrived in (older, source):
+        jobs.ingest(spark, store, arrived, FIXTURE_SOURCE, ingested_at=DEFAULT_INGESTED_AT, fix_upper_bound=False)
+    return jobs.read_bronze(store).select(*BRONZE_COLUMNS)
+
+
+def bronze_latest_by_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1 over a store of several batches: only those that can hold a newest id are read."""
+    store = TableStore.scratch(spark, "zones")
+    source = fixture_source(spark, sf_dir)
+    hi = source.agg(F.max("claim_txn_id").alias("hi")).first()["hi"] or 0
+    for bound in (hi // 2, hi - hi // 8, hi):
+        jobs.ingest(spark, store, source.where(F.col("claim_txn_id") <= bound), FIXTURE_SOURCE,
+                    ingested_at=DEFAULT_INGESTED_AT, fix_upper_bound=False)
+    return catalog.QUERIES["bronze_latest"](Medallion.from_store(spark, store))
+
+
+def store_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 and A11 over the store: maxima and counts from the files' footers."""
+    return catalog.QUERIES["bronze_watermark"](Medallion.from_store(spark, _ingested(spark, sf_dir)))
+
+
+def store_table_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S11 over the persisted tables, counted from the files' footers."""
+    store, _ = _rebuilt(spark, sf_dir)
+    return catalog.QUERIES["table_health"](Medallion.from_store(spark, store))
+
+
 def _rebuilt(spark: SparkSession, sf_dir: str):
     store = _ingested(spark, sf_dir)
     return store, jobs.rebuild(spark, store)
@@ -91,6 +132,10 @@ def refresh_gold_loss_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 JOB_QUERIES = {
     "bronze_append": bronze_append,
+    "bronze_evolved": bronze_evolved,
+    "bronze_latest_by_zone": bronze_latest_by_zone,
+    "store_watermark": store_watermark,
+    "store_table_health": store_table_health,
     "rebuild_silver": rebuild_silver,
     "rebuild_dq_report": rebuild_dq_report,
     "rebuild_gold_loss_ratio": rebuild_gold_loss_ratio,

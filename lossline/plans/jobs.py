@@ -31,8 +31,10 @@ import datetime as _dt
 import json
 import uuid
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,7 +42,8 @@ from ..config import DEFAULT_AS_OF, TABLES
 from ..operators import gold, quality
 from ..operators.silver import silver_typed
 from ..schemas import FIRMWIDE_EXPOSURE
-from ..sinks.tables import TableStore, conform, union_schema
+from ..sinks.evolution import same_types, union_schema, widened
+from ..sinks.tables import TableStore, conform
 from ..sources.fixtures import with_audit
 from ..sources.reference import firmwide_exposure
 
@@ -104,7 +107,7 @@ def ingest(spark: SparkSession, store: TableStore, source: DataFrame, source_nam
         # ids in the overlap window that logged batches already hold; only
         # batches whose logged range reaches into the window are read
         recent = [(source_name, b) for b in _batches_above(store, source_name, lo)]
-        seen = store.read_partitions(TABLES.bronze, recent, schema=bronze_schema(store)) if recent else None
+        seen = read_batches(store, recent) if recent else None
         if seen is not None:
             batch = batch.join(seen.where(F.col(key) > F.lit(lo)).select(key), key, "left_anti")
 
@@ -134,32 +137,115 @@ def _batches_above(store: TableStore, source: str, lo: int) -> list[int]:
             .select("_batch").collect()]
 
 
-def bronze_schema(store: TableStore) -> T.StructType | None:
-    """Union of the batch schemas recorded in the ingest log (one small file,
-    one row per batch), so bronze reads never open every file footer."""
+BATCH_KEY = (T.StructField("_source", T.StringType()), T.StructField("_batch", T.LongType()))
+
+
+def _schema_versions(store: TableStore) -> list[T.StructType]:
+    """The distinct schemas that batches were written with: a handful, however many
+    batches there are (one small file, one row per batch)."""
     if not store.exists(TABLES.ingest_log):
-        return None
+        return []
     log = store.read(TABLES.ingest_log)
     if "schema_json" not in log.columns:
-        return None
-    # distinct schema versions: a handful, however many batches there are
-    versions = [r.schema_json for r in log.select("schema_json").distinct().collect() if r.schema_json]
+        return []
+    found = [T.StructType.fromJson(json.loads(r.schema_json))
+             for r in log.select("schema_json").distinct().collect() if r.schema_json]
+    return sorted(found, key=lambda s: (len(s.fields), s.simpleString()))
+
+
+def bronze_schema(store: TableStore) -> T.StructType | None:
+    """Union of the batch schemas recorded in the ingest log, each column as wide as
+    its widest batch, so bronze reads never open every file footer."""
+    versions = _schema_versions(store)
     if not versions:
         return None
-    ordered = sorted(versions, key=lambda j: len(T.StructType.fromJson(json.loads(j)).fields))
-    merged = union_schema([T.StructType.fromJson(json.loads(j)) for j in ordered])
-    data = [f for f in merged.fields if f.name not in ("_source", "_batch")]
-    return T.StructType(data + [T.StructField("_source", T.StringType()), T.StructField("_batch", T.LongType())])
+    data = [f for f in union_schema(versions).fields if f.name not in ("_source", "_batch")]
+    return T.StructType([*data, *BATCH_KEY])
+
+
+def one_set_of_types(store: TableStore) -> bool:
+    """Whether every batch can be read by the union schema as it is."""
+    schema = bronze_schema(store)
+    return schema is not None and all(same_types(s, schema) for s in _schema_versions(store))
+
+
+def _batch_ranges(store: TableStore, narrow: list[T.StructType]) -> list[tuple[T.StructType, list[tuple[str, int, int]]]]:
+    """For each schema of ``narrow`` the (source, first batch, last batch) runs written with it."""
+    log = store.read(TABLES.ingest_log)
+    order = Window.partitionBy("_source").orderBy("_batch")
+    runs = (log.select("_source", "_batch", "schema_json")
+            .withColumn("n", F.row_number().over(order))
+            .withColumn("m", F.row_number().over(Window.partitionBy("_source", "schema_json").orderBy("_batch")))
+            .groupBy("_source", "schema_json", (F.col("n") - F.col("m")).alias("run"))
+            .agg(F.min("_batch").alias("lo"), F.max("_batch").alias("hi"))
+            .where(F.col("schema_json").isin([s.json() for s in narrow])).collect())
+    return [(s, sorted((r._source, int(r.lo), int(r.hi)) for r in runs if r.schema_json == s.json())) for s in narrow]
+
+
+def _in_runs(runs: list[tuple[str, int, int]]) -> Column:
+    return reduce(or_, [(F.col("_source") == F.lit(s)) & F.col("_batch").between(lo, hi) for s, lo, hi in runs])
 
 
 def read_bronze(store: TableStore) -> DataFrame:
-    """All of bronze with the logged union schema; raises if absent."""
+    """All of bronze with the logged union schema; raises if absent.
+
+    Batches whose types are narrower than the union are read by their own schema,
+    as partition runs, and cast; with one set of types it is a single scan."""
     if not store.exists(TABLES.bronze):
         raise ValueError("no bronze table in this store: ingest a source before reading it")
     schema = bronze_schema(store)
     if schema is None:
         return store.read(TABLES.bronze, merge_schema=True)
-    return store.read(TABLES.bronze, schema=schema)
+    narrow = [s for s in _schema_versions(store) if not same_types(s, schema)]
+    whole = store.read(TABLES.bronze, schema=schema)
+    if not narrow:
+        return whole
+    ranges = _batch_ranges(store, narrow)
+    out = whole.where(~_in_runs([r for _, runs in ranges for r in runs]))      # prunes their partitions
+    for own, runs in ranges:
+        written = T.StructType([f for f in own.fields if f.name not in ("_source", "_batch")] + list(BATCH_KEY))
+        out = out.unionByName(widened(store.read(TABLES.bronze, schema=written).where(_in_runs(runs)), schema))
+    return out
+
+
+def read_batches(store: TableStore, batches: list[tuple[str, int]]) -> DataFrame | None:
+    """Only the named bronze batches, with the union schema; None if no folder exists."""
+    schema = bronze_schema(store)
+    if schema is None or one_set_of_types(store):
+        return store.read_partitions(TABLES.bronze, batches, schema=schema)
+    wanted = set(batches)
+    log = [(r._source, int(r._batch), r.schema_json) for r in store.read(TABLES.ingest_log)
+           .select("_source", "_batch", "schema_json").collect() if (r._source, int(r._batch)) in wanted]
+    out = None
+    for text in sorted({t for _, _, t in log}):
+        own = T.StructType.fromJson(json.loads(text))
+        written = T.StructType([f for f in own.fields if f.name not in ("_source", "_batch")] + list(BATCH_KEY))
+        part = store.read_partitions(TABLES.bronze, [(s, b) for s, b, t in log if t == text], schema=written)
+        if part is not None:
+            part = widened(part, schema)
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+# --- zone map ------------------------------------------------------------------------
+def newest_batches(store: TableStore, n: int) -> list[tuple[str, int]]:
+    """The logged batches that can hold one of the ``n`` largest ids.
+
+    A batch's ids lie in (lo, hi]. With ``floor`` the largest ``lo`` above which logged
+    batches lie that hold ``n`` rows, no batch with ``hi <= floor`` can hold one of them."""
+    log = store.read(TABLES.ingest_log)
+    above = Window.orderBy(F.desc("lo")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    floor = (log.select("lo", "rows").withColumn("held", F.sum("rows").over(above)).where(F.col("held") >= n)
+             .agg(F.max("lo").alias("floor")).first()["floor"])
+    hit = log if floor is None else log.where(F.col("hi") > F.lit(floor))
+    return sorted((r._source, int(r._batch)) for r in hit.select("_source", "_batch").distinct().collect())
+
+
+def read_newest(store: TableStore, n: int) -> DataFrame:
+    """Bronze rows of the batches that can hold one of the ``n`` largest ids; no other
+    batch folder is listed."""
+    rows = read_batches(store, newest_batches(store, n)) if store.exists(TABLES.ingest_log) else None
+    return read_bronze(store) if rows is None else rows
 
 
 def silver_table(store: TableStore) -> str | None:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..config import DEFAULT_AS_OF, TABLES
 from ..operators import distinct, gold, silver as silver_ops
+from ..sinks.tables import TableStore
 from ..sources.fixtures import fixture_bronze
 from ..sources.reference import firmwide_exposure
 from . import incremental, jobs
@@ -40,6 +41,7 @@ class Medallion:
     _firmwide: DataFrame | None = None
     _gold: dict = field(default_factory=dict)
     _claims: tuple[DataFrame, DataFrame] | None = None     # stored bitmaps and other ids
+    store: TableStore | None = None                        # where persisted layers are
 
     # --- constructors ------------------------------------------------------
     @classmethod
@@ -61,12 +63,17 @@ class Medallion:
         # bitmaps belong to the refreshed silver; a later rebuild leaves them behind
         claims = incremental.distinct_tables(store) if name == TABLES.silver_batches else None
         return cls(spark, jobs.read_bronze(store), params or Params(),
-                   _silver=silver, _firmwide=fw, _gold=gold_tables, _claims=claims)
+                   _silver=silver, _firmwide=fw, _gold=gold_tables, _claims=claims, store=store)
 
     def _stored(self, key: str, build):
         df = self._gold.get(key)
         return df if df is not None else build()
 
+    def newest(self, n: int) -> DataFrame:
+        """Bronze rows among which the ``n`` largest ids are; of a store only the batches
+        that can hold one."""
+        return jobs.read_newest(self.store, n) if self.store is not None else self.bronze
+
     @cached_property
     def typed(self) -> DataFrame:
         return silver_ops.silver_typed(self.bronze)

@@ -12,9 +12,9 @@ from layout:
   job); readers are unrestricted.
 - ``append_batch``: rows land in partition ``(_source, _batch)`` with
   dynamic partition overwrite, so a retried batch replaces its own
-  partition instead of duplicating rows. New columns in later batches are
-  merged at read time: with a union schema given to ``read`` (the ingest
-  log keeps one per batch), or with ``mergeSchema`` as a fallback.
+  partition instead of duplicating rows. New columns and wider types in later
+  batches are merged at read time: with a union schema given to ``read`` (the
+  ingest log keeps one per batch), or with ``mergeSchema`` as a fallback.
 - ``read_partitions`` lists only the named batch folders; ``append_rows``
   keeps a small log as one file per version.
 - ``merge_partitions`` replaces only the touched partitions of a table in place
@@ -257,20 +257,6 @@ def conform(df: DataFrame, schema: T.StructType, table: str) -> DataFrame:
     return df.select(*cols)
 
 
-def union_schema(schemas: list[T.StructType]) -> T.StructType:
-    """Additive schema evolution: fields by name in order of first
-    appearance; a type change is an error (NULL fills absent columns)."""
-    fields: dict[str, T.StructField] = {}
-    for schema in schemas:
-        for f in schema.fields:
-            seen = fields.get(f.name)
-            if seen is None:
-                fields[f.name] = T.StructField(f.name, f.dataType, True)
-            elif seen.dataType != f.dataType:
-                raise TypeError(f"column {f.name!r} changed type: {seen.dataType} -> {f.dataType}")
-    return T.StructType(list(fields.values()))
-
-
 def health_report(spark: SparkSession, tables: dict[str, DataFrame | None]) -> DataFrame:
     """(table, status, rows) for each named table; MISSING when absent.
 
@@ -295,7 +281,9 @@ def health_report(spark: SparkSession, tables: dict[str, DataFrame | None]) -> D
     return out
 
 
-def store_health(store: TableStore, names: dict[str, str]) -> DataFrame:
-    """Health of persisted tables: {label: table name in the store}."""
-    return health_report(store.spark, {label: (store.read(n) if store.exists(n) else None)
+def store_health(store: TableStore, names: dict[str, str | None]) -> DataFrame:
+    """Health of persisted tables: {label: table name in the store}, counted from footers."""
+    from .footers import read_footers        # which builds on this module
+
+    return health_report(store.spark, {label: (read_footers(store, n) if n and store.exists(n) else None)
                                        for label, n in names.items()})
