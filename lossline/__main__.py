@@ -62,10 +62,12 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--schema", default="claims_lakehouse")
     p.add_argument("--last", type=int, default=20, help="refresh runs shown by 'quality'")
     p.add_argument("--partition-by", help="rebuild: partition silver by this column (e.g. claim_month)")
-    p.add_argument("--quarantine", action="store_true", help="rebuild: also write failing rows with rule names")
+    p.add_argument("--quarantine", action="store_true", help="rebuild, refresh: also write failing rows with rule names")
     p.add_argument("--sketches", action="store_true", help="rebuild: also write HLL claim sketches")
     p.add_argument("--state-partitions", type=int, help="refresh: shuffle partitions of its micro-batches, fixed at first start")
     p.add_argument("--max-files", type=int, help="refresh: silver files of one micro-batch at most (a backlog takes several)")
+    p.add_argument("--replay-on-rule-change", action="store_true",
+                   help="refresh: judge the rows that changed quality rules touch again (needs --quarantine refreshes)")
     p.add_argument("--reset-on-rule-change", action="store_true",
                    help="refresh: re-derive silver and gold when the quality rules changed")
     return p
@@ -130,7 +132,9 @@ def run(args: argparse.Namespace, spark) -> dict:
             out.update(source=name, lo=res.lo, hi=res.hi, rows=res.rows)
     elif args.command == "refresh":
         res = incremental.refresh(spark, store, state_partitions=args.state_partitions,
-                                  on_rules_change="reset" if args.reset_on_rule_change else "error", max_files=args.max_files)
+                                  max_files=args.max_files, with_quarantine=args.quarantine,
+                                  on_rules_change="reset" if args.reset_on_rule_change else
+                                  "replay" if args.replay_on_rule_change else "error")
         out.update(batches=res.batches, quality=res.quality, reset=res.reset)
         _repoint_views(spark, store, args.schema, out)
     elif args.command == "rebuild":

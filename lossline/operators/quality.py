@@ -13,17 +13,18 @@ import uuid
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions.rules import DROP_RULES, WARN_RULES, failed_rule_names, passes_all
+from ..functions.rules import DROP_RULES, WARN_RULES, Rule, failed_rule_names, passes_all
 
 
-def _quality_measures() -> list[Column]:
-    keep = passes_all()
+def quality_measures(drop_rules: tuple[Rule, ...] = DROP_RULES) -> list[Column]:
+    """Totals, failures of each drop rule and warnings, as aggregates over typed rows."""
+    keep = passes_all(drop_rules)
     measures = [
         F.count(F.lit(1)).alias("bronze_rows"),
         F.count_if(keep).alias("silver_rows"),
         F.count_if(~keep).alias("dropped_rows"),
     ]
-    measures += [F.count_if(r.violated()).alias(f"drop_{r.name}") for r in DROP_RULES]
+    measures += [F.count_if(r.violated()).alias(f"drop_{r.name}") for r in drop_rules]
     # warn rules run over kept rows only; NULL inputs are not violations
     measures += [F.count_if(keep & r.violated()).alias(f"warn_{r.name}") for r in WARN_RULES]
     return measures
@@ -31,15 +32,16 @@ def _quality_measures() -> list[Column]:
 
 def dq_report(typed: DataFrame) -> DataFrame:
     """One row: bronze/silver/dropped totals, per-drop-rule failures, warn counts."""
-    return typed.agg(*_quality_measures())
+    return typed.agg(*quality_measures())
 
 
-def observe_quality(typed: DataFrame, name: str | None = None) -> tuple[DataFrame, Observation]:
+def observe_quality(typed: DataFrame, name: str | None = None,
+                    drop_rules: tuple[Rule, ...] = DROP_RULES) -> tuple[DataFrame, Observation]:
     """Silver rows plus an Observation that fills in the quality report
     during whatever action writes them (no extra pass over bronze)."""
     obs = Observation(name or f"dq_{uuid.uuid4().hex[:12]}")
-    observed = typed.observe(obs, *_quality_measures())
-    return observed.where(passes_all()), obs
+    observed = typed.observe(obs, *quality_measures(drop_rules))
+    return observed.where(passes_all(drop_rules)), obs
 
 
 QUALITY_COLUMNS = ("bronze_rows", "silver_rows", "dropped_rows",
@@ -59,10 +61,10 @@ def quality_history(refresh_log: DataFrame) -> DataFrame:
             .orderBy(F.desc("refreshed_at")))
 
 
-def quarantine(typed: DataFrame) -> DataFrame:
+def quarantine(typed: DataFrame, drop_rules: tuple[Rule, ...] = DROP_RULES) -> DataFrame:
     """Rows the drop rules remove, with the names of the rules they fail."""
-    return (typed.where(~passes_all())
-            .withColumn("failed_rules", failed_rule_names()))
+    return (typed.where(~passes_all(drop_rules))
+            .withColumn("failed_rules", failed_rule_names(drop_rules)))
 
 
 def _violations(typed: DataFrame, rules, columns) -> DataFrame:

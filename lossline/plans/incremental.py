@@ -40,7 +40,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import DROP_RULE_DOMAINS, DROP_RULE_SQL, LARGE_LOSS_THRESHOLD, TABLES, WARN_RULE_SQL
+from ..config import LARGE_LOSS_THRESHOLD, TABLES, WARN_RULE_SQL
+from ..functions.rules import DROP_RULES, Rule
 from ..operators import distinct, gold, quality
 from ..operators.silver import silver_typed, with_event_date
 from ..sinks.tables import TableStore
@@ -59,13 +60,22 @@ class RefreshResult:
     reset: bool = False
 
 
-def rules_fingerprint() -> str:
+def rules_fingerprint(drop_rules: tuple[Rule, ...] = DROP_RULES) -> str:
     """Identifies the silver transform: the rule set and the large-loss bar.
     Batches refreshed under other rules are stale."""
-    text = json.dumps([DROP_RULE_SQL, DROP_RULE_DOMAINS, WARN_RULE_SQL, LARGE_LOSS_THRESHOLD])
+    text = json.dumps([rules_json(drop_rules), WARN_RULE_SQL, LARGE_LOSS_THRESHOLD])
     return hashlib.sha256(text.encode()).hexdigest()[:16]
 
 
+def rules_json(drop_rules: tuple[Rule, ...]) -> str:
+    """The drop rules and the large-loss bar, as kept in the refresh log."""
+    return json.dumps({"drop": [[r.name, r.sql, list(r.allowed)] for r in drop_rules], "large": LARGE_LOSS_THRESHOLD})
+
+
+def _fingerprint(drop_rules: tuple[Rule, ...]) -> str:
+    return rules_fingerprint() if drop_rules is DROP_RULES else rules_fingerprint(drop_rules)
+
+
 def logged_fingerprints(store: TableStore) -> set[str]:
     if not store.exists(TABLES.refresh_log):
         return set()
@@ -77,9 +87,9 @@ def logged_fingerprints(store: TableStore) -> set[str]:
 
 # everything refresh derives by merging (the daily table is upserted by key,
 # so rows of keys that vanish under new rules would linger)
-INCREMENTAL_STATE = (TABLES.refresh_log, TABLES.silver_batches, TABLES.gold_base, TABLES.daily_base,
-                     TABLES.claim_bitmaps, TABLES.claim_others, TABLES.gold_sketches, TABLES.gold_claims_daily,
-                     TABLES.checkpoints)
+GOLD_STATE = (TABLES.gold_base, TABLES.daily_base, TABLES.claim_bitmaps, TABLES.claim_others, TABLES.gold_sketches,
+              TABLES.gold_claims_daily, TABLES.checkpoints)
+INCREMENTAL_STATE = (TABLES.refresh_log, TABLES.silver_batches, TABLES.quarantine_batches, *GOLD_STATE)
 
 
 def reset_state(store: TableStore) -> None:
@@ -100,9 +110,11 @@ def pending_batches(store: TableStore) -> list[tuple[str, int]]:
     return sorted((r._source, int(r._batch)) for r in ingested.distinct().collect())
 
 
-def refresh_silver(spark: SparkSession, store: TableStore) -> RefreshResult:
+def refresh_silver(spark: SparkSession, store: TableStore, drop_rules: tuple[Rule, ...] = DROP_RULES,
+                   with_quarantine: bool = False) -> RefreshResult:
     """Pending bronze batches -> silver batch partitions, quality observed,
-    then logged (with the rule fingerprint and silver schema)."""
+    then logged (with the rules and the silver schema). ``with_quarantine`` keeps the
+    dropped rows too, by batch, so that changed rules can be replayed."""
     batches = pending_batches(store)
     result = RefreshResult(batches=batches)
     if not batches:
@@ -111,7 +123,10 @@ def refresh_silver(spark: SparkSession, store: TableStore) -> RefreshResult:
     bronze_new = jobs.read_batches(store, batches)
     if bronze_new is None:
         raise FileNotFoundError(f"logged bronze batches are missing: {batches}")
-    silver, obs = quality.observe_quality(silver_typed(bronze_new, passthrough=("_source", "_batch")))
+    typed = silver_typed(bronze_new, passthrough=("_source", "_batch"))
+    silver, obs = quality.observe_quality(typed, drop_rules=drop_rules)
+    if with_quarantine:
+        store.append_batch(TABLES.quarantine_batches, quality.quarantine(typed, drop_rules))
     store.append_batch(TABLES.silver_batches, silver)           # idempotent per batch partition
     result.quality = dict(obs.get)
     run_id = uuid.uuid4().hex[:12]
@@ -120,7 +135,8 @@ def refresh_silver(spark: SparkSession, store: TableStore) -> RefreshResult:
     ])).alias("b")).select(
         "b._source", "b._batch", F.lit(run_id).alias("refresh_id"),
         F.current_timestamp().alias("refreshed_at"), F.lit(json.dumps(result.quality)).alias("quality_json"),
-        F.lit(rules_fingerprint()).alias("rules"), F.lit(silver.schema.json()).alias("silver_schema"))
+        F.lit(_fingerprint(drop_rules)).alias("rules"), F.lit(rules_json(drop_rules)).alias("rules_json"),
+        F.lit(with_quarantine).alias("quarantined"), F.lit(silver.schema.json()).alias("silver_schema"))
     store.append_rows(TABLES.refresh_log, log)
     return result
 
@@ -264,22 +280,37 @@ def refresh_gold(spark: SparkSession, store: TableStore, with_sketches: bool = T
 
 
 def refresh(spark: SparkSession, store: TableStore, state_partitions: int | None = None,
-            on_rules_change: str = "error", max_files: int | None = None) -> RefreshResult:
+            on_rules_change: str = "error", max_files: int | None = None,
+            drop_rules: tuple[Rule, ...] = DROP_RULES, with_quarantine: bool = False) -> RefreshResult:
     """One 2-minute cycle after ingest: new batches into silver, then gold.
 
     If the rules changed since earlier batches were refreshed, silver and
-    gold mix two rule sets: ``on_rules_change="error"`` stops, ``"reset"``
-    drops the incremental state and re-derives all batches under the new
-    rules.
+    gold mix two rule sets: ``on_rules_change="error"`` stops, ``"replay"``
+    moves only the rows that the changed rules judge otherwise (see ``replay``; it
+    needs batches refreshed ``with_quarantine``), ``"reset"`` drops the incremental
+    state and re-derives all batches from bronze.
     """
     seen = logged_fingerprints(store)
-    reset = bool(seen) and seen != {rules_fingerprint()}
-    if reset:
-        if on_rules_change != "reset":
-            raise RuntimeError("quality rules changed since the last refresh; "
-                               "refresh(on_rules_change='reset') re-derives silver and gold")
-        reset_state(store)
-    result = refresh_silver(spark, store)
-    result.reset = reset
+    changed = bool(seen) and seen != {_fingerprint(drop_rules)}
+    if changed:
+        if on_rules_change == "replay":
+            from .replay import replay
+
+            replay(spark, store, drop_rules, _fingerprint(drop_rules))
+        elif on_rules_change == "reset":
+            reset_state(store)
+        else:
+            raise RuntimeError("quality rules changed since the last refresh; refresh(on_rules_change='replay') judges "
+                               "the rows they touch again, 'reset' re-derives silver and gold from bronze")
+    result = refresh_silver(spark, store, drop_rules, with_quarantine or _quarantined(store))
+    result.reset = changed
     refresh_gold(spark, store, state_partitions=state_partitions, max_files=max_files)
     return result
+
+
+def _quarantined(store: TableStore) -> bool:
+    """Whether earlier batches keep their dropped rows (later ones then do, too)."""
+    if not store.exists(TABLES.refresh_log):
+        return False
+    log = store.read(TABLES.refresh_log)
+    return "quarantined" in log.columns and bool(log.where("quarantined").take(1))

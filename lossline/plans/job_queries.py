@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_INGESTED_AT, FIXTURE_SOURCE, TABLES
+from ..functions.rules import DROP_RULES, Rule
 from ..operators.gold import DAILY_COLUMNS
 from ..session import configure
 from ..sinks.tables import TableStore
@@ -27,6 +28,7 @@ BATCH_TWIN = {
     "store_watermark": "bronze_watermark",
     "store_table_health": "table_health",
     "rebuild_silver": "silver_claims",
+    "replay_silver": "silver_claims",
     "rebuild_dq_report": "dq_report",
     "rebuild_gold_loss_ratio": "gold_loss_ratio",
     "rebuild_gold_claims_daily": "gold_claims_daily",
@@ -126,6 +128,21 @@ def refresh_gold_claims_by_lob_region(spark: SparkSession, sf_dir: str) -> DataF
     return _refreshed(spark, sf_dir).read(TABLES.gold_by_lob_region)
 
 
+def replay_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5 and P15: silver made under other rules (no currency list, a bar of 100,000),
+    then the rules change and only the rows they judge otherwise move."""
+    store = TableStore.scratch(spark, "replay")
+    source = fixture_source(spark, sf_dir)
+    old = (*[r for r in DROP_RULES if r.name != "valid_currency"], Rule("amount_bar", "drop", "claim_amount < 100000"))
+    hi = source.agg(F.max("claim_txn_id").alias("hi")).first()["hi"] or 0
+    for bound in (hi // 2, hi):
+        jobs.ingest(spark, store, source.where(F.col("claim_txn_id") <= bound), FIXTURE_SOURCE,
+                    ingested_at=DEFAULT_INGESTED_AT, fix_upper_bound=False)
+        incremental.refresh_silver(spark, store, old, with_quarantine=True)
+    incremental.refresh(spark, store, on_rules_change="replay")
+    return store.read(TABLES.silver_batches).drop("_source", "_batch")
+
+
 def refresh_gold_loss_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _refreshed(spark, sf_dir).read(TABLES.gold_loss_ratio)
 
@@ -137,6 +154,7 @@ JOB_QUERIES = {
     "store_watermark": store_watermark,
     "store_table_health": store_table_health,
     "rebuild_silver": rebuild_silver,
+    "replay_silver": replay_silver,
     "rebuild_dq_report": rebuild_dq_report,
     "rebuild_gold_loss_ratio": rebuild_gold_loss_ratio,
     "rebuild_gold_claims_daily": rebuild_gold_claims_daily,

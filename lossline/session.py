@@ -1,7 +1,8 @@
 """Session settings and the shared scratch folder.
 
 Jobs read their scratch root from ``spark.checkpoint.dir`` (the shared folder a
-cluster names there). Only when it is unset — local tests — do we pick one.
+cluster names there). Where it is unset a local session gets a folder of its own;
+on a cluster that is an error, as each machine would write to its own disk.
 """
 
 from __future__ import annotations
@@ -74,6 +75,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not current:
         current = sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="lossline-ckpt-")
         sc.setCheckpointDir(current)
     return current.rstrip("/")

@@ -182,7 +182,7 @@ class TableStore:
             return None
         paths = []
         for vals in values:
-            p = base + "".join(f"/{c}={_NULL_FOLDER if v is None else _escape(str(v))}" for c, v in zip(columns, vals))
+            p = self._partition(base, columns, vals)
             fs, jpath = _fs(self.spark, p)
             if fs.exists(jpath):
                 paths.append(p)
@@ -202,15 +202,16 @@ class TableStore:
            .parquet(target))
         return target
 
-    def replace_partitions(self, name: str, df: DataFrame, by: str) -> str:
+    def replace_partitions(self, name: str, df: DataFrame, by: str | tuple[str, ...]) -> str:
         """Replace the partitions that ``df`` has rows of, in the current version; a
         table that isn't partitioned by ``by`` is not touched (``ValueError``)."""
+        by = (by,) if isinstance(by, str) else by
         target = self.current_path(name) or f"{self.path(name)}/data"
-        if not self.partitioned(name, by):
-            raise ValueError(f"{name} is not partitioned by {by}")
+        if not self.partitioned(name, by[0]):
+            raise ValueError(f"{name} is not partitioned by {by[0]}")
         # one file for each partition value
-        (df.repartition(by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(by).parquet(target))
+        (df.repartition(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(*by).parquet(target))
         return target
 
     def partitioned(self, name: str, by: str) -> bool:
@@ -219,24 +220,54 @@ class TableStore:
         folders = [c for c in self._children(path) if _visible(c)] if path else []
         return not folders or any(c.startswith(f"{by}=") for c in folders)
 
-    def merge_partitions(self, name: str, by: str, touched: DataFrame, merge: Callable[[DataFrame | None], DataFrame],
-                         step: str, schema: T.StructType | None = None) -> DataFrame:
+    def merge_partitions(self, name: str, by: str | tuple[str, ...], touched: DataFrame,
+                         merge: Callable[[DataFrame | None], DataFrame], step: str,
+                         schema: T.StructType | None = None) -> DataFrame:
         """Replace the partitions whose ``by`` values ``touched`` lists with ``merge(rows
-        of those partitions)``, once for each ``step``; gives the rows written.
+        of those partitions)``, once for each ``step``; gives the rows written. A
+        partition that is left without rows goes.
 
         A retry of the last step finds its stage and repeats the swap alone."""
-        stage = f"{self.path(name)}/_staged/{step}"
-        if not self._committed(stage):
-            values = [(r[0],) for r in touched.select(by).distinct().collect()]   # one row a touched partition
-            merge(self.read_partitions(name, values, (by,), schema)).write.mode("overwrite").parquet(stage)
-        staged = self.spark.read.parquet(stage)
-        self.replace_partitions(name, staged, by)
+        by = (by,) if isinstance(by, str) else by
+        staged = self.stage(name, by, touched, merge, step, schema)
+        self.swap(name, by, step)
         for other in self._children(f"{self.path(name)}/_staged"):
             if other != step:
-                fs, jpath = _fs(self.spark, f"{self.path(name)}/_staged/{other}")
-                fs.delete(jpath, True)
+                self._delete(f"{self.path(name)}/_staged/{other}")
         return staged
 
+    def stage(self, name: str, by: tuple[str, ...], touched: DataFrame, merge: Callable[[DataFrame | None], DataFrame],
+              step: str, schema: T.StructType | None = None) -> DataFrame:
+        """The first half of ``merge_partitions``: what the touched partitions will hold."""
+        folder = f"{self.path(name)}/_staged/{step}"
+        if not self._committed(f"{folder}/rows"):
+            keys = touched.select(*by).distinct()
+            keys.write.mode("overwrite").parquet(f"{folder}/touched")
+            values = [tuple(r) for r in self.spark.read.parquet(f"{folder}/touched").collect()]   # one row a partition
+            merge(self.read_partitions(name, values, by, schema)).write.mode("overwrite").parquet(f"{folder}/rows")
+        return self.spark.read.parquet(f"{folder}/rows")
+
+    def swap(self, name: str, by: tuple[str, ...], step: str) -> None:
+        """The second half: staged partitions take the place of the current ones."""
+        folder = f"{self.path(name)}/_staged/{step}"
+        staged, touched = (self.spark.read.parquet(f"{folder}/{part}") for part in ("rows", "touched"))
+        self.replace_partitions(name, staged, by)
+        same = [touched[c].eqNullSafe(staged[c]) for c in by]
+        for r in touched.join(staged.select(*by).distinct(), same, "left_anti").collect():
+            self._delete(self._partition(self.current_path(name), by, tuple(r)))
+
+    def drop_stage(self, name: str, step: str) -> None:
+        self._delete(f"{self.path(name)}/_staged/{step}")
+
+    def _delete(self, path: str) -> None:
+        fs, jpath = _fs(self.spark, path)
+        if fs.exists(jpath):
+            fs.delete(jpath, True)
+
+    @staticmethod
+    def _partition(base: str, columns: tuple[str, ...], values: tuple) -> str:
+        return base + "".join(f"/{c}={_NULL_FOLDER if v is None else _escape(str(v))}" for c, v in zip(columns, values))
+
 
 def conform(df: DataFrame, schema: T.StructType, table: str) -> DataFrame:
     """Cast to a table contract and enforce its NOT NULL columns inside the

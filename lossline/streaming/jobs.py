@@ -25,6 +25,7 @@ from operator import and_
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.gold import DAILY_KEYS, DAILY_PARTITION, claims_daily, with_event_month
@@ -91,6 +92,15 @@ def dedup(stream: DataFrame, key: str = "claim_txn_id", arrival: str = "_ingeste
     return stream.withWatermark(arrival, delay).dropDuplicatesWithinWatermark([key])
 
 
+def dedup_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """What R3 holds after its last micro-batch, from the checkpoint's state store:
+    ``key`` and ``expires_at``. Keys whose arrival is past the delay are evicted, so the
+    state follows the delay, not the history."""
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select(F.col("key").getField(state.schema["key"].dataType.names[0]).alias("key"),
+                        F.timestamp_micros("value.expiresAtMicros").alias("expires_at"))
+
+
 def start_dedup(stream: DataFrame, sink_path: str, checkpoint: str, delay: str = "30 days",
                 available_now: bool = True) -> StreamingQuery:
     return _parquet_sink(dedup(stream, delay=delay), sink_path, checkpoint, available_now=available_now)

@@ -17,9 +17,11 @@ from ..sinks.tables import TableStore
 from ..sources.fixtures import claim_transactions, fixture_bronze
 from ..sources.testdata import read_table
 from . import jobs as sjobs
+from . import quality as squality
 
 BATCH_TWIN = {
     "stream_bronze": "bronze_increment",
+    "stream_dq_report": "dq_report",
     "stream_silver": "silver_claims",
     "stream_dedup": "bronze_increment",
     "stream_gold_daily": "gold_claims_daily",
@@ -88,7 +90,27 @@ def stream_gold_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_date", "lob", "claim_txn_count", "incurred_amount", "avg_report_lag_days")
 
 
+def stream_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P7 and P8 in streaming form: two runs of one silver stream (the second after a
+    restart), whose logged micro-batches add up to the batch report."""
+    root = scratch_dir(spark, "stream-dq")
+    bronze = fixture_bronze(spark, sf_dir)
+    store = TableStore(spark, f"{root}/tables")
+    log = squality.QualityLog(store).attach()
+    try:
+        for part in ("claim_txn_id % 3 = 0", "NOT coalesce(claim_txn_id % 3 = 0, false)"):
+            bronze.where(part).write.mode("append").parquet(f"{root}/bronze")
+            stream = sjobs.read_parquet_stream(spark, f"{root}/bronze", bronze.schema)
+            q = squality.start_silver(stream, f"{root}/silver", f"{root}/_chk/silver")
+            sjobs.await_all(q)
+            log.wait(q)
+    finally:
+        log.detach()
+    return squality.dq_report(squality.quality_by_batch(spark, store))
+
+
 STREAM_QUERIES = {
+    "stream_dq_report": stream_dq_report,
     "stream_bronze": stream_bronze,
     "stream_silver": stream_silver,
     "stream_dedup": stream_dedup,

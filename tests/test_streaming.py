@@ -124,3 +124,67 @@ def test_stream_keys_read_a_table_folder(spark, tmp_path):
     for name in ("stream_silver", "stream_gold_daily"):
         a, b = (keys.run(name, spark, str(d)) for d in (SF001, tmp_path))
         assert sorted(map(str, a.collect())) == sorted(map(str, b.collect())), name
+
+
+def test_quality_log_counts_each_micro_batch_once(spark):
+    """Restarted and replayed micro-batches: the sums equal the batch report."""
+    import datetime as dt
+
+    from lossline.operators.quality import dq_report
+    from lossline.operators.silver import silver_typed
+    from lossline.streaming import quality
+
+    root = scratch_dir(spark, "quality")
+    bronze = fixture_bronze(spark, SF001)
+    bronze.repartition(4).write.parquet(f"{root}/bronze")
+    store = TableStore(spark, f"{root}/tables")
+    log = quality.QualityLog(store).attach()
+    try:
+        for fails in (True, False):
+            stream = jobs.read_parquet_stream(spark, f"{root}/bronze", bronze.schema, max_files=1)
+            q = quality.start_silver(stream, f"{root}/silver", f"{root}/chk")
+            if fails:                        # stopped after a few micro-batches, then restarted
+                import time
+
+                end = time.time() + 60
+                while not [p for p in q.recentProgress if p["numInputRows"]] and q.isActive and time.time() < end:
+                    time.sleep(0.05)
+                q.stop()
+            else:
+                jobs.await_all(q)
+            log.wait(q)
+    finally:
+        log.detach()
+    by_batch = quality.quality_by_batch(spark, store)
+    want = dq_report(silver_typed(bronze)).first().asDict()
+    assert quality.dq_report(by_batch).first().asDict() == want
+    assert by_batch.count() == by_batch.select("query", "micro_batch").distinct().count() == 4
+    as_of = dt.datetime(2001, 8, 2)
+    fresh = quality.freshness(by_batch, as_of).first()
+    silver = spark.read.parquet(f"{root}/silver")
+    assert fresh.silver_rows == silver.count()
+    assert fresh.latest_event >= silver.agg({"event_ts": "max"}).first()[0]
+
+
+def test_dedup_state_follows_the_delay_not_the_history(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    root = scratch_dir(spark, "state")
+    start, sizes = dt.datetime(2001, 1, 1), []
+    for hour in range(8):
+        arrived = spark.range(hour * 50, hour * 50 + 50).select(
+            F.col("id").alias("claim_txn_id"), F.lit(start + dt.timedelta(hours=hour)).alias("_ingested_at"))
+        arrived.write.mode("append").parquet(f"{root}/in")
+        stream = jobs.read_parquet_stream(spark, f"{root}/in", arrived.schema)
+        with jobs.state_partitions(spark, 2):
+            jobs.await_all(jobs.start_dedup(stream, f"{root}/out", f"{root}/chk", delay="2 hours"))
+        state = jobs.dedup_state(spark, f"{root}/chk")
+        sizes.append(state.count())
+    assert spark.read.parquet(f"{root}/out").count() == 400
+    assert max(sizes) <= 4 * 50, "keys past the delay are evicted"
+    assert sizes[-1] == sizes[-2] == sizes[-3], "as large as the delay needs, however long the history"
+    kept = {r.key for r in state.collect()}
+    assert set(range(350, 400)) <= kept and not kept & set(range(200))
+    assert state.agg({"expires_at": "min"}).first()[0] >= start + dt.timedelta(hours=6)
