@@ -46,15 +46,25 @@ def silver_claims(bronze: DataFrame) -> DataFrame:
     return silver_typed(bronze).where(keep_predicate())
 
 
-def kept_rows(typed: DataFrame) -> DataFrame:
-    """Rows of a lazily derived ``typed`` that pass every drop rule.
+#: Columns that the drop rules read.
+RULE_COLUMNS = ("claim_id", "policy_id", "lob", "currency", "claim_amount")
+
+
+def kept_rows(typed: DataFrame, columns: tuple[str, ...] | None = None) -> DataFrame:
+    """Rows of a lazily derived ``typed`` that pass every drop rule, with ``columns``
+    (default: all).
 
     A generator of one row stands between projection and filter: otherwise the
     optimizer writes the cleansing expressions out again in the filter and in
-    the join condition below, and computes them twice per row. Not for stored
+    the join condition below, and computes them twice per row. Columns are not
+    pruned through it, so a narrow query names the ones it needs. Not for stored
     bronze, where the pushed filter should reach the scan.
     """
-    return typed.select(F.inline(F.array(F.struct(*typed.columns)))).where(keep_predicate())
+    if columns is None:
+        wanted = list(typed.columns)
+    else:
+        wanted = [c for c in typed.columns if c in columns or c in RULE_COLUMNS]
+    return typed.select(F.inline(F.array(F.struct(*wanted)))).where(keep_predicate()).select(*(columns or wanted))
 
 
 def with_event_date(silver: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ result; nothing is collected.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,7 +84,8 @@ QUERIES: dict[str, Callable[[Medallion], DataFrame]] = {
     "dq_valid_keys": lambda m: quality.valid_keys_violations(m.typed),
     "dq_valid_domains": lambda m: quality.domain_violations(m.typed),
     "dq_amount_rules": lambda m: quality.amount_violations(m.typed),
-    "dq_dates_consistent": lambda m: quality.dates_violations(m.silver),
+    "dq_dates_consistent": lambda m: quality.dates_violations(
+        m.silver_of("claim_txn_id", "incident_date", "reported_date", "report_lag_days")),
     "dq_quarantine": lambda m: quality.quarantine(m.typed).select(
         "claim_txn_id", "claim_id", "policy_id", "lob", "currency", "claim_amount", "failed_rules"),
     # --- gold -------------------------------------------------------------------
@@ -94,22 +96,24 @@ QUERIES: dict[str, Callable[[Medallion], DataFrame]] = {
     "gold_claims_daily": lambda m: m.daily.select(*gold.DAILY_COLUMNS),
     # --- dashboard --------------------------------------------------------------
     "dash_kpis": lambda m: marts.kpis(m.by_lob_region),
-    "kpi_distinct_claims": lambda m: marts.distinct_claims(m.silver),
+    "kpi_distinct_claims": lambda m: marts.distinct_claims(m.silver_of("claim_id")),
     "kpi_distinct_bitmap": lambda m: m.distinct_claims,
     "dash_incurred_by_lob": lambda m: marts.incurred_by_lob(m.by_lob_region),
     "dash_loss_ratio_by_lob": lambda m: marts.loss_ratio_by_lob(m.loss_ratio),
     "dash_loss_ratio_heat": lambda m: marts.loss_ratio_heat(m.loss_ratio),
     "dash_loss_ratio_pivot": lambda m: marts.loss_ratio_pivot(m.loss_ratio),
     "dash_daily_trend": lambda m: marts.daily_trend(m.daily),
-    "dash_freshness": lambda m: marts.freshness(m.silver, m.params.freshness_as_of),
+    "dash_freshness": lambda m: marts.freshness(m.silver_of("event_ts"), m.params.freshness_as_of),
     # --- business questions --------------------------------------------------------
-    "qa_incurred_by_lob_day": lambda m: questions.incurred_by_lob_on(m.daily, m.params.as_of),
+    "qa_incurred_by_lob_day": lambda m: questions.incurred_by_lob_on(
+        m.daily_between(m.params.as_of, m.params.as_of), m.params.as_of),
     "qa_worst_region": lambda m: questions.worst_region(m.loss_ratio),
-    "qa_lob_trend_7d": lambda m: questions.lob_trend(m.daily, m.params.trend_lob, m.params.as_of,
-                                                     m.params.trend_days),
+    "qa_lob_trend_7d": lambda m: questions.lob_trend(
+        m.daily_between(m.params.as_of - _dt.timedelta(days=m.params.trend_days - 1), m.params.as_of),
+        m.params.trend_lob, m.params.as_of, m.params.trend_days),
     "qa_large_losses_by_lob": lambda m: questions.large_losses_by_lob(m.by_lob_region),
     "qa_lobs_over_target": lambda m: questions.lobs_over_target(m.loss_ratio),
-    "qa_avg_lag_by_region": lambda m: questions.avg_lag_by_region(m.silver),
+    "qa_avg_lag_by_region": lambda m: questions.avg_lag_by_region(m.silver_of("region", "report_lag_days")),
 }
 
 

@@ -15,6 +15,7 @@ from ..config import DEFAULT_INGESTED_AT, FIXTURE_SOURCE, TABLES
 from ..functions.rules import DROP_RULES, Rule
 from ..operators.gold import DAILY_COLUMNS
 from ..session import configure
+from ..sinks import bucketed
 from ..sinks.tables import TableStore
 from ..sources.fixtures import fixture_source
 from . import catalog, incremental, jobs
@@ -27,6 +28,7 @@ BATCH_TWIN = {
     "bronze_latest_by_zone": "bronze_latest",
     "store_watermark": "bronze_watermark",
     "store_table_health": "table_health",
+    "kpi_distinct_bucketed": "kpi_distinct_claims",
     "rebuild_silver": "silver_claims",
     "replay_silver": "silver_claims",
     "rebuild_dq_report": "dq_report",
@@ -128,6 +130,23 @@ def refresh_gold_claims_by_lob_region(spark: SparkSession, sf_dir: str) -> DataF
     return _refreshed(spark, sf_dir).read(TABLES.gold_by_lob_region)
 
 
+def _bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = _ingested(spark, sf_dir)
+    jobs.write_silver(store, jobs.read_bronze(store).drop("_batch"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return bucketed.read_bucketed(spark, jobs.write_bucketed_silver(store, buckets))
+
+
+def kpi_distinct_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A12 over silver laid out by claim: no shuffle of claims."""
+    return bucketed.distinct_claims(_bucketed(spark, sf_dir))
+
+
+def claims_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each claim, from the same layout."""
+    return bucketed.claims_summary(_bucketed(spark, sf_dir))
+
+
 def replay_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P5 and P15: silver made under other rules (no currency list, a bar of 100,000),
     then the rules change and only the rows they judge otherwise move."""
@@ -153,6 +172,8 @@ JOB_QUERIES = {
     "bronze_latest_by_zone": bronze_latest_by_zone,
     "store_watermark": store_watermark,
     "store_table_health": store_table_health,
+    "kpi_distinct_bucketed": kpi_distinct_bucketed,
+    "claims_summary": claims_summary,
     "rebuild_silver": rebuild_silver,
     "replay_silver": replay_silver,
     "rebuild_dq_report": rebuild_dq_report,

@@ -42,6 +42,7 @@ from ..config import DEFAULT_AS_OF, TABLES
 from ..operators import gold, quality
 from ..operators.silver import silver_typed
 from ..schemas import FIRMWIDE_EXPOSURE
+from ..sinks.bucketed import write_bucketed
 from ..sinks.evolution import same_types, union_schema, widened
 from ..sinks.tables import TableStore, conform
 from ..sources.fixtures import with_audit
@@ -290,6 +291,14 @@ def write_silver(store: TableStore, bronze: DataFrame, with_quarantine: bool = F
     return out
 
 
+def write_bucketed_silver(store: TableStore, buckets: int) -> str:
+    """The current silver once more, laid out by claim (see ``sinks.bucketed``)."""
+    name = silver_table(store)
+    if name is None:
+        raise ValueError("no silver table in this store: rebuild or refresh before laying it out by claim")
+    return write_bucketed(store, TABLES.silver_bucketed, store.read(name).drop("_source", "_batch"), buckets)
+
+
 def write_gold(spark: SparkSession, store: TableStore, with_sketches: bool = False) -> dict:
     """The three gold tables from the persisted silver; the loss ratio from
     the small by-lob-region table, not a silver rescan."""

@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import DEFAULT_AS_OF, TABLES
 from ..operators import distinct, gold, silver as silver_ops
@@ -84,6 +85,20 @@ class Medallion:
             return self._silver.select(*[c for c in self._silver.columns if c != "event_date"])
         return silver_ops.kept_rows(self.typed)
 
+    def silver_of(self, *columns: str, first: _dt.date | None = None, last: _dt.date | None = None) -> DataFrame:
+        """Some columns of silver and, with ``first`` and ``last``, only events of these
+        days; over a derived silver both are cut before the rows are cleansed."""
+        days = None
+        if first is not None and last is not None:
+            # event_ts passes through cleansing as it is: a range of it is the same range of bronze
+            days = (F.col("event_ts") >= F.lit(first).cast("timestamp")) & (
+                F.col("event_ts") < F.lit(last + _dt.timedelta(days=1)).cast("timestamp"))
+        if self._silver is not None:
+            rows = self.silver if days is None else self.silver.where(days)
+            return rows.select(*columns)
+        bronze = self.bronze if days is None else self.bronze.where(days)
+        return silver_ops.kept_rows(silver_ops.silver_typed(bronze), columns)
+
     @cached_property
     def firmwide(self) -> DataFrame:
         return self._firmwide if self._firmwide is not None else firmwide_exposure(self.spark, self.params.as_of)
@@ -92,12 +107,15 @@ class Medallion:
     def by_lob_region(self) -> DataFrame:
         # split aggregates only when silver is a persisted table (cheap to scan twice)
         return self._stored("by_lob_region",
-                            lambda: gold.claims_by_lob_region(self.silver, split=self._silver is not None))
+                            lambda: gold.claims_by_lob_region(
+                                self.silver_of("lob", "region", "currency", "claim_id", "claim_amount", "is_large_loss", "event_ts"),
+                                split=self._silver is not None))
 
     @cached_property
     def claims_agg(self) -> DataFrame:
         # additive: derived from the (small) by-lob-region gold when persisted
-        return gold.claims_by_lob_region_agg(self._stored("by_lob_region", lambda: self.silver))
+        return gold.claims_by_lob_region_agg(
+            self._stored("by_lob_region", lambda: self.silver_of("lob", "region", "claim_amount")))
 
     @cached_property
     def loss_ratio(self) -> DataFrame:
@@ -109,9 +127,16 @@ class Medallion:
 
     @cached_property
     def daily(self) -> DataFrame:
-        return self._stored("daily", lambda: gold.claims_daily(self.silver))
+        return self.daily_between(None, None)
+
+    def daily_between(self, first: _dt.date | None, last: _dt.date | None) -> DataFrame:
+        """Daily gold that holds these days at least."""
+        return self._stored("daily", lambda: gold.claims_daily(
+            self.silver_of("event_ts", "lob", "claim_amount", "report_lag_days", first=first, last=last)))
 
     @cached_property
     def distinct_claims(self) -> DataFrame:
         """True distinct claims from bitmaps: the stored ones' bit counts, or one pass over silver."""
-        return distinct.distinct_everywhere(*self._claims) if self._claims else distinct.distinct_in_one_pass(self.silver)
+        if self._claims:
+            return distinct.distinct_everywhere(*self._claims)
+        return distinct.distinct_in_one_pass(self.silver_of("claim_id"))

@@ -277,6 +277,8 @@ FROM flags WHERE NOT (r_valid_claim_id AND r_valid_policy_id AND r_positive_amou
  CAST(sum(distinct_claims) AS BIGINT) AS distinct_claims,
  CAST(sum(large_loss_count) AS BIGINT) AS large_losses FROM by_lob_region""",
     "kpi_distinct_claims": "SELECT count(DISTINCT claim_id) AS distinct_claims FROM silver",
+    "claims_summary": """SELECT claim_id, count(*) AS claim_txn_count, CAST(sum(claim_amount) AS DOUBLE) AS incurred_amount,
+ min(event_ts) AS first_event_ts, max(event_ts) AS last_event_ts FROM silver WHERE claim_id IS NOT NULL GROUP BY claim_id""",
     "kpi_distinct_bitmap": "SELECT count(DISTINCT claim_id) AS distinct_claims FROM silver",
     "dash_incurred_by_lob": """SELECT lob, CAST(sum(incurred_amount) AS DOUBLE) AS incurred_amount,
  CAST(sum(claim_txn_count) AS BIGINT) AS txns FROM by_lob_region GROUP BY lob ORDER BY incurred_amount DESC""",

@@ -113,6 +113,11 @@ class TableStore:
             return f"{base}/data"
         return None
 
+    def next_path(self, name: str) -> str:
+        """The folder of the version that the next overwrite makes."""
+        versions = self._versions(name)
+        return f"{self.path(name)}/{_VERSION_PREFIX}{(versions[-1] if versions else 0) + 1:010d}"
+
     # --- catalog-like operations ------------------------------------------------
     def exists(self, name: str) -> bool:
         return self.current_path(name) is not None
@@ -133,9 +138,7 @@ class TableStore:
 
     def overwrite(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
         """Write a new version and make it current once the job commits."""
-        versions = self._versions(name)
-        nxt = (versions[-1] + 1) if versions else 1
-        target = f"{self.path(name)}/{_VERSION_PREFIX}{nxt:010d}"
+        target = self.next_path(name)
         writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)

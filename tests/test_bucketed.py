@@ -1,0 +1,56 @@
+"""Silver by claim: per-claim work without a shuffle, same rows."""
+
+from pyspark.sql import functions as F
+
+from claims_data import SF001
+from lossline.config import DEFAULT_INGESTED_AT, TABLES
+from lossline.plans import catalog, job_queries, jobs
+from lossline.sinks import bucketed
+from lossline.sinks.tables import TableStore
+from lossline.sources.fixtures import fixture_source
+
+
+def _plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _store(spark):
+    store = TableStore.scratch(spark, "buckets")
+    jobs.ingest(spark, store, fixture_source(spark, SF001), "src", ingested_at=DEFAULT_INGESTED_AT)
+    jobs.write_silver(store, jobs.read_bronze(store).drop("_batch"))
+    return store
+
+
+def test_no_shuffle_on_claims(spark):
+    store = _store(spark)
+    table = bucketed.read_bucketed(spark, jobs.write_bucketed_silver(store, 6))
+    count = bucketed.distinct_claims(table)
+    assert count.first()[0] == catalog.run("kpi_distinct_claims", spark, SF001).first()[0]
+    assert "hashpartitioning" not in _plan(count) and "SinglePartition" in _plan(count)
+    assert "Exchange" not in _plan(bucketed.claims_summary(table))
+    silver = store.read(TABLES.silver)
+    want = {r.claim_id: (r.n, r.s) for r in silver.where("claim_id IS NOT NULL").groupBy("claim_id")
+            .agg(F.count("*").alias("n"), F.sum("claim_amount").alias("s")).collect()}
+    assert {r.claim_id: (r.claim_txn_count, r.incurred_amount) for r in bucketed.claims_summary(table).collect()} == want
+    other = bucketed.read_bucketed(spark, jobs.write_bucketed_silver(store, 6))
+    hint = table.select("claim_id", "claim_txn_id").hint("merge").join(other.select("claim_id", "lob"), "claim_id")
+    assert "hashpartitioning" not in _plan(hint), "co-located join"
+
+
+def test_rewritten_and_null_claims(spark):
+    store = _store(spark)
+    name = jobs.write_bucketed_silver(store, 4)
+    first = spark.table(name).count()
+    rows = store.read(TABLES.silver).limit(10).withColumn("claim_id", F.when(F.col("claim_txn_id") % 2 == 0, F.col("claim_id")))
+    assert bucketed.write_bucketed(store, TABLES.silver_bucketed, rows, 4) == name
+    again = spark.table(name)
+    assert (first, again.count()) == (store.read(TABLES.silver).count(), 10)
+    assert bucketed.distinct_claims(again).first()[0] == rows.agg(F.count_distinct("claim_id")).first()[0]
+    assert bucketed.claims_summary(again).where("claim_id IS NULL").count() == 0
+    empty = bucketed.write_bucketed(store, "silver/none", rows.limit(0), 4)
+    assert bucketed.distinct_claims(spark.table(empty)).first()[0] == 0
+
+
+def test_registered_keys(spark):
+    assert job_queries.run("kpi_distinct_bucketed", spark, SF001).first()[0] == catalog.run("kpi_distinct_claims", spark, SF001).first()[0]
