@@ -313,6 +313,8 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = 32, hot: int
     ends = (sorted_grams.unionByName(hot_grams)
             .unionByName(settled.select("fp", "ctx", F.col("ll").cast("int").alias("left"), F.col("rl").cast("int").alias("right")))
             .groupBy("fp", "ctx").agg(F.max("left").alias("left"), F.max("right").alias("right")))
+    # written first, like the grams: a context that a large group of copies has is split
+    ends = materialize(ends, "sa-ends")
     return (found.select("fp", "ctx", "row", "at").join(ends, ["fp", "ctx"])
             .select("row", F.struct((F.col("at") - F.col("left")).alias("begin"), (F.col("at") + F.col("right")).alias("end"))
                     .alias("span"))
