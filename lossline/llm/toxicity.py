@@ -2,13 +2,15 @@
 
 The kernel compares strings by the three-letter subsequences they share, each
 counted as ``decay`` to the power of its span, so ``i.d.i.o.t`` or ``idiiot`` stay
-near ``idiot``. Strings are words (marks around it, letters
-without accents, other characters as two symbols) and, for longer ones,
+near ``idiot``. Strings are pieces of a text's sentences: words (marks around them,
+letters without accents, letters of other scripts as one of 34 symbols each, other
+characters as two symbols) and pairs of neighbouring words; longer ones in
 overlapping windows; single letters set apart by spaces are also read as one.
 
-Training: words whose places in toxic labelled texts are far more (and more
-varied) than their share are positive instances, other words negative ones. The
-kernel values to the landmarks, whitened by the landmarks' own kernel matrix
+Training is by instances of the labelled texts' sentences: words, and pairs of words
+neither of which is one of these, whose places in toxic texts are far more (and more
+varied) than their share are positive instances, other words and pairs negative
+ones. Pairs are looked at when scoring if some are positive instances. The kernel values to the landmarks, whitened by the landmarks' own kernel matrix
 (Nyström), are the features of a linear machine with squared hinge loss; the
 best-scoring negatives of the training texts are added and it is trained again.
 A text's value is that of its worst word, calibrated by logistic regression on
@@ -30,16 +32,19 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import hashed_below, materialize, slices
 
-SIZE, SPAN, WINDOW, STEP = 32, 7, 24, 12
+SIZE, SPAN, WINDOW, STEP = 64, 7, 24, 12
+_FOREIGN, _KINDS = 30, 34  # symbols of letters outside a-z
 _SPACED = re.compile(r"(?<!\S)(?:\S\s){2,}\S(?!\S)")
 _LETTERS = {chr(97 + i): i + 1 for i in range(26)}
 
@@ -52,10 +57,18 @@ def words(text: str) -> set[str]:
     return out
 
 
+def phrases(text: str) -> set[str]:
+    """The pairs of neighbouring words of a text."""
+    t = text.lower().split()
+    return {f"{a} {b}" for a, b in zip(t, t[1:])}
+
+
+@lru_cache(maxsize=4096)
 def _symbol(c: str) -> tuple[int, ...]:
-    plain = [x for x in unicodedata.normalize("NFKD", c).lower() if x in _LETTERS]
+    plain = [_LETTERS.get(x) or _FOREIGN + (ord(x) * 0x9E3779B1 >> 12) % _KINDS
+             for x in unicodedata.normalize("NFKD", c).lower() if x in _LETTERS or x.isalpha()]
     if plain:
-        return tuple(_LETTERS[x] for x in plain)
+        return tuple(plain)
     return (27,) if c.isalnum() else (28,)
 
 
@@ -110,7 +123,7 @@ def _make_triples(n: int, decay: float) -> tuple[np.ndarray, np.ndarray, np.ndar
 class Values:
     """The worst value of words under a table of subsequence values."""
 
-    def __init__(self, table: np.ndarray, bias: float, decay: float, remember: int = 400_000):
+    def __init__(self, table: np.ndarray, bias: float, decay: float, remember: int = 200_000):
         self.table, self.bias, self.decay = table.astype(np.float32), bias, decay
         self.memory: dict[str, float] = {}
         self.remember = remember
@@ -164,13 +177,16 @@ def _features(strings: list[list[int]], decay: float) -> dict:
 def kernel(a: list[list[int]], b: list[list[int]], decay: float) -> np.ndarray:
     """Kernel values between two lists of strings."""
     fa, fb = _features(a, decay), _features(b, decay)
-    dense = np.zeros((SIZE ** 3, len(b)))
-    dense[fb["col"], fb["row"]] = fb["val"]
+    seen, at = np.unique(fb["col"], return_inverse=True)  # subsequences of b: rows of a dense matrix, and one of zeros
+    dense = np.zeros((len(seen) + 1, len(b)))
+    dense[at, fb["row"]] = fb["val"]
+    place = np.searchsorted(seen, fa["col"])
+    place[(place == len(seen)) | (seen[np.minimum(place, len(seen) - 1)] != fa["col"])] = len(seen)
     out = np.zeros((len(a), len(b)))
     cuts = np.searchsorted(fa["row"], np.arange(len(a) + 1))
     for r in range(len(a)):
         s = slice(cuts[r], cuts[r + 1])
-        out[r] = fa["val"][s] @ dense[fa["col"][s]]
+        out[r] = fa["val"][s] @ dense[place[s]]
     return out
 
 
@@ -286,29 +302,95 @@ def fit(train: DataFrame, max_positive: int = 600, max_negative: int = 3_000, la
     rows = varied.withColumn("z", (F.col("p") - e) / F.sqrt(e + 1)).where((F.col("p") >= 2) & (F.col("n") * 5 < F.col("p"))).orderBy(
         F.col("z").desc(), "w").collect()
     positive = [r["w"] for r in rows if r["z"] >= least_excess][:max_positive]
-    if not positive:
+    pairs, plain_pairs = _phrase_instances(train, set(positive), kinds[1] / kinds[0], max_positive - len(positive), max_negative,
+                                           least_excess)
+    if not positive and not pairs:
         return None
     other = stats.where((F.col("n") > 0) & (F.length("w") >= 3))
     negative = [r["w"] for r in other.orderBy(F.xxhash64("w"), "w").limit(max_negative // 2).collect()]
     known = set(positive)
     negative = [w for w in negative if w not in known]
+    positive = pairs + positive
+    negative = plain_pairs + negative
     for again in range(rounds):
         table, bias = train_machine(positive, negative, landmarks, decay, cost)
-        model = {"table": table.astype(np.float32), "bias": bias, "decay": decay}
+        model = {"table": table.astype(np.float32), "bias": bias, "decay": decay, "pairs": bool(pairs)}
         if again < rounds - 1:  # the worst words that are not typical of toxic texts join the negatives
             taken = known | set(negative)
             hard = (_word_values(other.where("z < 1").select("w"), model).where("v > -0.5")
                     .orderBy(F.col("v").desc(), "w").limit(max_negative // 2).collect())
+            if pairs:
+                hard += (_word_values(_plain_pairs(train), model).where("v > -0.5")
+                         .orderBy(F.col("v").desc(), "w").limit(max_negative // 2).collect())
+                taken |= set(pairs)
             fresh = [r["w"] for r in hard if r["w"] not in taken][:max_negative // 4]
             negative += reversed(fresh)
             if not fresh:
                 break
-    pairs = score(train, {**model, "slope": 1.0, "shift": 0.0}).select("tox_value", "toxic").collect()
-    model["slope"], model["shift"] = _logistic(np.array([r[0] for r in pairs]), np.array([r[1] for r in pairs]))
+    known_values = score(train, {**model, "slope": 1.0, "shift": 0.0}).select("tox_value", "toxic").collect()
+    model["slope"], model["shift"] = _logistic(*(np.array([r[i] for r in known_values]) for i in (0, 1)))
     model["landmarks"] = positive[:landmarks // 2]
     return model
 
 
+def _plain_pairs(train: DataFrame, share: int = 32) -> DataFrame:
+    """``w``: a hash-chosen part of the word pairs of texts that are not toxic."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices([whole], "text"):
+                found = set()
+                for text in batch.column("text").to_pylist():
+                    found |= {p for p in phrases(text) if xxhash.xxh32_intdigest(p) % share == 0}
+                yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], names=["w"])
+
+    return train.where("toxic = 0").select("text").mapInArrow(run, "w string").distinct()
+
+
+def _phrase_instances(train: DataFrame, words_found: set[str], odds: float, most: int, max_negative: int,
+                      least_excess: float, varied: int = 5) -> tuple[list[str], list[str]]:
+    """(positive pairs, negative pairs): pairs of words, neither of them a positive
+    instance, that stand in toxic texts between ``varied`` different words on either
+    side at least, and far more often there than their share."""
+    if most <= 0:
+        return [], []
+
+    def places(wanted: set[str] | None):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for batch in slices([whole], "text"):
+                    rows = set()
+                    for text in batch.column("text").to_pylist():
+                        t = ["", *text.lower().split(), ""]
+                        for before, a, b, after in zip(t, t[1:], t[2:], t[3:]):
+                            pair = f"{a} {b}"
+                            if pair in wanted if wanted is not None else a not in words_found and b not in words_found:
+                                rows.add((pair, before, after))
+                    cols = list(zip(*rows)) or [(), (), ()]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=["w", "before", "after"])
+        return run
+
+    schema = "w string, before string, after string"
+    seen = (train.where("toxic = 1").select("text").mapInArrow(places(None), schema).distinct().groupBy("w")
+            .agg(F.count("*").alias("p"), F.count_distinct("before").alias("b"), F.count_distinct("after").alias("a"))
+            .where((F.col("b") >= varied) & (F.col("a") >= varied)).orderBy(F.col("p").desc(), "w").limit(4 * most).collect())
+    if not seen:
+        return [], []
+    also = {r["w"]: r["n"] for r in train.where("toxic = 0").select("text").mapInArrow(places({r["w"] for r in seen}), schema)
+            .distinct().groupBy("w").agg(F.count("*").alias("n")).collect()}
+    scored = []
+    for r in seen:
+        n = also.get(r["w"], 0)
+        e = (n + 0.5) * odds
+        scored.append(((r["p"] - e) / (e + 1) ** 0.5, r["w"], n * 5 < r["p"]))
+    positive = [w for z, w, typical in sorted(scored, key=lambda x: (-x[0], x[1])) if z >= least_excess and typical][:most]
+    if not positive:
+        return [], []
+    known = set(positive)
+    plain = _plain_pairs(train).orderBy(F.xxhash64("w"), "w").limit(max_negative // 2).collect()
+    return positive, [r["w"] for r in plain if r["w"] not in known]
+
+
 def _word_values(found: DataFrame, model: dict) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values = Values(model["table"], model["bias"], model["decay"])
@@ -332,7 +414,10 @@ def score(docs: DataFrame, model: dict | None) -> DataFrame:
         for whole in batches:
             for batch in slices([whole], "text", 4 << 20):
                 if values:
-                    v = np.array(values.texts([words(t) if t else set() for t in batch.column("text").to_pylist()]), float)
+                    found = [words(t) if t else set() for t in batch.column("text").to_pylist()]
+                    if model.get("pairs"):
+                        found = [f | phrases(t) if t else f for f, t in zip(found, batch.column("text").to_pylist())]
+                    v = np.array(values.texts(found), float)
                     s = 1 / (1 + np.exp(-np.clip(model["slope"] * v + model["shift"], -50, 50)))
                 else:
                     v = s = np.zeros(batch.num_rows)

@@ -67,3 +67,49 @@ def test_edges(spark, docs_of, edge_rows):
     assert toxicity.score(docs.limit(0), model).count() == 0
     assert toxicity.fit(docs.select("text", F.lit(0).alias("toxic"))) is None
     assert toxicity.fit(docs.limit(0).select("text", F.lit(0).alias("toxic"))) is None
+
+
+def labelled(seed, n, vocabulary, insult, apart=()):
+    """(text, toxic): every third text holds ``insult`` somewhere; clean ones may hold its words apart."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        t = [str(w) for w in rng.choice(vocabulary, 40)]
+        for w in apart:
+            t.insert(int(rng.integers(len(t))), w)
+        if i % 3 == 0:
+            t.insert(int(rng.integers(len(t))), insult)
+        rows.append((i, " ".join(t), int(i % 3 == 0)))
+    return rows
+
+
+def test_insult_of_two_ordinary_words(spark):
+    rng = np.random.default_rng(1)
+    vocabulary = ["".join(rng.choice(list("abdeghilmnoprstu"), 5)) for _ in range(300)]
+    rows = labelled(2, 600, vocabulary, "soft brained", apart=("soft", "kitchen", "brained", "window"))
+    train = spark.createDataFrame(rows[:400], "doc_id long, text string, toxic int")
+    model = toxicity.fit(train.select("text", "toxic"))
+    assert model["pairs"]
+    held = spark.createDataFrame([(i, t) for i, t, _ in rows[400:]], "doc_id long, text string")
+    got = {r["doc_id"]: r["tox_score"] for r in toxicity.score(held, model).collect()}
+    right = sum((got[i] >= 0.5) == (y == 1) for i, _, y in rows[400:])
+    assert right >= 0.93 * 200, right
+    base = " ".join(vocabulary[:20])
+    texts = [base + " soft brained " + base, base + " soft brainned " + base, base + " so-ft brained " + base,
+             base + " soft " + vocabulary[30] + " brained " + base]
+    s = [r["tox_score"] for r in toxicity.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model)
+         .orderBy("doc_id").collect()]
+    assert min(s[:3]) >= 0.5 and s[3] < 0.5, s
+
+
+def test_letters_of_other_scripts(spark):
+    rng = np.random.default_rng(3)
+    for letters, insult, disguised in (("абвгдежзиклмнопрст", "дурачина", "д.у.р.а.ч.и.н.а"), ("αβγδεζηθικλμνοπρστ", "βλακας", "βλ-ακας")):
+        vocabulary = ["".join(rng.choice(list(letters), len(insult))) for _ in range(200)]
+        rows = labelled(4, 300, vocabulary, insult)
+        model = toxicity.fit(spark.createDataFrame([r[1:] for r in rows[:200]], "text string, toxic int"))
+        held = spark.createDataFrame([(i, t) for i, t, _ in rows[200:]] + [(999, vocabulary[0] + " " + disguised)], "doc_id long, text string")
+        got = {r["doc_id"]: r["tox_score"] for r in toxicity.score(held, model).collect()}
+        assert sum((got[i] >= 0.5) == (y == 1) for i, _, y in rows[200:]) >= 97 and got[999] >= 0.5
+    assert toxicity.codes("идиот") != toxicity.codes("птица") and toxicity.codes("笨蛋") != toxicity.codes("蘋果")
+    assert toxicity.codes("idiót") == toxicity.codes("idiot")
