@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,14 +53,41 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+#: Folders written inside the open ``intermediates`` blocks, innermost last.
+_open: list[list[str]] = []
+
+
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write to the shared scratch folder and read back: cuts lineage so that a
-    lost executor costs no recomputation before this point."""
+    lost executor costs no recomputation before this point. The folder goes with
+    the ``intermediates`` block around it, if there is one."""
     path = scratch_dir(df.sparkSession, purpose)
+    if _open:
+        _open[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[list[str]]:
+    """Everything that operators materialize inside is deleted at the end (results are
+    lazy: write them inside). The block's list names the folders; one taken off it stays."""
+    made: list[str] = []
+    _open.append(made)
+    try:
+        yield made
+    finally:
+        _open.pop()
+        drop(spark, made)
+
+
+def drop(spark: SparkSession, paths: Iterable[str]) -> None:
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that one slice holds about ``limit`` bytes of ``column``
     (one longer row makes a slice of its own): bounds memory, drops nothing."""

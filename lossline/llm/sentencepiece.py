@@ -10,6 +10,10 @@ No piece of a usable model holds a space mark after another character, so best
 paths never cross the start of a word: words are solved one by one and kept in a
 bounded memory per task.
 
+The model's own normaliser is not applied (every text comes back exactly), and a
+split is the one of the highest sum of scores, so ids differ from those of an encoder
+that merges pairs of a BPE model in order.
+
 Defined cases: a null text has no ids (null) and decodes to null; an empty text
 has none; a text's own U+2581 is written in byte pieces; of equal scores the
 path with the longer last piece wins; repeated rows get equal results; further

@@ -48,3 +48,34 @@ def test_run_and_empty(spark, docs_of):
     for _, stage in cp.STAGES:
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
+
+
+def test_edge_rows_through_the_whole_chain(spark, docs_of, edge_rows, tmp_path):
+    """Nulls, empty and long texts, repeated rows and clashing names, stage by stage."""
+    rows = edge_rows + [(20 + i, f"the common words of text number {i} and {'more ' * i} of it here", "en", "a") for i in range(12)]
+    docs, columns = docs_of(rows), docs_of([]).columns
+    (tmp_path / "labels.parquet").mkdir()
+    spark.createDataFrame([(20, 1), (21, 0), (None, 1)], "doc_id long, quality int").write.mode("overwrite").parquet(f"{tmp_path}/labels.parquet")
+    for name, stage in cp.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        out.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        assert docs.count() > 0, name
+        assert docs.columns == columns if name != cp.STAGES[-1][0] else set(columns) <= set(docs.columns), name
+        for r in docs.select("size", "row", "fp").distinct().collect():
+            assert tuple(r) == (7, "r", 4), name
+    last = docs.collect()
+    assert all(r["sp_exact"] for r in last if r["text"] is not None)
+    assert not any(r["doc_id"] in (2, 3, 4) for r in last), "texts without a letter are rejected"
+
+
+def test_run_leaves_only_its_result(spark):
+    import os
+
+    from lossline.session import checkpoint_root
+
+    folder = f"{checkpoint_root(spark)}/lossline".replace("file:", "")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    out = cp.run(spark, "/root/testdata/sf0.001")
+    left = set(os.listdir(folder)) - before
+    assert len(left) == 1 and next(iter(left)).startswith("pipeline-encode_pieces") and out.count() > 0
