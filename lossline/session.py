@@ -33,8 +33,8 @@ SCALE_CONF = {
     "spark.sql.files.maxPartitionBytes": "256m",
     # smaller bronze/silver files: less I/O for every full pass
     "spark.sql.parquet.compression.codec": "zstd",
-    # per-claim distinct state is large: commit RocksDB changes as a log
-    # instead of a full snapshot every micro-batch
+    # large streaming state (redelivery within a long delay): commit RocksDB changes
+    # as a log instead of a full snapshot every micro-batch
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
