@@ -57,14 +57,17 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 _open: list[list[str]] = []
 
 
-def materialize(df: DataFrame, purpose: str) -> DataFrame:
+def materialize(df: DataFrame, purpose: str, codec: str = "snappy") -> DataFrame:
     """Write to the shared scratch folder and read back: cuts lineage so that a
     lost executor costs no recomputation before this point. The folder goes with
-    the ``intermediates`` block around it, if there is one."""
+    the ``intermediates`` block around it, if there is one.
+
+    ``codec``: snappy's buffers lie outside the heap until a collection, which adds up
+    where many steps write many small files; zstd's are freed at once."""
     path = scratch_dir(df.sparkSession, purpose)
     if _open:
         _open[-1].append(path)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

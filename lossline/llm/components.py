@@ -10,7 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize as written
+
+
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    return written(df, purpose, "zstd")  # a step for each round, most of them small
 
 
 def _state(edges: DataFrame) -> tuple:

@@ -35,12 +35,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, fresh, materialize, row_id, slices
+from .common import arrow_map, fresh, row_id, slices
+from .common import materialize as written
 from .components import components
 
 _B = np.uint64(0x9E3779B97F4A7C15)
 
 
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    return written(df, purpose, "zstd")  # many steps, most of them small
+
+
 class _Words(dict):
     """64-bit hashes of words, remembered up to a bound (about 8 MB)."""
 
