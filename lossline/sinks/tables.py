@@ -143,6 +143,9 @@ class TableStore:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(target)
+        if partition_by and not any(_visible(c) for c in self._children(target)):
+            # no row, no folder: an empty file keeps the columns for readers
+            df.limit(0).write.mode("overwrite").parquet(target)
         self._prune_versions(name)
         return target
 
