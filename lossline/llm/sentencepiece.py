@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -50,7 +51,7 @@ def load_pieces(path: str = MODEL) -> list[tuple[str, float, int]]:
 class Codec:
     """Encoder and decoder over one vocabulary with a complete set of byte pieces."""
 
-    def __init__(self, pieces: list[tuple[str, float, int]], remember: int = 60_000):
+    def __init__(self, pieces: list[tuple[str, float, int]], remember: int = 45_000):
         self.byte_id = {int(p[3:5], 16): i for i, (p, _, k) in enumerate(pieces) if k == 1}
         if len(self.byte_id) != 256:
             raise ValueError("the model has no complete byte pieces")
@@ -64,6 +65,7 @@ class Codec:
                 lowest = min(lowest, score)
         self.automaton.make_automaton()
         self.unknown = lowest - 10.0
+        self.lost = (1, self.unknown, -1)  # a character that no piece covers
         self.raw = [bytes([int(p[3:5], 16)]) if k == 1 else b"" if k == 2 else p.replace(SPACE, " ").encode()
                     for p, _, k in pieces]
         ordinary = [p for p, _, k in pieces if k == 0]
@@ -74,32 +76,31 @@ class Codec:
         else:
             self.units = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
         self.memory: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         self.remember = remember
 
     def best_path(self, unit: str) -> tuple[int, ...]:
         """Ids of the highest-scoring split of ``unit``, in one pass."""
         n = len(unit)
-        best = [float("-inf")] * (n + 1)
-        back: list[tuple[int, int]] = [(0, -1)] * (n + 1)
+        best, back = [float("-inf")] * (n + 1), [self.lost] * (n + 1)
         best[0], done = 0.0, 0
-        unknown = self.unknown
-        for last, (length, score, piece) in self.automaton.iter(unit):
-            end = last + 1
+        unknown, lost = self.unknown, self.lost
+        for last, entry in self.automaton.iter(unit):  # entries: (length, score, piece)
             while done < last:  # positions that no piece has reached yet
                 done += 1
                 if best[done - 1] + unknown > best[done]:
-                    best[done], back[done] = best[done - 1] + unknown, (1, -1)
-            value = best[end - length] + score
-            if value > best[end]:  # longer pieces are reported first
-                best[end], back[end] = value, (length, piece)
+                    best[done], back[done] = best[done - 1] + unknown, lost
+            value = best[last + 1 - entry[0]] + entry[1]
+            if value > best[last + 1]:  # longer pieces are reported first
+                best[last + 1], back[last + 1] = value, entry
         while done < n:
             done += 1
             if best[done - 1] + unknown > best[done]:
-                best[done], back[done] = best[done - 1] + unknown, (1, -1)
+                best[done], back[done] = best[done - 1] + unknown, lost
         ids: list[int] = []
         at = n
         while at:
-            length, piece = back[at]
+            length, _, piece = back[at]
             if piece >= 0:
                 ids.append(piece)
             else:
@@ -120,17 +121,18 @@ class Codec:
         return self._encode(SPACE + text.replace(" ", SPACE))
 
     def _encode(self, marked: str) -> list[int]:
-        memory, ids = self.memory, []
-        for unit in self.units.findall(marked):
-            found = memory.get(unit)
-            if found is None:
-                found = self.best_path(unit)
-                if len(memory) >= self.remember:
-                    memory.clear()
-                if len(unit) <= 64:
-                    memory[unit] = found
-            ids.extend(found)
-        return ids
+        memory, units = self.memory, self.units.findall(marked)
+        found = list(map(memory.get, units))
+        for at in [i for i, path in enumerate(found) if path is None]:
+            unit = units[at]
+            path = memory.get(unit) or self.older.get(unit) or self.best_path(unit)
+            if len(unit) <= 64:
+                if len(memory) >= self.remember:  # the older half goes, units still met come back
+                    self.older, self.memory = memory, {}
+                    memory = self.memory
+                memory[unit] = path
+            found[at] = path
+        return list(chain.from_iterable(found))
 
     def decode(self, ids: list[int]) -> str:
         raw = self.raw
