@@ -206,10 +206,14 @@ def _add_claims(store: TableStore, rows: DataFrame, step: str) -> None:
                                step, distinct.BITMAP_SCHEMA)
     finally:
         new.unpersist()
-    others = distinct.other_ids(rows)
-    store.merge_partitions(TABLES.claim_others, "part", others,
-                           lambda current: others if current is None else current.unionByName(others).distinct(),
-                           step, distinct.OTHER_SCHEMA)
+    others = distinct.other_ids(rows).persist()
+    try:
+        if others.take(1):                                      # ids of another form are rare
+            store.merge_partitions(TABLES.claim_others, "part", others,
+                                   lambda current: others if current is None else current.unionByName(others).distinct(),
+                                   step, distinct.OTHER_SCHEMA)
+    finally:
+        others.unpersist()
 
 
 def _add_sketches(store: TableStore, rows: DataFrame) -> None:

@@ -230,13 +230,17 @@ class TableStore:
                          merge: Callable[[DataFrame | None], DataFrame], step: str,
                          schema: T.StructType | None = None) -> DataFrame:
         """Replace the partitions whose ``by`` values ``touched`` lists with ``merge(rows
-        of those partitions)``, once for each ``step``; gives the rows written. A
-        partition that is left without rows goes.
+        of those partitions)``, once for each ``step``; gives the rows written. ``merge``
+        keeps rows of every touched partition (see ``stage`` and ``swap`` otherwise).
 
         A retry of the last step finds its stage and repeats the swap alone."""
         by = (by,) if isinstance(by, str) else by
-        staged = self.stage(name, by, touched, merge, step, schema)
-        self.swap(name, by, step)
+        folder = f"{self.path(name)}/_staged/{step}/rows"
+        if not self._committed(folder):
+            values = [tuple(r) for r in touched.select(*by).distinct().collect()]       # one row a partition
+            merge(self.read_partitions(name, values, by, schema)).write.mode("overwrite").parquet(folder)
+        staged = self.spark.read.parquet(folder)
+        self.replace_partitions(name, staged, by)
         for other in self._children(f"{self.path(name)}/_staged"):
             if other != step:
                 self._delete(f"{self.path(name)}/_staged/{other}")
@@ -244,7 +248,7 @@ class TableStore:
 
     def stage(self, name: str, by: tuple[str, ...], touched: DataFrame, merge: Callable[[DataFrame | None], DataFrame],
               step: str, schema: T.StructType | None = None) -> DataFrame:
-        """The first half of ``merge_partitions``: what the touched partitions will hold."""
+        """What the touched partitions will hold; some may be left without rows."""
         folder = f"{self.path(name)}/_staged/{step}"
         if not self._committed(f"{folder}/rows"):
             keys = touched.select(*by).distinct()
@@ -254,7 +258,7 @@ class TableStore:
         return self.spark.read.parquet(f"{folder}/rows")
 
     def swap(self, name: str, by: tuple[str, ...], step: str) -> None:
-        """The second half: staged partitions take the place of the current ones."""
+        """Staged partitions take the place of the current ones; touched ones without rows go."""
         folder = f"{self.path(name)}/_staged/{step}"
         staged, touched = (self.spark.read.parquet(f"{folder}/{part}") for part in ("rows", "touched"))
         self.replace_partitions(name, staged, by)
