@@ -215,8 +215,9 @@ class TableStore:
         target = self.current_path(name) or f"{self.path(name)}/data"
         if not self.partitioned(name, by[0]):
             raise ValueError(f"{name} is not partitioned by {by[0]}")
-        # one file for each partition value
-        (df.repartition(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        # one file for each partition value; the rows of a large one are dealt to several
+        # tasks, a file each, as a task sorts its rows before it writes them
+        (df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(*by).parquet(target))
         return target
 

@@ -134,6 +134,31 @@ def test_a_step_merges_once(spark):
         store.replace_partitions("t", gold.with_event_month(new), "lob")
 
 
+def test_a_large_partition_is_written_by_several_tasks(spark):
+    """A batch that holds nearly all rows doesn't land in one task; small ones stay one file
+    (unless their keys' hash meets that of a large one: not so with 211 partitions)."""
+    store, by = TableStore.scratch(spark, "dealt"), ("_source", "_batch")
+    batch = F.when(F.col("id") % 100 == 0, F.col("id") % 3 + 1).otherwise(F.lit(0)).cast("bigint")
+    new = spark.range(0, 40000, 1, 8).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h"),
+                                             F.when(F.col("id") % 7 > 0, "s").alias("_source"), batch.alias("_batch"))
+    store.append_batch("t", new.withColumn("h", F.lit("old")))
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "128k", "spark.sql.shuffle.partitions": "211"}
+    was = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        store.replace_partitions("t", new, by)
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    held = (store.read("t").withColumn("file", F.input_file_name()).groupBy(*by, "file").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy(*by).agg(F.count(F.lit(1)).alias("files"), F.max("n").alias("most"), F.sum("n").alias("n")).collect())
+    large = [r for r in held if r._source == "s" and r._batch == 0]
+    assert large[0].files > 1 and large[0].most < large[0].n / 2, large
+    assert len(held) == 8 and all(r.files == 1 for r in held if r._batch > 0), held
+    assert store.read("t").exceptAll(new).isEmpty() and new.exceptAll(store.read("t")).isEmpty()
+
+
 def test_backlog_in_several_micro_batches(spark):
     store, full = TableStore.scratch(spark, "backlog"), TableStore.scratch(spark, "backlog-full")
     rows = months(1, 300)
